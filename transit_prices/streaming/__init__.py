@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream source, watermark, window or stateful operator
+(SURVEY §2.K); every panel is built from stored rows by calendar month. The
+batch operators of this package run unchanged inside ``foreachBatch`` if a
+stream ever feeds them, so nothing stream-specific is built here.
+"""
