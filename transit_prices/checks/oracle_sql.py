@@ -509,3 +509,218 @@ FROM a_pre a JOIN a_post b ON a.station_id = b.station_id LEFT JOIN a_ci c ON a.
 
 def oracle_queries() -> dict:
     return dict(Q)
+
+
+# ---------------------------------------------------------------------------
+# Part 2: panels, splits, sequences, scaling, metrics, Double ML, coverage
+# ---------------------------------------------------------------------------
+
+CTE["supplier_panel"] = f"""
+sp_agg AS (
+  SELECT CAST(date_trunc('month', date) AS DATE) AS date, station, count(*) AS n_transactions,
+         {favg('prix_m2')} AS prix_m2, {favg('rooms')} AS rooms, {favg('surface')} AS surface,
+         {favg('discount')} AS discount,
+         sum(CASE WHEN type_local = 'Appartement' THEN 1e0 ELSE 0e0 END) / count(*) AS share_appartement,
+         sum(CASE WHEN nature_mutation = 'Vente' THEN 1e0 ELSE 0e0 END) / count(*) AS share_vente
+  FROM sales_typed WHERE station IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
+sp_complete AS (
+  SELECT * FROM sp_agg WHERE station IN (
+    SELECT station FROM sp_agg GROUP BY station
+    HAVING count(DISTINCT date) = (SELECT count(DISTINCT date) FROM sp_agg)))"""
+DEPS["supplier_panel"] = ["sales_typed"]
+ORDER.append("supplier_panel")
+
+_SP_COLS = ("station, date, n_transactions, " + ", ".join(rnd(c, c) for c in
+            ["prix_m2", "rooms", "surface", "discount", "share_appartement", "share_vente"]))
+
+Q["station_month_features"] = with_ctes(["supplier_panel"], f"SELECT {_SP_COLS} FROM sp_complete")
+Q["station_month_features_all"] = with_ctes(["supplier_panel"], f"SELECT {_SP_COLS} FROM sp_agg")
+
+
+def _mode_of(col):
+    return f"(SELECT {col} FROM sales_typed GROUP BY 1 ORDER BY count(*) DESC, {col} LIMIT 1)"
+
+
+Q["station_month_features_mode"] = with_ctes(["sales_typed"], f"""
+, a AS (
+  SELECT CAST(date_trunc('month', date) AS DATE) AS date, station, count(*) AS n_transactions,
+         {favg('rooms')} AS rooms, {favg('surface')} AS surface, {favg('discount')} AS discount, {favg('prix_m2')} AS prix_m2,
+         sum(CASE WHEN type_local = {_mode_of('type_local')} THEN 1e0 ELSE 0e0 END) / count(*) AS type_local_share,
+         sum(CASE WHEN nature_mutation = {_mode_of('nature_mutation')} THEN 1e0 ELSE 0e0 END) / count(*) AS nature_mutation_share
+  FROM sales_typed WHERE station IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT * FROM a WHERE station IN (SELECT station FROM a GROUP BY station
+      HAVING count(DISTINCT date) = (SELECT count(DISTINCT date) FROM a)))
+SELECT station, date, n_transactions, {', '.join(rnd(x, x) for x in ['rooms', 'surface', 'discount', 'prix_m2', 'type_local_share', 'nature_mutation_share'])}
+FROM c""").replace("\n, a AS", ",\na AS", 1)
+
+
+def _group_mode(col):
+    return f"""{col}_m AS (
+  SELECT date, station, v AS {col} FROM (
+    SELECT CAST(date_trunc('month', date) AS DATE) AS date, station, {col} AS v, count(*) AS c
+    FROM sales_typed WHERE {col} IS NOT NULL GROUP BY 1, 2, 3)
+  QUALIFY row_number() OVER (PARTITION BY date, station ORDER BY c DESC, v) = 1)"""
+
+
+Q["station_month_modes"] = with_ctes(["sales_typed"], f"""
+, a AS (
+  SELECT CAST(date_trunc('month', date) AS DATE) AS date, station, {favg('prix_m2')} AS prix_m2, {favg('surface')} AS surface
+  FROM sales_typed WHERE station IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
+{_group_mode('type_local')},
+{_group_mode('nature_mutation')}
+SELECT a.station, a.date, {rnd('a.prix_m2', 'prix_m2')}, {rnd('a.surface', 'surface')}, t.type_local, n.nature_mutation
+FROM a JOIN type_local_m t ON a.date = t.date AND a.station = t.station
+JOIN nature_mutation_m n ON a.date = n.date AND a.station = n.station""").replace("\n, a AS", ",\na AS", 1)
+
+Q["chrono_split"] = with_ctes(["sales_clean"], """
+, k AS (SELECT * FROM sales_clean WHERE annee BETWEEN 1996 AND 2000)
+SELECT sale_id, annee,
+       CASE WHEN row_number() OVER (ORDER BY annee, date_mutation, sale_id) - 1 < (SELECT floor(count(*) * 0.8e0) FROM k)
+            THEN 'train' ELSE 'test' END AS split
+FROM k""").replace("\n, k AS", ",\nk AS", 1)
+
+Q["date_split"] = with_ctes(["supplier_panel"], """
+SELECT station, date, split FROM (
+  SELECT station, date, CASE WHEN date < DATE '2000-01-01' THEN 'train'
+                             WHEN date BETWEEN DATE '2000-01-01' AND DATE '2000-12-01' THEN 'test' END AS split
+  FROM sp_complete) WHERE split IS NOT NULL""")
+
+Q["last_n_split"] = with_ctes(["supplier_panel"], """
+SELECT station, date,
+       CASE WHEN count(*) OVER (PARTITION BY station) <= 24 THEN 'reject'
+            WHEN row_number() OVER (PARTITION BY station ORDER BY date DESC) <= 24 THEN 'test' ELSE 'train' END AS split
+FROM sp_complete""")
+
+_SEQ_W = "WINDOW w AS (PARTITION BY station ORDER BY date)"
+
+Q["sequences_single"] = with_ctes(["supplier_panel"], f"""
+, s AS (
+  SELECT station, date, prix_m2, row_number() OVER w AS rn,
+         sum(n_transactions) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS x_sum,
+         first_value(n_transactions) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS x_first,
+         last_value(n_transactions) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS x_last
+  FROM sp_complete {_SEQ_W})
+SELECT station, date, CAST(x_sum AS DOUBLE) AS x_sum, CAST(x_first AS DOUBLE) AS x_first,
+       CAST(x_last AS DOUBLE) AS x_last, {rnd('prix_m2', 'y')}
+FROM s WHERE rn > 12""").replace("\n, s AS", ",\ns AS", 1)
+
+Q["sequences_multi"] = with_ctes(["supplier_panel"], f"""
+, s AS (
+  SELECT station, date, row_number() OVER w AS rn,
+         sum(n_transactions) OVER (w ROWS BETWEEN 18 PRECEDING AND 1 PRECEDING) AS x_sum,
+         first_value(n_transactions) OVER (w ROWS BETWEEN 18 PRECEDING AND 1 PRECEDING) AS x_first,
+         last_value(n_transactions) OVER (w ROWS BETWEEN 18 PRECEDING AND 1 PRECEDING) AS x_last,
+         list(prix_m2) OVER (w ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS ys
+  FROM sp_complete {_SEQ_W})
+SELECT station, date, CAST(x_sum AS DOUBLE) AS x_sum, CAST(x_first AS DOUBLE) AS x_first,
+       CAST(x_last AS DOUBLE) AS x_last, {rnd('ys[1]', 'y_first')}, {rnd('ys[6]', 'y_last')},
+       CAST(len(ys) AS INTEGER) AS y_len
+FROM s WHERE rn > 18 AND len(ys) = 6""").replace("\n, s AS", ",\ns AS", 1)
+
+Q["positional_split"] = with_ctes(["supplier_panel"], f"""
+, s AS (SELECT station, date FROM (SELECT station, date, row_number() OVER w AS rn FROM sp_complete {_SEQ_W}) WHERE rn > 12)
+SELECT station, date,
+       CASE WHEN row_number() OVER (ORDER BY station, date) - 1 < (SELECT floor(count(*) * 0.8e0) FROM s)
+            THEN 'train' ELSE 'test' END AS split
+FROM s""").replace("\n, s AS", ",\ns AS", 1)
+
+Q["prediction_window"] = with_ctes(["supplier_panel"], f"""
+, w AS (SELECT * FROM sp_agg WHERE n_transactions >= 5
+        AND date BETWEEN CAST(DATE '2001-06-01' - INTERVAL 24 MONTH AS DATE) AND DATE '2001-06-01')
+SELECT station, date, n_transactions, {rnd('prix_m2', 'prix_m2')} FROM w
+WHERE station IN (SELECT station FROM w GROUP BY station HAVING count(*) >= 24)""").replace("\n, w AS", ",\nw AS", 1)
+
+_SC = ["surface", "rooms", "prix_m2"]
+
+
+def _scaled_sql(center, scale):
+    sel = ", ".join(
+        rnd(f"({c} - {center.format(c=c)}) / (CASE WHEN {scale.format(c=c)} IS NULL OR {scale.format(c=c)} = 0 "
+            f"THEN 1e0 ELSE {scale.format(c=c)} END)", c) for c in _SC)
+    return with_ctes(["sales_clean"], f"SELECT sale_id, {sel} FROM sales_clean")
+
+
+Q["scale_standard"] = _scaled_sql("(SELECT avg({c}) FROM sales_clean)", "(SELECT stddev_pop({c}) FROM sales_clean)")
+Q["scale_robust"] = _scaled_sql("(SELECT quantile_cont({c}, 0.5) FROM sales_clean)",
+                                "(SELECT quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) FROM sales_clean)")
+Q["scale_minmax"] = _scaled_sql("(SELECT min({c}) FROM sales_clean)", "(SELECT max({c}) - min({c}) FROM sales_clean)")
+
+
+def _ordinal(col):
+    return (f"coalesce((SELECT CAST(r - 1 AS DOUBLE) FROM (SELECT v, dense_rank() OVER (ORDER BY v) AS r FROM "
+            f"(SELECT DISTINCT {col} AS v FROM sales_clean WHERE {col} IS NOT NULL)) m WHERE m.v = t.{col}), -1e0)")
+
+
+Q["ordinal_encode"] = with_ctes(["sales_typed", "sales_clean"], f"""
+SELECT t.sale_id, {_ordinal('type_local')} AS type_local_idx, {_ordinal('nature_mutation')} AS nature_mutation_idx
+FROM sales_typed t""")
+
+Q["one_hot"] = with_ctes(["sales_typed"], """
+SELECT sale_id,
+       CASE WHEN type_local = 'Appartement' THEN 1e0 ELSE 0e0 END AS type_local_Appartement,
+       CASE WHEN type_local = 'Local' THEN 1e0 ELSE 0e0 END AS type_local_Local,
+       CASE WHEN type_local = 'Maison' THEN 1e0 ELSE 0e0 END AS type_local_Maison
+FROM sales_typed""")
+
+
+def _metrics(pred, name):
+    e = f"(prix_m2 - {pred})"
+    return (f"SELECT station, {rnd(f'avg(abs({e}))', 'mae')}, round(avg({e} * {e}), 2) AS mse, "
+            f"{rnd(f'sqrt(avg({e} * {e}))', 'rmse')}, {rnd(f'avg(abs({e} / prix_m2)) * 100', 'mape')}, "
+            f"{rnd(f'1 - sum({e} * {e}) / (var_pop(prix_m2) * count(*))', 'r2')}, count(*) AS n, "
+            f"'{name}' AS forecaster FROM j WHERE {pred} IS NOT NULL AND prix_m2 IS NOT NULL GROUP BY station")
+
+
+Q["regression_metrics"] = with_ctes(["supplier_panel"], f"""
+, b AS (SELECT station, date, prix_m2, lag(prix_m2) OVER (PARTITION BY station ORDER BY date) AS pred_last FROM sp_complete),
+ya AS (SELECT station, CAST(date + INTERVAL 12 MONTH AS DATE) AS date, prix_m2 AS pred_year_ago FROM sp_complete),
+j AS (SELECT b.*, ya.pred_year_ago FROM b LEFT JOIN ya ON b.station = ya.station AND b.date = ya.date)
+{_metrics('pred_last', 'last_value')}
+UNION ALL
+{_metrics('pred_year_ago', 'year_ago')}""").replace("\n, b AS", ",\nb AS", 1)
+
+_DML_B = """
+, b AS (
+  SELECT order_key % 2 AS f, log_prix_m2 AS y, CAST(d_gp AS DOUBLE) AS d, surface AS x, d_gp, station_id
+  FROM enriched WHERE log_prix_m2 IS NOT NULL AND d_gp IS NOT NULL AND surface IS NOT NULL)"""
+
+Q["dml_linear"] = with_ctes(["enriched"], _DML_B + f""",
+m AS (SELECT f, regr_slope(y, x) AS ys, regr_intercept(y, x) AS yi, regr_slope(d, x) AS ds, regr_intercept(d, x) AS di
+      FROM b GROUP BY f),
+r AS (SELECT b.y - (m.ys * b.x + m.yi) AS yt, b.d - (m.ds * b.x + m.di) AS dt FROM b JOIN m ON m.f = 1 - b.f),
+t AS (SELECT sum(yt * dt) / sum(dt * dt) AS tau, sum(dt * dt) AS sdd, count(*) AS n FROM r),
+e AS (SELECT sum((r.yt - t.tau * r.dt) * (r.yt - t.tau * r.dt)) AS rss FROM r, t),
+o AS (SELECT tau, sqrt(rss / (n - 1) / sdd) AS se, n FROM t, e)
+SELECT {rnd('tau', 'tau_hat')}, {rnd('se', 'se_tau')}, {rnd('tau - 1.96e0 * se', 'ci_low')},
+       {rnd('tau + 1.96e0 * se', 'ci_high')}, n, 2 AS n_splits, 'log_prix_m2' AS y_col, 'd_gp' AS d_col
+FROM o""").replace("\n\n, b AS", ",\nb AS", 1)
+
+Q["dml_by_station_linear"] = with_ctes(["enriched"], _DML_B + f""",
+st AS (SELECT station_id AS s, count(*) AS nt FROM b WHERE d_gp = 1 AND station_id IS NOT NULL GROUP BY 1
+       HAVING count(*) >= 100 AND count(*) < (SELECT count(*) FROM b)),
+my AS (SELECT f, regr_slope(y, x) AS ys, regr_intercept(y, x) AS yi FROM b GROUP BY f),
+bs AS (SELECT st.s, b.f, b.x, b.y, CASE WHEN b.d_gp = 1 AND b.station_id = st.s THEN 1e0 ELSE 0e0 END AS ds
+       FROM b CROSS JOIN st),
+md AS (SELECT s, f, regr_slope(ds, x) AS sl, regr_intercept(ds, x) AS ic FROM bs GROUP BY s, f),
+r AS (SELECT bs.s, bs.y - (my.ys * bs.x + my.yi) AS yt, bs.ds - (md.sl * bs.x + md.ic) AS dt
+      FROM bs JOIN my ON my.f = 1 - bs.f JOIN md ON md.s = bs.s AND md.f = 1 - bs.f),
+t AS (SELECT s, sum(yt * dt) / sum(dt * dt) AS tau, sum(dt * dt) AS sdd, count(*) AS n FROM r GROUP BY s),
+e AS (SELECT r.s, sum((r.yt - t.tau * r.dt) * (r.yt - t.tau * r.dt)) AS rss FROM r JOIN t ON r.s = t.s GROUP BY r.s),
+o AS (SELECT t.s, t.tau, sqrt(e.rss / (t.n - 1) / t.sdd) AS se, t.n, st.nt FROM t JOIN e ON t.s = e.s JOIN st ON st.s = t.s)
+SELECT CAST(s AS BIGINT) AS station_id, {rnd('tau', 'tau_hat')}, {rnd('se', 'se_tau')},
+       {rnd('tau - 1.96e0 * se', 'ci_low')}, {rnd('tau + 1.96e0 * se', 'ci_high')},
+       {rnd('(exp(tau) - 1) * 100', 'ate_pct')}, {rnd('(exp(tau - 1.96e0 * se) - 1) * 100', 'ci_low_pct')},
+       {rnd('(exp(tau + 1.96e0 * se) - 1) * 100', 'ci_high_pct')}, n, CAST(nt AS BIGINT) AS n_treated
+FROM o""").replace("\n\n, b AS", ",\nb AS", 1)
+
+_COV = ["lon", "lat", "taux", "revenu_median_2021", "station_id"]
+Q["coverage_report"] = with_ctes(["enriched"], "\nSELECT " + ", ".join(
+    rnd(f"avg(CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END)", c) for c in _COV) + ", " + rnd(
+    "(" + "(" * len(_COV) + "0e0" + "".join(f" + avg(CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END))" for c in _COV)
+    + " / 5e0)", "mean_missing") + " FROM enriched")
+
+Q["station_kind_counts"] = with_ctes(["all_stations"], """
+SELECT is_grand_paris, count(*) AS n FROM all_stations GROUP BY is_grand_paris""")
+
+Q["distinct_stations"] = with_ctes(["enriched"], """
+SELECT DISTINCT station_id FROM enriched WHERE station_id IS NOT NULL""")

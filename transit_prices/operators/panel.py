@@ -113,7 +113,7 @@ def station_month_features(
     aggs = [F.count(F.lit(1)).alias("n_transactions")]
     if target_col:
         aggs.append(fixed_avg(target_col).alias(target_col))
-    aggs += [F.avg(c).alias(c) for c in numeric_cols if c != target_col]
+    aggs += [fixed_avg(c).alias(c) for c in numeric_cols if c != target_col]
     aggs += [F.avg(F.col(c).eqNullSafe(v).cast("double")).alias(name) for name, (c, v) in shares.items()]
     agg = keyed.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(*aggs)
     if complete_only:
@@ -139,7 +139,7 @@ def station_month_features_mode(
     modes = keyed.agg(*[F.mode(c, True).alias(f"_mode_{c}") for c in categorical_cols])
     with_mode = keyed.crossJoin(F.broadcast(modes))
     aggs = [F.count(F.lit(1)).alias("n_transactions")]
-    aggs += [F.avg(c).alias(c) for c in numeric_cols]
+    aggs += [fixed_avg(c).alias(c) for c in numeric_cols]
     aggs += [F.avg(F.col(c).eqNullSafe(F.col(f"_mode_{c}")).cast("double")).alias(f"{c}_share") for c in categorical_cols]
     agg = with_mode.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(*aggs)
     if complete_only:
@@ -153,7 +153,7 @@ def station_month_modes(df: DataFrame, date_col: str, station_col: str, numeric_
     column (ties -> smallest; all-null -> null); rows with a null dropped."""
     keyed = df.where(F.col(station_col).isNotNull() & F.col(date_col).isNotNull())
     agg = keyed.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(
-        *[F.avg(c).alias(c) for c in numeric_cols],
+        *[fixed_avg(c).alias(c) for c in numeric_cols],
         *[F.mode(c, True).alias(c) for c in categorical_cols],
     )
     return agg.select(station_col, "date", *numeric_cols, *categorical_cols).na.drop(how="any")

@@ -35,10 +35,12 @@ def round_binary(col, digits: int = DIGITS):
     return F.round(col * F.lit(scale)) / F.lit(scale)
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (float noise differs between engines)."""
+def rounded(df: DataFrame, digits: int = DIGITS, per_column: dict | None = None) -> DataFrame:
+    """Round every double column (float noise differs between engines);
+    ``per_column`` overrides the places for wide-range columns."""
+    per_column = per_column or {}
     return df.select(*[
-        round_binary(F.col(f.name), digits).alias(f.name)
+        round_binary(F.col(f.name), per_column.get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
