@@ -40,18 +40,18 @@ def did_by_group(
     in_pre = rel.between(pre_window[0], pre_window[1])
     in_post = rel.between(post_window[0], post_window[1])
     tags = F.array(F.when(in_pre, F.lit("pre")), F.when(in_post, F.lit("post")))
-    rows = usable.select(F.col(group_col), gap.alias("g"), F.col(tx_col).alias("t"), F.explode(tags).alias("side")) \
-        .where(F.col("side").isNotNull())
-    pre = F.col("side") == "pre"
-    post = F.col("side") == "post"
-    signed = F.when(pre, -F.col("g")).otherwise(F.col("g"))
+    rows = usable.select(F.col(group_col), gap.alias("_g"), F.col(tx_col).alias("_t"), F.explode(tags).alias("_side")) \
+        .where(F.col("_side").isNotNull())
+    pre = F.col("_side") == "pre"
+    post = F.col("_side") == "post"
+    signed = F.when(pre, -F.col("_g")).otherwise(F.col("_g"))
     agg = rows.groupBy(group_col).agg(
-        F.avg(F.when(pre, F.col("g"))).alias("pre_mean"),
+        F.avg(F.when(pre, F.col("_g"))).alias("pre_mean"),
         F.count_if(pre).alias("n_pre"),
-        F.sum(F.when(pre, F.col("t"))).alias("n_tx_pre"),
-        F.avg(F.when(post, F.col("g"))).alias("post_mean"),
+        F.sum(F.when(pre, F.col("_t"))).alias("n_tx_pre"),
+        F.avg(F.when(post, F.col("_g"))).alias("post_mean"),
         F.count_if(post).alias("n_post"),
-        F.sum(F.when(post, F.col("t"))).alias("n_tx_post"),
+        F.sum(F.when(post, F.col("_t"))).alias("n_tx_post"),
         F.stddev_samp(signed).alias("_std"),
         F.count(F.lit(1)).alias("n_obs"),
     ).where((F.col("n_pre") > 0) & (F.col("n_post") > 0))

@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,7 +178,8 @@ def run_dml(
 def default_forest(seed: int):
     from pyspark.ml.regression import RandomForestRegressor
 
-    return RandomForestRegressor(numTrees=200, maxDepth=10, minInstancesPerNode=5, seed=seed)
+    # a larger node-memory budget lets each data pass split more nodes
+    return RandomForestRegressor(numTrees=200, maxDepth=10, minInstancesPerNode=5, seed=seed, maxMemoryInMB=1024)
 
 
 def _dml_ml_stats(df, y_col, d_col, x_cols, n_splits, ml_y, ml_d, seed, fold_col, key_cols):
@@ -189,6 +191,9 @@ def _dml_ml_stats(df, y_col, d_col, x_cols, n_splits, ml_y, ml_d, seed, fold_col
         "_fold", F.col(y_col).cast("double").alias("_y"), F.col(d_col).cast("double").alias("_d"), "_x")
     ml_y = ml_y or default_forest(seed)
     ml_d = ml_d or default_forest(seed + 1)
+    # read by 2k fits and the scoring: keep it (memory, then disk) instead of
+    # recomputing the lineage each time; a lost block is recomputed
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     parts = []
     for f in range(n_splits):
         train = data.where(F.col("_fold") != f)
@@ -202,6 +207,7 @@ def _dml_ml_stats(df, y_col, d_col, x_cols, n_splits, ml_y, ml_d, seed, fold_col
         res = res.unionByName(p)
     r = res.agg(F.sum(F.col("yt") * F.col("dt")).alias("syd"), F.sum(F.col("dt") * F.col("dt")).alias("sdd"),
                 F.sum(F.col("yt") * F.col("yt")).alias("syy"), F.count(F.lit(1)).alias("n")).first()
+    data.unpersist()
     return r["syd"] or 0.0, r["sdd"] or 0.0, r["syy"] or 0.0, r["n"]
 
 
@@ -228,7 +234,7 @@ def run_dml_by_station(
     x_cols = list(x_cols)
     extra = [station_col] + ([fold_col] if fold_col else []) + list(key_cols)
     data, _ = prepare_dml_frame(df, y_col, base_treat_col, x_cols, extra=extra)
-    data = assign_folds(data, n_splits, fold_col, key_cols, random_state)
+    data = assign_folds(data, n_splits, fold_col, key_cols, random_state).persist(StorageLevel.MEMORY_AND_DISK)
     st = _fold_stats(data, y_col, base_treat_col, x_cols, n_splits)
     z = _z(x_cols)
     q = len(z)
@@ -237,6 +243,7 @@ def run_dml_by_station(
     per = treated.groupBy("_fold", station_col).agg(
         F.count(F.lit(1)).alias("m"), F.sum(y).alias("sy"),
         *[F.sum(z[i]).alias(f"z_{i}") for i in range(q)]).collect()
+    data.unpersist()
     by_station: dict = {}
     for r in per:
         by_station.setdefault(r[station_col], {})[r["_fold"]] = r

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .features import categories
 from .regress import regression_metrics
 
 
@@ -49,7 +48,7 @@ def forecast_station_prices(
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
-    data = lag_features(panel, station_col, date_col, target_col, n_lags, extra_cols)
+    data = lag_features(panel, station_col, date_col, target_col, n_lags, extra_cols).persist()
     lag_cols = [c for c in data.columns if "_lag" in c]
     start = F.to_date(F.lit(str(test_start)))
     train = data.where(F.col(date_col) < start)
