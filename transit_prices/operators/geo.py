@@ -34,6 +34,7 @@ from ..functions.text import department_from_postcode
 DEFAULT_MAX_BROADCAST_STATIONS = 200_000
 TIE_DECIMALS = 9
 _CHUNK_PAIRS = 4_000_000
+_BAND = 1e-13          # squared-chord band (radians^2) re-ranked exactly
 
 
 def _unit_vectors(lat_deg, lon_deg):
@@ -59,17 +60,25 @@ def _nearest_numpy(plat, plon, slat, slon, sid):
     for start in range(0, idx_valid.shape[0], step):
         rows = idx_valid[start:start + step]
         pv = pv_all[start:start + step]
-        d2 = ((pv[:, None, :] - sv[None, :, :]) ** 2).sum(axis=2)
+        # squared chord = 2 - 2 p.s: one matrix product (BLAS); its rounding
+        # error (~1e-15) is far below the re-ranking band used below
+        d2 = 2.0 - 2.0 * (pv @ sv.T)
         arg = d2.argmin(axis=1)
         mn = d2[np.arange(rows.shape[0]), arg]
-        # near-ties: recompute the declared order (rounded distance, id)
-        near = d2 <= (mn * (1.0 + 1e-7) + 1e-24)[:, None]
+        # every station within the band of the best (about 2 m) is re-ranked
+        # by the declared order: haversine rounded to 1e-9 km, then id
+        # (stations are sorted by id, so the first minimum is the smallest)
+        near = d2 <= (mn + _BAND)[:, None]
         multi = np.nonzero(near.sum(axis=1) > 1)[0]
-        for r in multi:
-            cand = np.nonzero(near[r])[0]
-            h = np.round(haversine_km_np(plat[rows[r]], plon[rows[r]], slat[cand], slon[cand]), TIE_DECIMALS)
-            order = np.lexsort((sid[cand], h))
-            arg[r] = cand[order[0]]
+        if multi.size:
+            r, cand = np.nonzero(near[multi])          # candidate pairs only
+            pr = rows[multi][r]
+            h = np.round(haversine_km_np(plat[pr], plon[pr], slat[cand], slon[cand]), TIE_DECIMALS)
+            order = np.lexsort((cand, h, r))           # by row, distance, id
+            r_s = r[order]
+            first = np.ones(r_s.shape[0], dtype=bool)
+            first[1:] = r_s[1:] != r_s[:-1]
+            arg[multi[r_s[first]]] = cand[order][first]
         best[rows] = arg
         dist[rows] = haversine_km_np(plat[rows], plon[rows], slat[arg], slon[arg])
     return best, dist
@@ -78,11 +87,13 @@ def _nearest_numpy(plat, plon, slat, slon, sid):
 def _station_arrays(stations: DataFrame, lat_col, lon_col, id_col, max_rows):
     valid = stations.where(F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
                            & ~F.isnan(lat_col) & ~F.isnan(lon_col) & F.col(id_col).isNotNull())
-    n = valid.count()
-    if n > max_rows:
-        return None
+    # one job: at most max_rows + 1 rows come back, so the bound is checked
+    # without ever pulling an unbounded table to the driver
     rows = valid.select(F.col(id_col).alias("i"), F.col(lat_col).cast("double").alias("a"),
-                        F.col(lon_col).cast("double").alias("o")).orderBy("i", "a", "o").collect()
+                        F.col(lon_col).cast("double").alias("o")).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    rows.sort(key=lambda r: (r["i"], r["a"], r["o"]))
     sid = np.array([r["i"] for r in rows])
     slat = np.array([r["a"] for r in rows], dtype=float)
     slon = np.array([r["o"] for r in rows], dtype=float)

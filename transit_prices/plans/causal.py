@@ -54,7 +54,9 @@ def prepared_new_stations(inp: Inputs) -> DataFrame:
     """D15 then D8: the new stations with city, postcode, department and
     city code (reverse geocoding against the register, no web calls)."""
     located = geo.nearest_address(inp.new_stations, inp.register)
-    return enrich.prepare_new_stations(located, inp.indicators)
+    # a small dimension read by several jobs (size check, broadcast arrays,
+    # panel attributes): keep it rather than recompute the reverse lookup
+    return enrich.prepare_new_stations(located, inp.indicators).persist()
 
 
 def historic_stations(inp: Inputs) -> DataFrame:

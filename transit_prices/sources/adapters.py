@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .readers import read_table
+from .readers import ensure_parallelism, read_table
 
 NATURE_VEFA = "Vente en l'état futur d'achèvement"
 
@@ -43,10 +43,10 @@ def _milli_text(milli):
 
 def sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation, only the columns the domain needs."""
-    li = _t(spark, sf_dir, "lineitem").select(
+    li = ensure_parallelism(_t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
+    ))
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -130,7 +130,7 @@ def sales_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def register_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Address register: one row per customer; customers sharing
     (number, nation) share an address, so a key can hold several points."""
-    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = ensure_parallelism(_t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     df = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return df.select(

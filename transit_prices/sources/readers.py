@@ -137,3 +137,15 @@ def read_prepared(spark: SparkSession, path: str, fmt: str = "parquet", **option
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver tables: one Parquet file per table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a table whose scan yields fewer splits than the cluster has
+    cores (one small file = one row group = one task) before CPU-heavy
+    work. Decided at planning time from the scan's split count (no job);
+    on large inputs, which already have many splits, it adds nothing."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
