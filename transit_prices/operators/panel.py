@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import fixed_avg
+from ..functions.numeric import FIXED_DIGITS, fixed_avg, fixed_sum
 from .enrich import bounded_broadcast
 
 # Panel names of the indicator means (output name -> enriched column).
@@ -65,17 +65,56 @@ def build_control_series(control: DataFrame, name: str, date_col: str = "date_mu
     )
 
 
+def monthly_cube(enriched: DataFrame, date_col: str = "date_mutation", station_col: str = "station_id") -> DataFrame:
+    """One pass over the enriched sales: additive sums per (station, month,
+    is_gp, is_hist) - row count, fixed-point price sum, and sum / non-null
+    count of each panel indicator. Every panel and control series below is a
+    re-aggregation of this small table, so the sales are read once."""
+    present = {k: v for k, v in PANEL_INDICATORS.items() if v in enriched.columns}
+    aggs = [F.count(F.lit(1)).alias("_n"), fixed_sum("prix_m2").alias("_psum"), F.count("prix_m2").alias("_pn")]
+    for k, v in present.items():
+        aggs += [F.sum(v).alias(f"_s_{k}"), F.count(v).alias(f"_c_{k}")]
+    return enriched.groupBy(F.col(station_col).alias("station_id"), F.trunc(F.col(date_col), "MM").alias("date"),
+                            "is_gp", "is_hist").agg(*aggs)
+
+
+def _cube_aggs(cube: DataFrame, cond, price_name: str, n_name: str, indicators: bool):
+    """Conditional re-aggregation of the cube. Conditions sit inside the
+    aggregates, not in filters, so that Catalyst cannot push them below the
+    shared cube and every consumer reads the same (reused) exchange."""
+    scale = F.lit(float(10 ** FIXED_DIGITS))
+    pick = lambda c: F.when(cond, F.col(c))
+    aggs = [F.sum(pick("_n")).alias(n_name), (F.sum(pick("_psum")) / F.sum(pick("_pn")) / scale).alias(price_name)]
+    if indicators:
+        for k in PANEL_INDICATORS:
+            if f"_s_{k}" in cube.columns:
+                aggs.append((F.sum(pick(f"_s_{k}")) / F.sum(pick(f"_c_{k}"))).alias(k))
+    return aggs
+
+
 def build_full_panel(enriched: DataFrame, stations: DataFrame, rates: DataFrame | None = None,
                      date_col: str = "date_mutation") -> DataFrame:
     """C16 + F1 + F2 + D4 + D12: treated panel with rate and two control
-    series by month."""
-    treated, control_hist, control_rest = treatment_subsets(enriched)
-    panel = build_treated_monthly(treated, stations, date_col)
+    series by month, all derived from one ``monthly_cube`` pass over the
+    sales (the treated and control subsets never rescan them)."""
+    # small (stations x months x 4 flags) and read by two consumers: kept,
+    # so the sales are scanned exactly once
+    cube = monthly_cube(enriched, date_col).persist()
+    is_gp, is_hist = F.col("is_gp"), F.col("is_hist")
+    treated = cube.groupBy("station_id", "date").agg(
+        *_cube_aggs(cube, is_gp, "prix_m2_mean", "n_transactions", True)).where(F.col("n_transactions") > 0)
+    controls = cube.groupBy("date").agg(
+        *_cube_aggs(cube, ~is_gp & is_hist, "prix_control_hist", "n_control_hist", False),
+        *_cube_aggs(cube, ~is_gp, "prix_control_rest", "n_control_rest", False))
+    g = stations.select("station_id", "nom_gare", "ligne_clean", "departement", "date_signature", "date_ouverture")
+    g = g.groupBy("station_id").agg(F.min(F.struct(*[c for c in g.columns if c != "station_id"])).alias("s")) \
+        .select("station_id", "s.*")
+    panel = treated.join(bounded_broadcast(g), "station_id", "left").withColumn(
+        "relative_signature_year", F.year("date") - F.year("date_signature"))
     if rates is not None:
         panel = panel.join(bounded_broadcast(rates.select("date", "taux")), "date", "left")
-    for sub, name in ((control_hist, "control_hist"), (control_rest, "control_rest")):
-        panel = panel.join(bounded_broadcast(build_control_series(sub, name, date_col)), "date", "left")
-    return panel
+    # months are a bounded dimension: the control table is broadcast
+    return panel.join(F.broadcast(controls), "date", "left")
 
 
 # ---------------------------------------------------------------------------

@@ -6,7 +6,7 @@ except the (size-checked) station coordinates used by the nearest join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,30 +19,49 @@ from ..sources import adapters
 DRIVER_RADIUS_KM = 3.0
 
 
-@dataclass
 class Inputs:
-    sales: DataFrame
-    register: DataFrame
-    new_stations: DataFrame
-    existing_stations: DataFrame
-    rates: DataFrame
-    rates_ym: DataFrame
-    indicators: DataFrame
-    communes: DataFrame
+    """The cleaned domain feeds, each built on first use (a query that only
+    needs the sales never plans the station or rate feeds)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return clean.clean_sales(adapters.sales_raw(self.spark, self.sf_dir), keep_extra=("sale_id", "order_key"))
+
+    @cached_property
+    def register(self) -> DataFrame:
+        return clean.clean_register(adapters.register_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def new_stations(self) -> DataFrame:
+        return clean.clean_new_stations(adapters.new_stations_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def existing_stations(self) -> DataFrame:
+        return clean.clean_existing_stations(adapters.existing_stations_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def rates(self) -> DataFrame:
+        return clean.clean_rates(adapters.rates_daily_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def rates_ym(self) -> DataFrame:
+        return adapters.rates_monthly(self.spark, self.sf_dir)
+
+    @cached_property
+    def indicators(self) -> DataFrame:
+        return clean.clean_indicators(adapters.indicators_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def communes(self) -> DataFrame:
+        return adapters.communes(self.spark, self.sf_dir)
 
 
 def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Raw feeds (adapters) through their cleaners."""
-    return Inputs(
-        sales=clean.clean_sales(adapters.sales_raw(spark, sf_dir), keep_extra=("sale_id", "order_key")),
-        register=clean.clean_register(adapters.register_raw(spark, sf_dir)),
-        new_stations=clean.clean_new_stations(adapters.new_stations_raw(spark, sf_dir)),
-        existing_stations=clean.clean_existing_stations(adapters.existing_stations_raw(spark, sf_dir)),
-        rates=clean.clean_rates(adapters.rates_daily_raw(spark, sf_dir)),
-        rates_ym=adapters.rates_monthly(spark, sf_dir),
-        indicators=clean.clean_indicators(adapters.indicators_raw(spark, sf_dir)),
-        communes=adapters.communes(spark, sf_dir),
-    )
+    """Raw feeds (adapters) through their cleaners, lazily."""
+    return Inputs(spark, sf_dir)
 
 
 def all_stations(inp: Inputs) -> DataFrame:
