@@ -212,3 +212,14 @@ def clean_indicators(df: DataFrame) -> DataFrame:
         "code_ville": F.col("code_ville").cast("string"),
         "ville_norm": tx.fold_accents("ville", strip_first=False, null_as_empty=False),
     })
+
+
+def station_subset(stations: DataFrame, id_col: str = "id_gare") -> DataFrame:
+    """Id, name, latitude, longitude; when the id column is absent it is
+    made from the declared order (name, latitude, longitude), 0-based. The
+    window runs over the station dimension only."""
+    if id_col not in stations.columns:
+        order = Window.orderBy(F.col("nom_gare").asc_nulls_last(), F.col("latitude").asc_nulls_last(),
+                               F.col("longitude").asc_nulls_last())
+        stations = stations.withColumn(id_col, (F.row_number().over(order) - 1).cast("int"))
+    return stations.select(id_col, "nom_gare", "latitude", "longitude")
