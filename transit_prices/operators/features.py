@@ -14,14 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_CATEGORIES = 10_000
+EXACT_QUANTILE_ROWS = 10_000_000
 
 
-def fit_scaler(df: DataFrame, cols, kind: str = "standard", exact: bool = True, accuracy: int = 100000) -> DataFrame:
+def fit_scaler(df: DataFrame, cols, kind: str = "standard", exact: bool | None = None,
+               accuracy: int = 100000) -> DataFrame:
     """One-row table ``{col}__center``, ``{col}__scale`` per column.
 
     standard: mean, population std (ddof 0); robust: median, IQR (linear
-    interpolation; ``exact=False`` uses the mergeable sketch for very large
-    inputs); minmax: min, max - min. Zero spread -> scale 1."""
+    interpolation, as the reference); minmax: min, max - min. Zero spread ->
+    scale 1. The exact quantile keeps every distinct value of a column in one
+    final task, so by default (``exact=None``) it is used only when the
+    input is proven to hold at most ``EXACT_QUANTILE_ROWS`` rows; beyond that
+    the mergeable quantile sketch (rank error 1/accuracy) is used."""
+    if kind == "robust" and exact is None:
+        exact = df.limit(EXACT_QUANTILE_ROWS + 1).count() <= EXACT_QUANTILE_ROWS
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
