@@ -61,3 +61,14 @@ def test_by_station_equals_per_station_loop(spark):
 def test_min_treated_skips(spark):
     df, *_ = _frame(spark, n=500)
     assert dml.run_dml_by_station(df, "y", "d", "station", ["x1"], fold_col="key", min_treated=10_000).count() == 0
+
+
+def test_forest_dml_recovers_planted_effect(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    df, *_ = _frame(spark, n=1500, effect=0.3, seed=9)
+    rf = lambda s: RandomForestRegressor(numTrees=20, maxDepth=5, minInstancesPerNode=5, seed=s)
+    r = dml.run_dml(df, "y", "d", ["x1", "x2"], n_splits=2, nuisance="forest", ml_y=rf(1), ml_d=rf(2),
+                    fold_col="key").first()
+    assert r["n"] == 1500 and r["se_tau"] > 0
+    assert abs(r["tau_hat"] - 0.3) < 5 * r["se_tau"]
