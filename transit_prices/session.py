@@ -7,6 +7,8 @@ existing ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,3 +84,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
             raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage")
         df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=eager)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package (once per application), so that
+    functions passed to Spark find it wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_transit_prices_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="transit-prices-"), "transit_prices_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._transit_prices_shipped = True
