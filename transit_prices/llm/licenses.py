@@ -1,10 +1,10 @@
 """Licence scans with sparse TF-IDF vectors (native functions only).
 
-Passages of a text, its lines and, for candidates, the whole text, are compared with
-templates of licence headers and files. Terms weigh log((1 + N) / (1 + document
+Passages of a text, its lines and the whole text, are compared with templates of
+licence headers and files. Terms weigh log((1 + N) / (1 + document
 frequency)), with frequencies over all documents; terms outside the templates weigh as if no
-document held them. A passage is a candidate if it holds a template term that is no stop
-word. The best cosine at or above ``min_cosine`` names a document's own licence.
+document held them. A line is a candidate if it holds a template term that is no stop
+word; a whole text if, besides, half of its terms or more are template terms. The best cosine at or above ``min_cosine`` names a document's own licence.
 
 A document whose whole text matches is a licence file of its directory.
 Documents without a licence of their own inherit from the nearest ancestor directory that has a
@@ -19,6 +19,7 @@ first name; repeated rows count as one file of that path; an empty table gives n
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,21 +43,18 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 #: Template terms that do not make a passage a candidate on their own.
-STOP_WORDS = "a all and any are as by can either following for form forms free general in is it later met modify of or person public published source subject terms that the this to under use version with without work you 2.0 3 4.0 v".split()
+STOP_WORDS = "a all and any are as by can either following for form forms free general in is it later met modify of or person public published source subject terms that the this to under use version with without work you 0 2 3 4 v".split()
 MIN_COSINE = 0.75
-TERM = "[^a-z0-9.-]+"
+TERM = "[^a-z0-9]+"
 
 
 def terms(text: Column) -> Column:
-    """Lower-case terms of letters, digits, dots and hyphens, without outer dots."""
-    parts = F.split(F.lower(text), TERM)
-    return F.filter(F.transform(parts, lambda t: F.regexp_replace(t, r"^[.-]+|[.-]+$", "")), lambda t: t != "")
+    """Lower-case runs of letters a-z and digits."""
+    return F.array_remove(F.split(F.lower(text), TERM), "")
 
 
 def _python_terms(text: str) -> list[str]:
-    import re
-
-    return [t for t in (x.strip(".-") for x in re.split(TERM, text.lower())) if t]
+    return [t for t in re.split(TERM, text.lower()) if t]
 
 
 def scan(
@@ -72,15 +70,12 @@ def scan(
     strong = sorted(set(vocabulary) - set(STOP_WORDS))
     known, wanted = F.array(*map(F.lit, vocabulary)), F.array(*map(F.lit, strong))
 
-    # one reading of the texts: per document its template terms, and its candidate lines
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), terms(x).alias("terms"))), lambda x: F.arrays_overlap(x["terms"], wanted))
+    # one reading of the texts: the template terms of each; only texts with a strong one go on
+    held = rows.withColumn("held", F.array_intersect(F.split(F.lower("text"), TERM), known))
     read = written(
-        rows.select(
-            "doc_id", "path", F.xxhash64("doc_id", "path", "text").alias("twin"),
-            F.array_intersect(terms(F.col("text")), known).alias("held"),
-            F.transform(lines, lambda x: x["line"]).alias("lines"),
-            # the whole text is compared too, where it could be a licence file: it has a candidate line
-            F.when(F.size(lines) > 0, F.col("text")).alias("text"),
+        held.select(
+            "doc_id", "path", F.xxhash64("doc_id", "path", "text").alias("twin"), "held",
+            F.when(F.arrays_overlap("held", wanted), F.col("text")).alias("text"),
         )
     )
     n = read.count()
@@ -100,11 +95,16 @@ def scan(
     template = spark.createDataFrame(vectors, "template int, license string, term string, part double")
 
     # a line that a text repeats counts once
-    passages = read.where(F.size("lines") > 0).dropDuplicates(["doc_id", "twin"]).select(
+    texts = read.where("text is not null").dropDuplicates(["doc_id", "twin"]).withColumn("line", F.array_distinct(F.split("text", "\n")))
+    lines = F.filter("line", lambda x: F.arrays_overlap(terms(x), wanted))
+    words = terms(F.col("text"))
+    known_words = F.size(F.filter(words, lambda t: F.array_contains(known, t)))
+    whole = F.when(2 * known_words >= F.size(words), F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("passage"))))
+    passages = texts.select(
         "doc_id", "path", "twin",
         F.explode(F.concat(
-            F.transform(F.array_distinct("lines"), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("passage"))),
-            F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("passage"))),
+            F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("passage"))),
+            F.coalesce(whole, F.array().cast("array<struct<whole:boolean,passage:string>>")),
         )).alias("p"),
     ).select("doc_id", "path", "twin", "p.*").withColumn("number", F.xxhash64("whole", "passage"))
     own = ["doc_id", "path", "twin", "whole", "number"]
