@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from ..session import ship_package
 from .common import named, slices, written
 
 OWN_WORDS = 1 << 16
-STATES = 6
+STATES = 5
 ROUNDS = 2
 START_WORDS = 512
 SEGMENT = 64
@@ -402,14 +403,15 @@ def score(
             )
 
     scored = numbered.select("row", "doc_id", "held_out", "ids").mapInArrow(run, schema)
-    # the words that share a symbol: one row per word and document, joined with its exact count
-    spread = numbered.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
+    # the words that share a symbol: a row for each, joined with its exact count. None is
+    # frequent, so no key is hot; a partition's counts fit a hash table and spare two sorts
+    spread = numbered.select("row", F.explode("others").alias("word"))
     c = F.coalesce(F.col("c"), F.lit(0))
     others = (
-        spread.join(counts, "word", "left")
+        spread.join(counts.hint("shuffle_hash"), "word", "left")
         .groupBy("row").agg(
-            F.sum(F.col("times") * F.log10((c + ADD) / F.lit(float(z)))).alias("others"),
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known"),
+            F.sum(F.log10((c + ADD) / F.lit(float(z)))).alias("others"),
+            F.sum((c > 0).cast("long")).alias("known"),
         )
     )
     both = scored.join(others, "row", "left")
