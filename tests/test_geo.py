@@ -74,3 +74,30 @@ def test_nearest_address(spark):
     out = {r["id_gare"]: r for r in geo.nearest_address(st, reg).collect()}
     assert out[1]["code_postal"] == "75001" and out[1]["departement"] == "75" and out[1]["ville"] == "PARIS"
     assert out[2]["code_postal"] is None
+
+
+def test_grid_equals_broadcast_at_the_edges(spark):
+    rng = random.Random(11)
+    stations = [(f"s{i:02d}", rng.choice([-89.9, -60.0, 0.0, 48.0, 89.5]) + rng.random() * 0.4, lon) for i, lon in enumerate(
+        [-179.999, 179.985, 179.9, -179.5, 0.0, 2.0, 2.0, 90.0, -90.0, 120.0, 45.0, -10.0])]
+    stations += [("zz", stations[0][1], stations[0][2]), ("aa", stations[3][1], stations[3][2]), ("nan", float("nan"), 1.0), ("null", None, 1.0)]
+    pts = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(120)]
+    pts += [(200, stations[0][1], 179.999), (201, float("nan"), 2.0), (202, None, 2.0), (203, 90.0, 0.0), (204, -90.0, 77.0), (205, 0.0, -180.0), (206, 0.0, 180.0)]
+    pts += [(300 + i, a, o) for i, (_, a, o) in enumerate(stations[:12])]
+    sdf = spark.createDataFrame(stations, "station_id string, latitude double, longitude double")
+    pdf = spark.createDataFrame(pts, "pid long, lat double, lon double")
+    good = [s for s in stations if s[1] is not None and not math.isnan(s[1])]
+    want = brute([(i, None if a is None or math.isnan(a) else a, o) for i, a, o in pts], good)
+    for strategy in ("broadcast", "grid"):
+        out = geo.attach_nearest(pdf, "lat", "lon", sdf, "latitude", "longitude", "station_id", "gp", strategy=strategy)
+        _check(out.select("pid", "gp_id", "gp_distance_km").collect(), want)
+
+
+def test_dense_cell_and_ties_on_the_grid(spark):
+    # many stations in one cell, many at one position
+    stations = [(i, 48.70 + (i % 40) * 1e-5, 2.30) for i in range(400)]
+    pts = [(i, 48.70 + i * 1e-5, 2.31) for i in range(40)]
+    sdf = spark.createDataFrame(stations, "station_id long, latitude double, longitude double")
+    pdf = spark.createDataFrame(pts, "pid long, lat double, lon double")
+    out = geo.attach_nearest(pdf, "lat", "lon", sdf, "latitude", "longitude", "station_id", "gp", strategy="grid")
+    _check(out.select("pid", "gp_id", "gp_distance_km").collect(), brute(pts, stations))

@@ -29,3 +29,20 @@ def test_rename_and_require(spark):
     assert out.columns == ["date_mutation", "other col"]
     with pytest.raises(KeyError):
         readers.require_columns(out, ["date_mutation", "prix_m2"])
+
+
+def test_folder_with_differing_headers(spark, tmpdir_path):
+    cols = ["numero", "nom_voie", "lon"]
+    files = {
+        "a.csv": "numero;nom_voie;lon\n1;RUE A;2.3\n", "b.csv": "id;lon;numero;nom_voie;extra\nx;2.4;2;RUE B;y\n",
+        "sub/c.csv": "numero;nom_voie\n3;RUE C\n", "d.csv": "", "e.csv": "numero;nom_voie;lon\n", "f.txt": "numero\n9\n",
+    }
+    for name, text in files.items():
+        path = os.path.join(tmpdir_path, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(text)
+    got = sorted(tuple(r) for r in readers.read_csv_folder(spark, tmpdir_path, cols).collect())
+    assert got == [("1", "RUE A", "2.3"), ("2", "RUE B", "2.4"), ("3", "RUE C", None)]
+    listed = {os.path.basename(r["path"]): r["status"] for r in readers.csv_files(spark, tmpdir_path).collect()}
+    assert listed == {"a.csv": "ok", "b.csv": "ok", "c.csv": "ok", "e.csv": "ok"}  # no bytes, nothing to list

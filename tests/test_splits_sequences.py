@@ -59,3 +59,31 @@ def test_last_n_and_date_split(spark):
 
     with pytest.raises(ValueError):
         splits.date_split(p, "date", "2030-01-01", "2030-06-01")
+
+
+def test_positions_with_a_payload(spark):
+    n = 1_000_000
+    df = spark.range(n, numPartitions=8).select(
+        ((F.col("id") * 7919) % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"), F.rand(3).alias("x"))
+    pos = splits.global_positions(df, ["k"], num_partitions=16)
+    r = pos.agg(F.countDistinct("_pos").alias("d"), F.max("_pos").alias("m"), F.sum((F.col("_pos") != F.col("k")).cast("int")).alias("wrong"), F.max("payload")).first()
+    assert (r["d"], r["m"], r["wrong"]) == (n, n - 1, 0)
+
+
+def test_splits_with_a_payload_equal_row_number(spark):
+    from pyspark.sql import Window
+
+    n = 20_000
+    df = spark.range(n).select("id", (F.lit(2000) + F.col("id") % 3).alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    df = df.withColumn("s", F.when(F.col("id") % 11 != 0, F.concat(F.lit("s"), (F.col("id") % 5).cast("string"))))
+    for share in (0.0, 0.1, 0.37, 0.8, 1.0):
+        w = Window.orderBy("s", "id")
+        want = df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(n * share)).select("id")
+        got = splits.positional_split(df, ["s", "id"], share)
+        assert got.count() == n
+        train = got.where("split = 'train'").select("id")
+        assert train.count() == int(n * share) and train.exceptAll(want).isEmpty()
+    got = splits.chrono_split(df, "year", 2000, 2001, 0.2, tie_cols=["payload", "id"])
+    kept = df.where("year <= 2001")
+    want = kept.withColumn("rn", F.row_number().over(Window.orderBy("year", "payload", "id"))).where(F.col("rn") <= int(kept.count() * 0.8))
+    assert got.where("split = 'train'").select("id").exceptAll(want.select("id")).isEmpty() and got.count() == kept.count()

@@ -19,8 +19,8 @@ def rnd(expr: str, alias: str) -> str:
 
 
 def favg(expr: str) -> str:
-    """Fixed-point mean (the Spark side's ``fixed_avg``)."""
-    return f"(sum(round(({expr}) * 1e6)) / count({expr}) / 1e6)"
+    """Mean from a decimal sum, so that no summation order matters."""
+    return f"(sum(CAST({expr} AS DECIMAL(28, 9)))::DOUBLE / count({expr}))"
 
 
 def fold(expr: str, strip_first: bool = True) -> str:
@@ -77,7 +77,7 @@ sales_raw AS (
          CAST(l_linenumber AS VARCHAR) AS rooms,
          replace(CAST(l_quantity * 4 AS VARCHAR), '.', ',') AS surface,
          replace(CAST(round(l_extendedprice * 10, 2) AS VARCHAR), '.', ',') AS valeur_fonciere,
-         CAST(o_custkey % 50 AS VARCHAR) AS no_voie,
+         CAST(o_custkey // 4 AS VARCHAR) AS no_voie,
          CASE WHEN o_custkey % 2 = 0 THEN 'AV' ELSE 'RUE' END AS type_voie,
          n_name AS voie, CAST(75000 + n_nationkey AS VARCHAR) AS code_postal, n_name AS commune,
          CAST(n_regionkey AS VARCHAR) AS code_departement, CAST(n_nationkey AS VARCHAR) AS code_commune
@@ -118,7 +118,7 @@ sales_clean AS (
 
 CTE["register"] = """
 register AS (
-  SELECT CAST(c.c_custkey % 50 AS VARCHAR) AS numero,
+  SELECT CAST(c.c_custkey // 4 AS VARCHAR) AS numero,
          (CASE WHEN c.c_custkey % 2 = 0 THEN 'AVENUE ' ELSE 'RUE ' END) || n.n_name AS nom_voie,
          CAST(75000 + n.n_nationkey AS VARCHAR) AS code_postal, n.n_name AS nom_commune,
          2e0 + ((c.c_custkey * 91) % 1000) / 1250e0 AS lon,
@@ -371,7 +371,7 @@ Q["commune_year_prices"] = with_ctes(["sales_clean", "communes"], f"""
 s AS (SELECT * FROM f WHERE code_insee IN (SELECT code_insee FROM communes)),
 y AS (SELECT code_insee, commune, annee, {favg('prix_m2')} AS m, count(*) AS n FROM s GROUP BY ALL),
 p AS (SELECT code_insee, commune, {favg('prix_m2')} AS mp, count(*) AS np FROM s GROUP BY ALL),
-ny AS (SELECT count(DISTINCT annee) AS k FROM s)
+ny AS (SELECT count(DISTINCT annee) AS k FROM f)
 SELECT y.code_insee, y.commune, y.annee, {rnd('y.m', 'prix_m2_moyen')}, y.n AS nb_tx_annee,
        {rnd('p.mp', 'prix_m2_moyen_periode')}, p.np AS nb_tx_periode, {rnd('p.np / ny.k', 'nb_tx_moyen_par_an')}
 FROM y LEFT JOIN p ON y.code_insee = p.code_insee AND y.commune = p.commune CROSS JOIN ny""").replace("\n, f AS", ",\nf AS", 1)

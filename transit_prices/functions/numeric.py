@@ -46,18 +46,13 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
-FIXED_DIGITS = 6
+def exact_sum(col) -> Column:
+    """Sum as DECIMAL(38, 9): independent of partitioning and summation order, and
+    with values taken to 9 decimals. Values of 1e19 and more do not fit and fail the cast."""
+    return F.sum(_c(col).cast("decimal(28,9)"))
 
 
-def fixed_sum(col, digits: int = FIXED_DIGITS) -> Column:
-    """Sum in fixed point (units of 10^-digits): the addends are integers,
-    so the total is exact and independent of partitioning and summation
-    order while it stays below 2^53 units, and a close float beyond. Result
-    is in the scaled unit; divide by ``10**digits`` to get back."""
-    return F.sum(F.round(_c(col) * F.lit(float(10 ** digits))))
-
-
-def fixed_avg(col, digits: int = FIXED_DIGITS) -> Column:
-    """Mean with a fixed-point sum: reproducible to the last bit across runs
-    and cluster sizes (a plain double ``avg`` depends on task order)."""
-    return fixed_sum(col, digits) / F.count(_c(col)) / F.lit(float(10 ** digits))
+def exact_avg(col) -> Column:
+    """Mean from the exact sum: reproducible to the last bit across runs and
+    cluster sizes (a plain double ``avg`` depends on task order)."""
+    return exact_sum(col).cast("double") / F.count(_c(col))

@@ -1,7 +1,7 @@
 """Feature preparation (I1-I5): exact scalers, encoders, design matrix.
 
 Spark ML's scalers differ from the reference's (ddof 1 standard deviation,
-approximate quartiles, constant column -> 0.5, frequency-ordered indexes),
+constant column -> 0.5, frequency-ordered indexes),
 so fitting is one aggregate that returns a one-row parameter table; applying
 is a projection against that table (broadcast, one row), inverting is the
 inverse projection. Parameters can be fitted on the train rows only and
@@ -10,34 +10,67 @@ saved as a table (I5, A13).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 MAX_CATEGORIES = 10_000
-EXACT_QUANTILE_ROWS = 10_000_000
 
 
-def fit_scaler(df: DataFrame, cols, kind: str = "standard", exact: bool | None = None,
-               accuracy: int = 100000) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs) -> list:
+    """Quantiles with linear interpolation, exact at any size: rows are counted per
+    value, the values range-partitioned and written down, and each needed rank is
+    looked up in the one partition whose running count holds it. Null without a value."""
+    x = F.col(col).cast("double")
+    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = cut_lineage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    sums = {r["part"]: r["n"] for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    total = sum(sums.values())
+    if not total:
+        return [None] * len(probs)
+    at = [p * (total - 1) for p in probs]
+    ranks = sorted({int(k) for k in at} | {min(int(k) + 1, total - 1) for k in at})
+    starts, before = {}, 0
+    for part in sorted(sums):
+        starts[part], before = before, before + sums[part]
+    needed = {p: [k for k in ranks if s <= k < s + sums[p]] for p, s in starts.items()}
+    needed = {p: ks for p, ks in needed.items() if ks}
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    inside = ranged.where(F.col("part").isin(list(needed))).withColumn("upto", upto)
+    hit = F.lit(False)
+    for part, ks in needed.items():
+        for k in ks:
+            hit = hit | ((F.col("part") == part) & (F.col("upto") > k - starts[part]) & (F.col("upto") - F.col("n") <= k - starts[part]))
+    # at most two values per quantile come back
+    rows = [(starts[r["part"]] + r["upto"] - r["n"], starts[r["part"]] + r["upto"], r["v"]) for r in inside.where(hit).collect()]
+    value = {k: next(v for lo, hi, v in rows if lo <= k < hi) for k in ranks}
+    out = []
+    for k in at:
+        lo, hi = value[int(k)], value[min(int(k) + 1, total - 1)]
+        out.append(lo if lo == hi else lo + (hi - lo) * (k - int(k)))
+    return out
+
+
+def fit_scaler(df: DataFrame, cols, kind: str = "standard") -> DataFrame:
     """One-row table ``{col}__center``, ``{col}__scale`` per column.
 
     standard: mean, population std (ddof 0); robust: median, IQR (linear
-    interpolation, as the reference); minmax: min, max - min. Zero spread ->
-    scale 1. The exact quantile keeps every distinct value of a column in one
-    final task, so by default (``exact=None``) it is used only when the
-    input is proven to hold at most ``EXACT_QUANTILE_ROWS`` rows; beyond that
-    the mergeable quantile sketch (rank error 1/accuracy) is used."""
-    if kind == "robust" and exact is None:
-        exact = df.limit(EXACT_QUANTILE_ROWS + 1).count() <= EXACT_QUANTILE_ROWS
+    interpolation, as the reference), exact at any size; minmax: min, max - min. Zero
+    spread -> scale 1."""
+    if kind == "robust":
+        values = []
+        for c in cols:
+            low, middle, high = exact_quantiles(df, c, (0.25, 0.5, 0.75))
+            spread = None if low is None else high - low
+            values += [middle, 1.0 if not spread else spread]
+        names = [f"{c}__{p}" for c in cols for p in ("center", "scale")]
+        return df.sparkSession.createDataFrame([tuple(values)], ", ".join(f"`{n}` double" for n in names))
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         if kind == "standard":
             center, scale = F.avg(x), F.stddev_pop(x)
-        elif kind == "robust":
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else \
-                F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-            center, scale = q[1], q[2] - q[0]
         elif kind == "minmax":
             center, scale = F.min(x), F.max(x) - F.min(x)
         else:
@@ -73,8 +106,6 @@ def fit_ordinal(df: DataFrame, col: str) -> DataFrame:
 
 
 def _alpha_window():
-    from pyspark.sql import Window
-
     return Window.orderBy("value")
 
 

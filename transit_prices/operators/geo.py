@@ -9,10 +9,13 @@ exact ways, chosen by a size check on the station table:
   great-circle distance but needs no trigonometry per pair. Only the two
   coordinate columns cross to Python; the point table is never shuffled and
   keeps its row multiplicity.
-* ``grid`` (any size): stations are bucketed into lat/lon cells; each point
-  looks at its 3x3 block of cells through an equi-join. A hit closer than
-  the block's guaranteed radius is final; the rest retry with cells twice
-  as large. Every level is a shuffle join on the cell key, no broadcast.
+* ``grid`` (any size): stations are bucketed into lat/lon cells that wrap around
+  the date line; each point looks at its 3x3 block of cells through an equi-join. A
+  hit closer than the block's guaranteed radius is final; the rest retry with
+  cells twice as large. Every level is a shuffle join on the cell key, no broadcast.
+
+Both give the same rows (tests compare them at the date line, the poles, for NaN, ties
+and text ids). Stations at one position count once, with their smallest id.
 
 Ties: the nearest station is the smallest (distance rounded to 1e-9 km,
 station id), declared so that results do not depend on float noise.
@@ -24,12 +27,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import EARTH_RADIUS_KM, haversine_km, haversine_km_np
 from ..functions.text import department_from_postcode
+from ..session import cut_lineage, ship_package
 
 DEFAULT_MAX_BROADCAST_STATIONS = 200_000
 TIE_DECIMALS = 9
@@ -84,13 +88,24 @@ def _nearest_numpy(plat, plon, slat, slon, sid):
     return best, dist
 
 
+def _known(lat_col, lon_col):
+    """Rows whose coordinates are neither null nor NaN."""
+    lat, lon = F.col(lat_col).cast("double"), F.col(lon_col).cast("double")
+    return lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+
+
+def _positions(stations: DataFrame, lat_col, lon_col, id_col) -> DataFrame:
+    """Rows (i, a, o): the smallest id of each station position. Other stations of
+    a position never win a tie, so they need not be compared."""
+    valid = stations.where(_known(lat_col, lon_col) & F.col(id_col).isNotNull())
+    return valid.groupBy(F.col(lat_col).cast("double").alias("a"), F.col(lon_col).cast("double").alias("o")).agg(
+        F.min(id_col).alias("i")).select("i", "a", "o")
+
+
 def _station_arrays(stations: DataFrame, lat_col, lon_col, id_col, max_rows):
-    valid = stations.where(F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
-                           & ~F.isnan(lat_col) & ~F.isnan(lon_col) & F.col(id_col).isNotNull())
     # one job: at most max_rows + 1 rows come back, so the bound is checked
     # without ever pulling an unbounded table to the driver
-    rows = valid.select(F.col(id_col).alias("i"), F.col(lat_col).cast("double").alias("a"),
-                        F.col(lon_col).cast("double").alias("o")).limit(max_rows + 1).collect()
+    rows = _positions(stations, lat_col, lon_col, id_col).limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
     rows.sort(key=lambda r: (r["i"], r["a"], r["o"]))
@@ -100,21 +115,39 @@ def _station_arrays(stations: DataFrame, lat_col, lon_col, id_col, max_rows):
     return sid, slat, slon
 
 
-def _nearest_udf(sid, slat, slon, id_type):
-    out_type = T.StructType([T.StructField("id", id_type), T.StructField("dist", T.DoubleType())])
+def _nearest_udf(sid, slat, slon):
+    """Number of the nearest station (in id order) and its distance."""
+    out_type = T.StructType([T.StructField("at", T.LongType()), T.StructField("dist", T.DoubleType())])
 
     @F.pandas_udf(out_type)
     def nearest(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
         a = lat.to_numpy(dtype=float, na_value=np.nan)
         o = lon.to_numpy(dtype=float, na_value=np.nan)
         idx, dist = _nearest_numpy(a, o, slat, slon, sid)
-        ids = pd.array(np.where(idx >= 0, sid[np.maximum(idx, 0)], 0), dtype="Int64")
+        ids = pd.array(idx, dtype="Int64")
         ids[idx < 0] = pd.NA
-        return pd.DataFrame({"id": ids, "dist": dist})
+        return pd.DataFrame({"at": ids, "dist": dist})
 
     return nearest
 
 
+def _id_of(number, ids: np.ndarray, id_type) -> Column:
+    """The id of a station number: one literal array, bounded like the stations."""
+    if not len(ids):
+        return F.lit(None).cast(id_type)
+    if isinstance(id_type, (T.LongType, T.IntegerType, T.ShortType)) and (np.diff(ids.astype(np.int64)) == 1).all():
+        return (number + F.lit(int(ids[0]))).cast(id_type)  # consecutive ids need no array
+
+    @F.pandas_udf(id_type)
+    def look_up(at: pd.Series) -> pd.Series:
+        known = at.notna().to_numpy()
+        out = np.full(len(at), None, dtype=object)
+        out[known] = ids[at[known].to_numpy(dtype=np.int64)]
+        return pd.Series(out, dtype=object)
+
+    return look_up(number)
+
+
 def attach_nearest(
     points: DataFrame,
     lat_col: str,
@@ -138,72 +171,69 @@ def attach_nearest(
             raise ValueError(f"more than {max_broadcast} stations: broadcast refused")
     if arrays is not None:
         sid, slat, slon = arrays
-        udf = _nearest_udf(sid, slat, slon, T.LongType())
+        ship_package(points.sparkSession)
+        udf = _nearest_udf(np.arange(len(sid)), slat, slon)
         res = udf(F.col(lat_col).cast("double"), F.col(lon_col).cast("double"))
         tmp = f"_{prefix}_nearest"
         return (
             points.withColumn(tmp, res)
             .withColumn(f"{prefix}_distance_km", F.col(f"{tmp}.dist"))
-            .withColumn(f"{prefix}_id", F.col(f"{tmp}.id").cast(id_type))
+            .withColumn(f"{prefix}_id", _id_of(F.col(f"{tmp}.at"), sid, id_type))
             .drop(tmp)
         )
     return _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix)
 
 
-def _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix,
-                         cell_deg: float = 0.02, max_levels: int = 14):
+def _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix, levels: int = 14):
     """Exact multi-level grid search (no broadcast). Point rows get a stable
     id from the checkpointed input so that results can be joined back."""
-    spark = points.sparkSession
-    from ..session import cut_lineage
-
     pid = "_pt_id"
     pts = cut_lineage(points.withColumn(pid, F.monotonically_increasing_id()))
-    st = stations.where(F.col(station_lat).isNotNull() & F.col(station_lon).isNotNull()).select(
-        F.col(id_col).alias("_sid"), F.col(station_lat).cast("double").alias("_slat"),
-        F.col(station_lon).cast("double").alias("_slon"))
-    todo = pts.where(F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()).select(
+    st = _positions(stations, station_lat, station_lon, id_col).select(
+        F.col("i").alias("_sid"), F.col("a").alias("_slat"), F.col("o").alias("_slon"))
+    todo = pts.where(_known(lat_col, lon_col)).select(
         pid, F.col(lat_col).cast("double").alias("_plat"), F.col(lon_col).cast("double").alias("_plon"))
-    found = []
-    offsets = F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    for level in range(max_levels):
-        c = cell_deg * (2 ** level)
-        last = level == max_levels - 1 or c >= 90.0
-        if last:
-            c = 360.0
-        sc = st.select("*", F.floor(F.col("_slat") / c).alias("_ci"), F.floor(F.col("_slon") / c).alias("_cj"))
-        ex = todo.select("*", F.explode(offsets).alias("_o")).select(
-            pid, "_plat", "_plon",
-            (F.floor(F.col("_plat") / c) + F.col("_o.di")).alias("_ci"),
-            (F.floor(F.col("_plon") / c) + F.col("_o.dj")).alias("_cj"),
-        )
-        if last:
-            ex = todo.select(pid, "_plat", "_plon", F.lit(0).cast("bigint").alias("_ci"), F.lit(0).cast("bigint").alias("_cj"))
-            sc = st.select("*", F.lit(0).cast("bigint").alias("_ci"), F.lit(0).cast("bigint").alias("_cj"))
+    found = nearest_on_grid(todo, st, pid, levels)
+    id_type = stations.schema[id_col].dataType
+    out = pts.join(found, pid, "left")
+    return out.withColumn(f"{prefix}_distance_km", F.col("_d")).withColumn(
+        f"{prefix}_id", F.col("_sid").cast(id_type)).drop(pid, "_d", "_sid")
+
+
+def nearest_on_grid(todo: DataFrame, st: DataFrame, pid: str, levels: int = 14) -> DataFrame:
+    """Rows (pid, _sid, _d) for points (pid, _plat, _plon) against stations (_sid,
+    _slat, _slon); _sid may be a struct, which orders ties."""
+    found = None
+    for level in range(levels - 1, -1, -1):
+        across = 3 * 2 ** level                       # cells around a circle of latitude
+        c = 360.0 / across
+        last = level == 0                             # 3 cells: every block holds all stations
+        row = lambda lat: F.floor((F.col(lat) + 90.0) / c)
+        column = lambda lon: F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / c) % across
+        sc = st.select("*", row("_slat").alias("_ci"), column("_slon").alias("_cj"))
+        block = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda i: F.transform(
+            F.array(*map(F.lit, (-1, 0, 1))),
+            lambda j: F.struct((F.col("_pi") + i).alias("i"), F.pmod(F.col("_pj") + j, F.lit(across)).alias("j"))))))
+        ex = todo.withColumn("_pi", row("_plat")).withColumn("_pj", column("_plon")).select(
+            pid, "_plat", "_plon", F.explode(block).alias("_o")).select(
+            pid, "_plat", "_plon", F.col("_o.i").alias("_ci"), F.col("_o.j").alias("_cj"))
         cand = ex.join(sc, ["_ci", "_cj"]).select(
-            pid, "_plat", "_plon", "_sid",
-            haversine_km("_plat", "_plon", "_slat", "_slon").alias("_d"))
+            pid, "_plat", "_plon", "_sid", haversine_km("_plat", "_plon", "_slat", "_slon").alias("_d"))
         best = cand.groupBy(pid, "_plat", "_plon").agg(
             F.min(F.struct(F.round("_d", TIE_DECIMALS).alias("r"), F.col("_sid").alias("s"), F.col("_d").alias("d"))).alias("_b"))
-        # radius surely covered by the 3x3 block around the point
-        lat_edge = F.least(F.lit(89.999), F.abs(F.col("_plat")) + F.lit(2 * c))
+        # radius surely covered by the block; half a metre less, for ties at its edge
+        lat_edge = F.least(F.lit(90.0), F.abs(F.col("_plat")) + F.lit(2 * c))
         guard = F.lit(EARTH_RADIUS_KM) * F.least(
-            F.lit(math.radians(c)), F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat_edge)) * F.lit(math.sin(math.radians(min(c, 90.0)))))))
-        done = best.where(F.lit(last) | (F.col("_b.d") <= guard))
-        found.append(done.select(pid, F.col("_b.s").alias("_sid"), F.col("_b.d").alias("_d")))
+            F.lit(math.radians(c)), F.asin(F.cos(F.radians(lat_edge)) * F.lit(math.sin(math.radians(min(c, 90.0)))))) - F.lit(5e-4)
+        best = cut_lineage(best.withColumn("_done", F.lit(last) | (F.col("_b.d") <= guard)))
+        done = best.where("_done").select(pid, F.col("_b.s").alias("_sid"), F.col("_b.d").alias("_d"))
+        found = done if found is None else found.unionByName(done)
         if last:
             break
-        todo = cut_lineage(best.where(F.col("_b.d") > guard).select(pid, "_plat", "_plon")
-                           .unionByName(todo.join(best.select(pid), pid, "left_anti")))
+        todo = cut_lineage(todo.join(best.where("_done").select(pid), pid, "left_anti"))
         if todo.isEmpty():
             break
-    res = found[0]
-    for f in found[1:]:
-        res = res.unionByName(f)
-    id_type = stations.schema[id_col].dataType
-    out = pts.join(res, pid, "left")
-    return out.withColumn(f"{prefix}_distance_km", F.col("_d")).withColumn(
-        f"{prefix}_id", F.col("_sid").cast(id_type)).drop(pid, "_d", "_sid")
+    return found
 
 
 def nearest_station_with_attrs(
@@ -232,9 +262,8 @@ def nearest_station_with_attrs(
         names = with_id.join(side.select("_near_id", "nearest_gare"), "_near_id", "left")
         by_name = side.drop("_near_id").withColumnRenamed("nearest_gare", "_n")
         return names.join(by_name, names.nearest_gare == by_name._n, "left").drop("_n", "_near_id")
-    # the station table passed the size check in attach_nearest, so it is
-    # safe to broadcast here; the point table is not shuffled
-    return with_id.join(F.broadcast(side), "_near_id", "left").drop("_near_id")
+    # adaptive execution broadcasts the stations if their run-time size allows it
+    return with_id.join(side, "_near_id", "left").drop("_near_id")
 
 
 def nearest_address(
@@ -242,33 +271,31 @@ def nearest_address(
     register: DataFrame,
     id_col: str = "id_gare",
     max_km: float | None = None,
-    max_broadcast: int = DEFAULT_MAX_BROADCAST_STATIONS,
 ) -> DataFrame:
     """D15 (re-aimed reverse geocoding): for each station, the nearest
     register address -> postcode, city, department (B26).
 
-    Roles are swapped with D2: the few stations are broadcast (after a size
-    check) and the large register is streamed; the minimum is taken with a
-    partial aggregate, so each task sends at most one row per station to the
-    shuffle. Ties: (rounded distance, postcode, city, number, street)."""
-    st = stations.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        F.col(id_col).alias("_sid"), F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
-    if st.count() > max_broadcast:
-        raise ValueError("too many stations to broadcast for the reverse lookup")
-    reg = register.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    pairs = reg.crossJoin(F.broadcast(st)).select(
-        "_sid", "numero", "nom_voie", "code_postal", "nom_commune",
-        haversine_km("_slat", "_slon", "lat", "lon").alias("_d"))
+    The grid search with the stations as points: register rows meet stations by cell
+    keys, at any size of either side. Ties: (rounded distance, postcode, city, number,
+    street)."""
+    st = stations.where(_known("latitude", "longitude") & F.col(id_col).isNotNull()).select(
+        F.struct(F.col(id_col).alias("id"), F.col("latitude").cast("double").alias("a"), F.col("longitude").cast("double").alias("o")).alias("_sid"),
+        F.col("latitude").cast("double").alias("_plat"), F.col("longitude").cast("double").alias("_plon")).distinct()
+    address = F.struct("code_postal", "nom_commune", "numero", "nom_voie")
+    reg = register.where(_known("lat", "lon")).groupBy(F.col("lat").cast("double").alias("_slat"), F.col("lon").cast("double").alias("_slon")).agg(
+        F.min(address).alias("_address"))
+    found = nearest_on_grid(
+        st.withColumnRenamed("_sid", "_station"), reg.withColumnRenamed("_address", "_sid"), "_station")
     if max_km is not None:
-        pairs = pairs.where(F.col("_d") <= max_km)
-    best = pairs.groupBy("_sid").agg(F.min_by(
-        F.struct("code_postal", "nom_commune", "_d"),
-        F.struct(F.round("_d", TIE_DECIMALS), "code_postal", "nom_commune", "numero", "nom_voie")).alias("b"))
-    found = best.select(
-        F.col("_sid").alias(id_col),
-        F.col("b.code_postal").alias("code_postal"),
-        F.col("b.nom_commune").alias("ville"),
-        department_from_postcode(F.col("b.code_postal")).alias("departement"),
-        F.col("b._d").alias("address_distance_km"),
+        found = found.where(F.col("_d") <= max_km)
+    # an id at several positions: the nearest address of all of them
+    found = found.groupBy(F.col("_station.id").alias(id_col)).agg(
+        F.min(F.struct(F.round("_d", TIE_DECIMALS).alias("r"), F.col("_sid").alias("x"), F.col("_d").alias("d"))).alias("b"))
+    found = found.select(
+        id_col,
+        F.col("b.x.code_postal").alias("code_postal"),
+        F.col("b.x.nom_commune").alias("ville"),
+        department_from_postcode(F.col("b.x.code_postal")).alias("departement"),
+        F.col("b.d").alias("address_distance_km"),
     )
     return stations.join(found, id_col, "left")

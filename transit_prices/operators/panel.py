@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import FIXED_DIGITS, fixed_avg, fixed_sum
+from ..functions.numeric import exact_avg, exact_sum
 from .enrich import bounded_broadcast
 
 # Panel names of the indicator means (output name -> enriched column).
@@ -45,7 +45,7 @@ def build_treated_monthly(treated: DataFrame, stations: DataFrame, date_col: str
     month = F.trunc(F.col(date_col), "MM").alias("date")
     present = {k: v for k, v in PANEL_INDICATORS.items() if v in treated.columns}
     agg = treated.groupBy(F.col(station_col).alias("station_id"), month).agg(
-        fixed_avg("prix_m2").alias("prix_m2_mean"),
+        exact_avg("prix_m2").alias("prix_m2_mean"),
         F.count(F.lit(1)).alias("n_transactions"),
         *[F.avg(v).alias(k) for k, v in present.items()],
     )
@@ -60,18 +60,18 @@ def build_control_series(control: DataFrame, name: str, date_col: str = "date_mu
     """month -> mean price and count, names suffixed with ``name``. Few
     keys (months): the partial aggregate leaves one row per month per task."""
     return control.groupBy(F.trunc(F.col(date_col), "MM").alias("date")).agg(
-        fixed_avg("prix_m2").alias(f"prix_{name}"),
+        exact_avg("prix_m2").alias(f"prix_{name}"),
         F.count(F.lit(1)).alias(f"n_{name}"),
     )
 
 
 def monthly_cube(enriched: DataFrame, date_col: str = "date_mutation", station_col: str = "station_id") -> DataFrame:
     """One pass over the enriched sales: additive sums per (station, month,
-    is_gp, is_hist) - row count, fixed-point price sum, and sum / non-null
+    is_gp, is_hist) - row count, exact price sum, and sum / non-null
     count of each panel indicator. Every panel and control series below is a
     re-aggregation of this small table, so the sales are read once."""
     present = {k: v for k, v in PANEL_INDICATORS.items() if v in enriched.columns}
-    aggs = [F.count(F.lit(1)).alias("_n"), fixed_sum("prix_m2").alias("_psum"), F.count("prix_m2").alias("_pn")]
+    aggs = [F.count(F.lit(1)).alias("_n"), exact_sum("prix_m2").alias("_psum"), F.count("prix_m2").alias("_pn")]
     for k, v in present.items():
         aggs += [F.sum(v).alias(f"_s_{k}"), F.count(v).alias(f"_c_{k}")]
     return enriched.groupBy(F.col(station_col).alias("station_id"), F.trunc(F.col(date_col), "MM").alias("date"),
@@ -82,9 +82,8 @@ def _cube_aggs(cube: DataFrame, cond, price_name: str, n_name: str, indicators:
     """Conditional re-aggregation of the cube. Conditions sit inside the
     aggregates, not in filters, so that Catalyst cannot push them below the
     shared cube and every consumer reads the same (reused) exchange."""
-    scale = F.lit(float(10 ** FIXED_DIGITS))
     pick = lambda c: F.when(cond, F.col(c))
-    aggs = [F.sum(pick("_n")).alias(n_name), (F.sum(pick("_psum")) / F.sum(pick("_pn")) / scale).alias(price_name)]
+    aggs = [F.sum(pick("_n")).alias(n_name), (F.sum(pick("_psum")).cast("double") / F.sum(pick("_pn"))).alias(price_name)]
     if indicators:
         for k in PANEL_INDICATORS:
             if f"_s_{k}" in cube.columns:
@@ -151,8 +150,8 @@ def station_month_features(
     keyed = df.where(F.col(station_col).isNotNull() & F.col(date_col).isNotNull())
     aggs = [F.count(F.lit(1)).alias("n_transactions")]
     if target_col:
-        aggs.append(fixed_avg(target_col).alias(target_col))
-    aggs += [fixed_avg(c).alias(c) for c in numeric_cols if c != target_col]
+        aggs.append(exact_avg(target_col).alias(target_col))
+    aggs += [exact_avg(c).alias(c) for c in numeric_cols if c != target_col]
     aggs += [F.avg(F.col(c).eqNullSafe(v).cast("double")).alias(name) for name, (c, v) in shares.items()]
     agg = keyed.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(*aggs)
     if complete_only:
@@ -178,7 +177,7 @@ def station_month_features_mode(
     modes = keyed.agg(*[F.mode(c, True).alias(f"_mode_{c}") for c in categorical_cols])
     with_mode = keyed.crossJoin(F.broadcast(modes))
     aggs = [F.count(F.lit(1)).alias("n_transactions")]
-    aggs += [fixed_avg(c).alias(c) for c in numeric_cols]
+    aggs += [exact_avg(c).alias(c) for c in numeric_cols]
     aggs += [F.avg(F.col(c).eqNullSafe(F.col(f"_mode_{c}")).cast("double")).alias(f"{c}_share") for c in categorical_cols]
     agg = with_mode.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(*aggs)
     if complete_only:
@@ -192,7 +191,7 @@ def station_month_modes(df: DataFrame, date_col: str, station_col: str, numeric_
     column (ties -> smallest; all-null -> null); rows with a null dropped."""
     keyed = df.where(F.col(station_col).isNotNull() & F.col(date_col).isNotNull())
     agg = keyed.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(
-        *[fixed_avg(c).alias(c) for c in numeric_cols],
+        *[exact_avg(c).alias(c) for c in numeric_cols],
         *[F.mode(c, True).alias(c) for c in categorical_cols],
     )
     return agg.select(station_col, "date", *numeric_cols, *categorical_cols).na.drop(how="any")

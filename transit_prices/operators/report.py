@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import FIXED_DIGITS, fixed_avg, fixed_sum
+from ..functions.numeric import exact_avg, exact_sum
 from ..functions.text import zero_pad
 
 
@@ -27,26 +27,28 @@ def commune_year_prices(
 ) -> DataFrame:
     """B14 + C9 + F9 + F10 + D14 + C15: per (commune code, name, year) the
     mean price and count; per (code, name) over the period the mean price,
-    count and count per year (distinct years in the filtered data); only
-    codes in the commune list."""
+    count and count per year (distinct years of all sales in the range,
+    before the commune list applies); only codes in the commune list."""
     s = sales.select(
         zero_pad(F.col(code_col), 5).alias("code_insee"),
         F.col(name_col).alias("commune"),
         F.col(year_col).alias("annee"),
         F.col(price_col).alias("p"),
     ).where(F.col("annee").between(year_range[0], year_range[1]))
+    per_year = s.groupBy("code_insee", "commune", "annee").agg(
+        exact_sum("p").alias("_sum"), F.count(F.lit(1)).alias("nb_tx_annee"))
+    # years of all sales of the period, whether their commune is listed or not;
+    # both readers share the aggregate's exchange
+    n_years = per_year.agg(F.countDistinct("annee").alias("_n_years"))
     if communes is not None:
         # the planner broadcasts the commune list from its size estimate
-        s = s.join(communes.select("code_insee").distinct(), "code_insee", "left_semi")
-    per_year = s.groupBy("code_insee", "commune", "annee").agg(
-        fixed_sum("p").alias("_sum"), F.count(F.lit(1)).alias("nb_tx_annee"))
-    n_years = s.agg(F.countDistinct("annee").alias("_n_years"))
+        per_year = per_year.join(communes.select("code_insee").distinct(), "code_insee", "left_semi")
     w = Window.partitionBy("code_insee", "commune")
     out = per_year.crossJoin(F.broadcast(n_years)).select(
         "code_insee", "commune", "annee",
-        (F.col("_sum") / F.col("nb_tx_annee") / F.lit(float(10 ** FIXED_DIGITS))).alias("prix_m2_moyen"),
+        (F.col("_sum").cast("double") / F.col("nb_tx_annee")).alias("prix_m2_moyen"),
         "nb_tx_annee",
-        (F.sum("_sum").over(w) / F.sum("nb_tx_annee").over(w) / F.lit(float(10 ** FIXED_DIGITS))).alias("prix_m2_moyen_periode"),
+        (F.sum("_sum").over(w).cast("double") / F.sum("nb_tx_annee").over(w)).alias("prix_m2_moyen_periode"),
         F.sum("nb_tx_annee").over(w).alias("nb_tx_periode"),
         (F.sum("nb_tx_annee").over(w) / F.col("_n_years")).alias("nb_tx_moyen_par_an"),
     )
@@ -72,4 +74,4 @@ def select_year(table: DataFrame, year: int, year_col: str = "annee") -> DataFra
 
 def mean_by_dimension(df: DataFrame, dim: str, value_col: str = "prix_m2", out: str = "prix_moyen_agg") -> DataFrame:
     """F12 + H2: mean by a chosen dimension, highest first."""
-    return df.groupBy(dim).agg(fixed_avg(value_col).alias(out)).orderBy(F.col(out).desc(), F.col(dim))
+    return df.groupBy(dim).agg(exact_avg(value_col).alias(out)).orderBy(F.col(out).desc(), F.col(dim))

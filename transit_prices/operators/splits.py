@@ -1,10 +1,10 @@
 """Leak-free splits.
 
-Positional splits need a global row position. It is computed without a
-single-partition window: the rows are range-partitioned on the declared
-order (a hot date is spread over several tasks by the tie-break key),
-sorted within partitions, and each partition's offset comes from a tiny
-per-partition count table.
+Positional splits count rows per date first; whole dates fall on one side, and
+only the rows of the date at the border need positions. Those come without a
+single-partition window: the rows are range-partitioned on the tie-break key,
+sorted within partitions and written down, and each partition's offset comes
+from a tiny per-partition count table.
 """
 
 from __future__ import annotations
@@ -13,13 +13,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 
 def global_positions(df: DataFrame, order_cols, out: str = "_pos", num_partitions: int | None = None) -> DataFrame:
     """0-based position of every row in the total order ``order_cols``
-    (which must be unique for the result to be deterministic)."""
+    (which must be unique for the result to be deterministic).
+
+    Each partition's rows and their numbering are written down once, before the
+    partitions are counted: two runs of a range exchange may sample other bounds, and
+    offsets of one run do not fit the rows of another."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_m0"))
     # one row per partition: a global window here is over n rows only
     offs = counts.withColumn(
@@ -29,6 +35,31 @@ def global_positions(df: DataFrame, order_cols, out: str = "_pos", num_partition
     return tagged.join(F.broadcast(offs), "_pid").withColumn(out, pos).drop("_pid", "_mid", "_m0", "_off")
 
 
+def _split_first(df: DataFrame, order_cols, share: float) -> DataFrame:
+    """Add ``split``: 'train' for the first int(N * share) rows in the order, 'test'
+    for the rest. Rows are counted per value of the first order column; whole
+    values fall on one side, and only the rows of the value at the border are ordered."""
+    first = F.col(order_cols[0])
+    counts = df.groupBy(first.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per value of the first order column (dates, stations)
+    upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_v")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    cut = int(total * share)
+    border = upto.where(F.col("_upto") > cut).orderBy("_v").first()
+    if border is None:  # no row, or all are on the first side
+        return df.withColumn("split", F.lit("train"))
+    value = F.lit(border["_v"]).cast(df.schema[order_cols[0]].dataType)
+    at = first.eqNullSafe(value)
+    before = F.lit(False) if border["_v"] is None else (first.isNull() | (first < value))
+    whole = df.where(~at).withColumn("split", F.when(before, "train").otherwise("test"))
+    left = cut - (border["_upto"] - border["_n"])
+    if not left:
+        return whole.unionByName(df.where(at).withColumn("split", F.lit("test")))
+    ordered = global_positions(df.where(at), list(order_cols[1:]) or list(order_cols))
+    ordered = ordered.withColumn("split", F.when(F.col("_pos") < left, "train").otherwise("test")).drop("_pos")
+    return whole.unionByName(ordered)
+
+
 def chrono_split(df: DataFrame, date_col: str, min_year: int, max_year: int, test_size: float = 0.2,
                  tie_cols=()) -> DataFrame:
     """Keep years in [min_year, max_year]; order by date (then the
@@ -37,18 +68,12 @@ def chrono_split(df: DataFrame, date_col: str, min_year: int, max_year: int, tes
     dtype = df.schema[date_col].dataType
     year = F.year(date_col) if isinstance(dtype, (T.DateType, T.TimestampType)) else F.col(date_col)
     kept = df.where(year.between(min_year, max_year))
-    n = kept.count()
-    cut = int(n * (1 - test_size))
-    pos = global_positions(kept, [date_col, *tie_cols])
-    return pos.withColumn("split", F.when(F.col("_pos") < cut, "train").otherwise("test")).drop("_pos")
+    return _split_first(kept, [date_col, *tie_cols], 1 - test_size)
 
 
 def positional_split(df: DataFrame, order_cols, train_frac: float = 0.8) -> DataFrame:
     """First int(N*train_frac) rows in the declared order are train."""
-    n = df.count()
-    cut = int(n * train_frac)
-    pos = global_positions(df, list(order_cols))
-    return pos.withColumn("split", F.when(F.col("_pos") < cut, "train").otherwise("test")).drop("_pos")
+    return _split_first(df, list(order_cols), train_frac)
 
 
 def date_split(df: DataFrame, date_col: str, test_start, test_end, check: bool = True) -> DataFrame:
@@ -62,7 +87,7 @@ def date_split(df: DataFrame, date_col: str, test_start, test_end, check: bool =
     if check:
         r = out.agg(F.count_if(F.col("split") == "train").alias("tr"), F.count_if(F.col("split") == "test").alias("te")).first()
         if not r["tr"] or not r["te"]:
-            raise ValueError(f"Train size= {r['tr']}, Test size={r['te']} One of the splits is empty")
+            raise ValueError(f"date_split leaves an empty side: {r['tr']} rows before the start date, {r['te']} in the test range")
     return out
 
 

@@ -4,13 +4,6 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import queries
+    from . import queries, queries_ml
 
-    out = dict(queries.QUERIES)
-    try:
-        from . import queries_ml
-
-        out.update(queries_ml.QUERIES)
-    except ImportError:
-        pass
-    return out
+    return dict(queries.QUERIES) | queries_ml.QUERIES

@@ -75,13 +75,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss).
 
-    Raises if no checkpoint folder is configured: a machine-local folder is
-    never chosen silently.
+    A session on this very machine gets a folder of its own if none is
+    configured; on a cluster a machine-local folder is never chosen.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        folder = checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = checkpoint_dir(spark)
         if not folder:
-            raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage")
+            master = spark.sparkContext.master
+            if not (master == "local" or master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage")
+            folder = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="transit-prices-ckpt-"))
         df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=eager)
 

@@ -96,7 +96,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("rooms"),
         _num_text(F.col("l_quantity") * 4).alias("surface"),
         _num_text(F.round(F.col("l_extendedprice") * 10, 2)).alias("valeur_fonciere"),
-        (F.col("o_custkey") % 50).cast("string").alias("no_voie"),
+        F.floor(F.col("o_custkey") / 4).cast("string").alias("no_voie"),
         F.when(F.col("o_custkey") % 2 == 0, "AV").otherwise("RUE").alias("type_voie"),
         F.col("n_name").alias("voie"),
         (F.lit(75000) + F.col("n_nationkey")).cast("string").alias("code_postal"),
@@ -128,13 +128,14 @@ def sales_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def register_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Address register: one row per customer; customers sharing
-    (number, nation) share an address, so a key can hold several points."""
+    """Address register: one row per customer; two of four neighbouring
+    customers share an address if they live in one nation, so a key holds one or
+    two points at any scale."""
     c = ensure_parallelism(_t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     df = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return df.select(
-        (F.col("c_custkey") % 50).cast("string").alias("numero"),
+        F.floor(F.col("c_custkey") / 4).cast("string").alias("numero"),
         F.concat(F.when(F.col("c_custkey") % 2 == 0, "AVENUE ").otherwise("RUE "), F.col("n_name")).alias("nom_voie"),
         (F.lit(75000) + F.col("n_nationkey")).cast("string").alias("code_postal"),
         F.col("n_name").alias("nom_commune"),

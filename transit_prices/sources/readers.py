@@ -8,6 +8,8 @@ here, to ASCII snake_case.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,20 +113,41 @@ def read_csv(
         raise
 
 
-def read_csv_folder(spark: SparkSession, folder: str, columns, sep: str = ";") -> DataFrame:
-    """Every ``*.csv`` under a folder, stacked; other files ignored,
-    unreadable files skipped. One scan, split by Spark across tasks."""
-    schema = string_schema(columns)
-    return (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .option("enforceSchema", False)
-        .schema(schema)
-        .csv(folder)
-    )
+def csv_files(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
+    """Rows (path, header, status) of the ``*.csv`` files under a folder: header names
+    in order; status 'ok', 'empty' (no line) or 'unreadable' with the error's first line. Files
+    of no bytes are not listed.
+    One short read per file: register folders hold a file per department."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(folder)
+    rows = []
+    for path in sorted(r["path"] for r in listed.select("path").collect()):
+        try:
+            line = spark.read.text(path).head()
+        except Exception as e:  # the file is reported, not lost
+            rows.append((path, None, "unreadable: " + str(e).strip().splitlines()[0][:200]))
+            continue
+        header = None if line is None else next(csv.reader([line[0].lstrip("\ufeff")], delimiter=sep), [])
+        rows.append((path, header, "ok" if header else "empty"))
+    return spark.createDataFrame(rows, "path string, header array<string>, status string")
+
+
+def read_csv_folder(spark: SparkSession, folder: str, columns, sep: str = ";", files: DataFrame | None = None) -> DataFrame:
+    """Every ``*.csv`` under a folder, stacked by column name; other files
+    are ignored. Files may have more columns, fewer, or another order: each set of files
+    with one header is one scan, and what a file lacks is null. Files without a line
+    or that cannot be read are left out; ``csv_files`` lists them."""
+    columns = list(columns)
+    groups: dict[tuple, list[str]] = {}
+    for r in (files if files is not None else csv_files(spark, folder, sep)).where("status = 'ok'").collect():
+        groups.setdefault(tuple(r["header"]), []).append(r["path"])
+    out = spark.createDataFrame([], string_schema(columns))
+    for header, paths in sorted(groups.items()):
+        # positions name the columns, so repeated header names do no harm
+        names = [f"_{i}" for i in range(len(header))]
+        read = spark.read.option("header", True).option("sep", sep).option("enforceSchema", True).schema(string_schema(names)).csv(paths)
+        out = out.unionByName(read.select(*(
+            F.col(names[header.index(c)]).alias(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns)))
+    return out
 
 
 def read_prepared(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
