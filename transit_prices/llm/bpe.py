@@ -40,7 +40,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 from .common import pick, slices
 
 #: Most words of the lexicon: what bounds the file that every worker maps.
-LEXICON_WORDS = 1 << 18
+LEXICON_WORDS = 1 << 16
 
 #: Distinct words a worker remembers.
 CACHE = 400_000
@@ -56,15 +56,16 @@ def character_classes() -> tuple[Ranges, Ranges, Ranges, dict[int, str]]:
     have them: Unicode versions differ between libraries. Read once, on the driver."""
     from tokenizers import Regex, normalizers, pre_tokenizers
 
-    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    def block(start: int) -> list[str]:
+        return [chr(c) for c in range(start, start + 4096) if not 0xD800 <= c < 0xE000]
 
     def matched(pattern: str) -> Ranges:
         split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
         found = set()
-        for i in range(0, len(every), 4096):
-            found.update(*(x for x, _ in split.pre_tokenize_str("!".join(every[i : i + 4096]))))
+        for i in range(0, 0x110000, 4096):
+            found.update(*(map(ord, x) for x, _ in split.pre_tokenize_str("!".join(block(i)))))
         ranges: Ranges = []
-        for c in sorted(map(ord, found)):
+        for c in sorted(found):
             if ranges and ranges[-1][1] == c - 1:
                 ranges[-1] = (ranges[-1][0], c)
             else:
@@ -72,7 +73,7 @@ def character_classes() -> tuple[Ranges, Ranges, Ranges, dict[int, str]]:
         return ranges
 
     lower = normalizers.Lowercase()
-    odd = {ord(c): low for c in every if (low := lower.normalize_str(c)) != c.lower()}
+    odd = {ord(c): low for i in range(0, 0x110000, 4096) for c in block(i) if (low := lower.normalize_str(c)) != c.lower()}
     odd[ord("Σ")] = "σ"  # lower-casing goes character by character: no final sigma
     return matched(r"\p{L}+"), matched(r"\p{N}"), matched(r"\s"), odd
 
