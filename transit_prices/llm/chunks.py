@@ -134,7 +134,7 @@ def repeated_spans(rows: DataFrame, min_run: int = MIN_RUN, **cut) -> DataFrame:
     known = written(
         occurrences.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1").drop("times")
     )
-    again = occurrences.join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    again = occurrences.join(known.hint("merge"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     again = again.select("doc", "twin", F.struct("n", "lo", "hi", F.col("first.doc").alias("from")).alias("chunk"))
     # a document's own chunks only, so a list is bounded by its text; rows that repeat a document merge
     lists = again.groupBy("doc", "twin").agg(F.sort_array(F.collect_set("chunk")).alias("found"))
@@ -187,8 +187,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = spans.select(
         F.col("doc").alias("__doc"), F.col("twin").alias("__twin"), F.struct("spans", "removed_chunks", "first_doc_ids").alias("__cut")
     )
+    # the spans grow with the table: the same shuffle at every size, never a broadcast
     joined = docs.withColumn("__own", twin).join(
-        spans, named(id_col).eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__twin")), "left"
+        spans.hint("merge"), named(id_col).eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__twin")), "left"
     )
     raw = named(text_col).cast("binary")
     # what lies between the spans: from each span's end to the next one's start

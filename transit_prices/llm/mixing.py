@@ -152,6 +152,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     plan = mix(docs, id_col, source_col, text_col, **options).where("copies > 0 and size > 0")
     plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies").distinct()
     own = named(id_col).eqNullSafe(F.col("__id")) & named(source_col).eqNullSafe(F.col("__source")) & (words_in(named(text_col)) == F.col("__size"))
-    joined = docs.join(written(plan), own)
+    # the plan grows with the table: the same shuffle at every size, never a broadcast
+    joined = docs.join(written(plan).hint("merge"), own)
     once = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return once.select(*(named(c) for c in docs.columns))

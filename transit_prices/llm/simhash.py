@@ -271,7 +271,8 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
     match = named(id_col).eqNullSafe(F.col("__keep_id"))
     repeated = keep.where("__rows > 1")
-    once = docs.join(keep.where("__rows = 1"), match, "left_semi")
+    # the ids grow with the table: the same shuffle at every size, never a broadcast
+    once = docs.join(keep.where("__rows = 1").hint("merge"), match, "left_semi")
     if repeated.isEmpty():  # the usual case needs no second pass over the texts
         return once
-    return once.unionByName(docs.join(repeated, match, "left_semi").dropDuplicates([id_col]))
+    return once.unionByName(docs.join(repeated.hint("merge"), match, "left_semi").dropDuplicates([id_col]))
