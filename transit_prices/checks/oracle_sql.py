@@ -724,3 +724,78 @@ SELECT is_grand_paris, count(*) AS n FROM all_stations GROUP BY is_grand_paris""
 
 Q["distinct_stations"] = with_ctes(["enriched"], """
 SELECT DISTINCT station_id FROM enriched WHERE station_id IS NOT NULL""")
+
+# ---------------------------------------------------------------------------
+# Selection, station codes, prediction input, preprocessors
+# ---------------------------------------------------------------------------
+
+Q["select_new_within"] = with_ctes(["enriched"], """
+SELECT station_id, date, count(*) AS n_transactions FROM enriched WHERE d_gp = 1 AND distance_gp_km <= 2e0
+GROUP BY station_id, date HAVING count(*) >= 2""")
+
+Q["select_one_station"] = with_ctes(["sales_typed"], """
+SELECT sale_id, station, date FROM sales_typed WHERE station = 14""")
+
+Q["station_codes"] = with_ctes(["supplier_panel"], """
+SELECT station, row_number() OVER (ORDER BY min(date), station) - 1 AS gare_id FROM sp_agg GROUP BY station""")
+
+_PF = ["n_transactions", "prix_m2", "rooms", "surface", "discount", "share_appartement", "share_vente"]
+
+
+_WINDOW_START = "date < DATE '1999-06-01'"
+
+
+def _unit(col, source, where):
+    """Min-max of ``col`` by the rows of ``source``; a constant column has scale 1."""
+    low, high = (f"(SELECT {f}({col}) FROM {source} WHERE {where})" for f in ("min", "max"))
+    return f"(({col} - {low}) / coalesce(nullif(CAST({high} - {low} AS DOUBLE), 0e0), 1e0))"
+
+
+Q["prediction_input"] = with_ctes(["supplier_panel"], f"""
+, n AS (SELECT * FROM sp_agg WHERE station % 2 = 0 AND n_transactions >= 5),
+s AS (SELECT station, date, prix_m2 AS y, {', '.join(f"{_unit(c, 'n', _WINDOW_START)} AS {c}" for c in _PF)} FROM n
+      WHERE date BETWEEN DATE '1999-06-01' AND DATE '2001-06-01'),
+w AS (SELECT station, date AS origin, count(*) OVER p AS k, lag(n_transactions, 17) OVER o AS x_first, share_vente AS x_last,
+        sum({' + '.join(_PF)}) OVER p AS x_sum, lead(y, 1) OVER o AS y1, lead(y, 6) OVER o AS y_end
+      FROM s WINDOW o AS (PARTITION BY station ORDER BY date), p AS (PARTITION BY station ORDER BY date ROWS 17 PRECEDING))
+SELECT station, origin, CAST(18 * 7 AS INTEGER) AS x_len, {', '.join(rnd(c, c) for c in ['x_first', 'x_last', 'x_sum', 'y1', 'y_end'])}
+FROM w WHERE k = 18""").replace("\n, n AS", ",\nn AS", 1)
+
+Q["last_horizon_actuals"] = with_ctes(["supplier_panel"], f"""
+SELECT station, date, {rnd('prix_m2', 'prix_m2')} FROM sp_complete WHERE date BETWEEN DATE '2000-12-01' AND DATE '2001-06-01'""")
+
+Q["assemble_frames"] = with_ctes(["sales_typed"], """
+SELECT sale_id, CAST(date AS DATE) AS date, CASE WHEN type_local = 'Appartement' THEN rooms END AS rooms,
+       CASE WHEN type_local = 'Maison' THEN surface END AS surface
+FROM sales_typed WHERE type_local IN ('Appartement', 'Maison')""")
+
+Q["scale_inverse"] = with_ctes(["sales_typed"], f"""
+SELECT sale_id, {rnd('surface', 'surface')}, {rnd('rooms', 'rooms')}, round(prix_m2 * surface, 2) AS value FROM sales_typed""")
+
+
+def _label(col, where):
+    """Alphabetical index among the rows of ``where``; -1 for a category not among them."""
+    return (f"coalesce((SELECT CAST(r - 1 AS DOUBLE) FROM (SELECT v, dense_rank() OVER (ORDER BY v) AS r FROM "
+            f"(SELECT DISTINCT {col} AS v FROM sales_typed WHERE {where})) m WHERE m.v = t.{col}), -1e0)")
+
+
+def _robust(col, where):
+    q = [f"(SELECT quantile_cont({col}, {p}) FROM sales_typed WHERE {where})" for p in (0.25, 0.5, 0.75)]
+    return f"(t.{col} - {q[1]}) / coalesce(nullif({q[2]} - {q[0]}, 0e0), 1e0)"
+
+
+_BEFORE = "date < DATE '2000-01-01'"
+Q["preprocess"] = with_ctes(["sales_typed"], f"""
+SELECT sale_id, {_label('type_local', _BEFORE)} AS type_local, {_label('nature_mutation', _BEFORE)} AS nature_mutation,
+       {rnd(_robust('surface', _BEFORE), 'surface')}, {rnd(_robust('rooms', _BEFORE), 'rooms')},
+       {rnd(_unit('prix_m2', 'sales_typed', _BEFORE), 'prix_m2')}
+FROM sales_typed t""")
+
+Q["station_inputs"] = with_ctes(["supplier_panel"], f"""
+SELECT station, date, {', '.join(rnd(_unit(c, 'sp_complete', _BEFORE), c) for c in _PF)} FROM sp_complete""")
+
+Q["encode_table"] = with_ctes(["sales_typed"], f"""
+SELECT sale_id, {rnd(_label('nature_mutation', 'true') + " / greatest((SELECT count(DISTINCT nature_mutation) FROM sales_typed) - 1, 1)", 'nature_mutation')},
+       {', '.join(rnd(_unit(c, 'sales_typed', 'true'), c) for c in _SC)},
+       {', '.join(f"CASE WHEN type_local = '{v}' THEN 1e0 ELSE 0e0 END AS type_local_{v}" for v in ('Appartement', 'Local', 'Maison'))}
+FROM sales_typed t""")

@@ -10,14 +10,13 @@ saved as a table (I5, A13).
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-MAX_CATEGORIES = 10_000
-
-
 def exact_quantiles(df: DataFrame, col: str, probs) -> list:
     """Quantiles with linear interpolation, exact at any size: rows are counted per
     value, the values range-partitioned and written down, and each needed rank is
@@ -110,18 +109,16 @@ def _alpha_window():
 
 
 def apply_ordinal(df: DataFrame, mapping: DataFrame, col: str, unknown: float = -1.0, out: str | None = None) -> DataFrame:
-    """Unknown (or null) -> -1."""
+    """Unknown (or null) -> -1. The join's kind is left to the planner, since the
+    mapping grows with the number of categories."""
     m = mapping.select(F.col("value").alias("_v"), F.col("index").alias("_i"))
-    j = df.join(F.broadcast(m), df[col] == m._v, "left")
+    j = df.join(m, F.col(col) == F.col("_v"), "left")
     return j.withColumn(out or col, F.coalesce(F.col("_i"), F.lit(unknown))).drop("_v", "_i")
 
 
-def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES):
-    """Distinct values of a low-cardinality column (checked bound)."""
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_categories + 1).collect()
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return sorted(v[0] for v in vals)
+def categories(df: DataFrame, col: str) -> list:
+    """Distinct values of a column, sorted; they name the columns of ``one_hot``."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, col: str, cats=None, drop_if_binary: bool = False, prefix: str | None = None) -> DataFrame:
@@ -139,7 +136,7 @@ def design_matrix(df: DataFrame, outcome_col: str, treatment_col: str, feature_c
     """Standardised numeric features + one-hot categorical ones (unknown
     -> zeros) assembled into one vector; returns (frame with y, d, vector;
     feature names)."""
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 
     feature_cols, categorical_cols = list(feature_cols), list(categorical_cols)
     numeric = [c for c in feature_cols if c not in categorical_cols]
@@ -149,12 +146,73 @@ def design_matrix(df: DataFrame, outcome_col: str, treatment_col: str, feature_c
         params = fit_scaler(frame, numeric, "standard")
         frame = apply_scaler(frame, params, numeric, suffix="__std")
         names += [f"num__{c}" for c in numeric]
-    oh_cols = []
+    encoded = []
     for c in categorical_cols:
-        cats = categories(frame, c)
-        frame = one_hot(frame, c, cats, prefix=f"cat__{c}")
-        oh_cols += [f"cat__{c}_{v}" for v in cats]
-    names += oh_cols
-    inputs = [f"{c}__std" for c in numeric] + oh_cols
+        # sparse, as wide as it needs to be: the index comes from a joined table
+        mapping = fit_ordinal(frame, c)
+        values = [r["value"] for r in mapping.orderBy("index").collect()]
+        names += [f"cat__{c}_{v}" for v in values]
+        frame = apply_ordinal(frame, mapping, c, unknown=float(len(values)), out=f"{c}__idx")
+        # an index beyond the fitted ones is the dropped last place: all zeros
+        encoder = OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__oh", handleInvalid="keep", dropLast=True)
+        frame = encoder.fit(mapping.select(F.col("index").alias(f"{c}__idx"))).transform(frame)
+        encoded.append(f"{c}__oh")
+    inputs = [f"{c}__std" for c in numeric] + encoded
     assembled = VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep").transform(frame)
     return assembled.select(F.col(outcome_col).cast("double").alias("y"), F.col(treatment_col).cast("double").alias("d"), out), names
+
+
+@dataclass
+class Preprocessor:
+    """Fitted tables of an ordinal, a robust and a min-max part."""
+
+    mappings: dict = field(default_factory=dict)
+    scalers: list = field(default_factory=list)  # (one-row parameter table, columns)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Same columns, same names; categories not seen in the fit -> -1."""
+        order = df.columns
+        for c, mapping in self.mappings.items():
+            df = apply_ordinal(df, mapping, c)
+        for params, cols in self.scalers:
+            df = apply_scaler(df, params, cols)
+        return df.select(*order)
+
+
+def fit_preprocessor(train: DataFrame, ordinal_cols=(), robust_cols=(), minmax_cols=()) -> Preprocessor:
+    """Fit each part on the train rows only."""
+    scalers = [(fit_scaler(train, list(cols), kind), list(cols))
+               for kind, cols in (("robust", robust_cols), ("minmax", minmax_cols)) if cols]
+    return Preprocessor({c: fit_ordinal(train, c) for c in ordinal_cols}, scalers)
+
+
+def station_inputs(train: DataFrame, test: DataFrame, numeric_cols, target_col: str, categorical_cols=()):
+    """Min-max features, one-hot categories (a two-valued one gives one column,
+    unknown ones zeros) and a target scaler of its own, all fitted on ``train``.
+    Returns (train, test, feature parameters, target parameters)."""
+    numeric_cols = list(numeric_cols)
+    inputs, target = fit_scaler(train, numeric_cols, "minmax"), fit_scaler(train, [target_col], "minmax")
+    values = {c: categories(train, c) for c in categorical_cols}
+
+    def prepared(df):
+        df = apply_scaler(apply_scaler(df, inputs, numeric_cols), target, [target_col])
+        for c, cats in values.items():
+            df = one_hot(df, c, cats, drop_if_binary=True).drop(c)
+        return df
+
+    return prepared(train), prepared(test), inputs, target
+
+
+def encode_table(df: DataFrame, label_cols, station_col: str, numeric_cols) -> DataFrame:
+    """I4: alphabetical integer labels, one-hot stations (one column if there are
+    two), then min-max of all numeric columns, labels and 0/1 columns included."""
+    label_cols, numeric_cols = list(label_cols), list(numeric_cols)
+    for c in label_cols:
+        df = apply_ordinal(df, fit_ordinal(df, c), c)
+    cats = categories(df, station_col)
+    df = one_hot(df, station_col, cats, drop_if_binary=True)
+    # two or more stations: the 0/1 columns span 0 to 1 already; a lone constant one becomes 0
+    if len(cats) == 1:
+        numeric_cols.append(f"{station_col}_{cats[0]}")
+    cols = label_cols + numeric_cols
+    return apply_scaler(df, fit_scaler(df, cols, "minmax"), cols)

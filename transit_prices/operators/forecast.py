@@ -70,6 +70,42 @@ def forecast_station_prices(
     return out, fitted
 
 
+def direct_windows(panel: DataFrame, station_col: str, date_col: str, target_col: str, feature_cols, n_steps: int,
+                   horizon: int) -> DataFrame:
+    """Rows (station, origin, features, y1..yh): the last ``n_steps`` rows up to and
+    including the origin as one vector, and the targets 1..h rows later (null where
+    not known yet, so the newest window can be scored)."""
+    from pyspark.ml.functions import array_to_vector
+
+    w = Window.partitionBy(station_col).orderBy(date_col)
+    past = w.rowsBetween(1 - n_steps, 0)
+    flat = F.flatten(F.collect_list(F.array(*[F.col(c).cast("double") for c in feature_cols])).over(past))
+    ahead = [F.lead(target_col, k).over(w).cast("double").alias(f"y{k}") for k in range(1, horizon + 1)]
+    rows = panel.select(station_col, F.col(date_col).alias("origin"), flat.alias("_x"), *ahead)
+    full = rows.where(F.size("_x") == n_steps * len(feature_cols))
+    return full.withColumn("features", array_to_vector("_x")).drop("_x")
+
+
+def fit_direct(windows: DataFrame, horizon: int, regressor=None) -> dict:
+    """One model per step, each fitted on the windows whose target is known."""
+    from pyspark.ml.regression import LinearRegression
+
+    make = regressor or (lambda: LinearRegression(labelCol="label", regParam=0.1, solver="normal"))
+    return {k: make().fit(windows.where(F.col(f"y{k}").isNotNull()).withColumn("label", F.col(f"y{k}")))
+            for k in range(1, horizon + 1)}
+
+
+def score_direct(models: dict, windows: DataFrame, station_col: str) -> DataFrame:
+    """Long rows (station, origin, step, y_pred, y_true); y_true is null for
+    months not seen yet."""
+    scored = windows
+    for k, model in models.items():
+        scored = model.setPredictionCol(f"p{k}").transform(scored)
+    steps = F.array(*[F.struct(F.lit(k).alias("step"), F.col(f"p{k}").alias("y_pred"), F.col(f"y{k}").alias("y_true"))
+                      for k in models])
+    return scored.select(station_col, "origin", F.explode(steps).alias("_s")).select(station_col, "origin", "_s.*")
+
+
 def compare_with_baselines(pred: DataFrame, panel: DataFrame, station_col: str, date_col: str, target_col: str):
     """J8 by station for the model and the two naive baselines over the same
     test rows."""

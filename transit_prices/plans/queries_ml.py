@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dml, enrich, features, forecast, panel, regress, sequences, splits
+from ..operators import clean, dml, enrich, features, forecast, panel, regress, selection, sequences, splits
+from ..session import cut_lineage
 from ..sources import adapters
 from . import causal
 from .queries import _inputs, rounded
@@ -153,6 +154,86 @@ def q_prediction_window(spark, sf_dir):
     return rounded(ok.select("station", "date", "n_transactions", PANEL_TARGET))
 
 
+# ---------------------------------------------------------------------------
+# Selection (C10-C12), station codes (B31), prediction chain (J10), unions
+# ---------------------------------------------------------------------------
+
+ONE_STATION = 14
+MIN_COUNT = 5
+PREDICTION_END = "2001-06-01"
+PANEL_FEATURES = ["n_transactions", PANEL_TARGET, *PANEL_NUMERIC, "share_appartement", "share_vente"]
+
+
+def q_select_new_within(spark, sf_dir):
+    """C10 (new stations) and C11 (distance, monthly count) on the enriched sales."""
+    e = causal.enriched_sales(_inputs(spark, sf_dir))
+    near = selection.select_sales(e, "new", max_distance_km=2.0, new_col="d_gp", distance_col="distance_gp_km")
+    months = near.groupBy("station_id", "date").agg(F.count(F.lit(1)).alias("n_transactions"))
+    return selection.min_transactions(months, 2)
+
+
+def q_select_one_station(spark, sf_dir):
+    df = adapters.sales_typed(spark, sf_dir)
+    return selection.select_sales(df, station=ONE_STATION, station_col="station").select("sale_id", "station", "date")
+
+
+def q_station_codes(spark, sf_dir):
+    return selection.station_codes(supplier_panel(spark, sf_dir, complete_only=False), "station", "date")
+
+
+def _selected_panel(spark, sf_dir):
+    """C10 -> F4 -> C11: suppliers with an even key are the new stations."""
+    df = adapters.sales_typed(spark, sf_dir).withColumn("is_new_gare", (F.col("station") % 2 == 0).cast("int"))
+    df = selection.select_sales(df, "new")
+    p = panel.station_month_features(df, "date", "station", PANEL_NUMERIC, complete_only=False, target_col=PANEL_TARGET)
+    return selection.min_transactions(p, MIN_COUNT)
+
+
+def _scaled_history(spark, sf_dir):
+    """The panel up to the end, scaled with parameters of the months before the
+    prediction window; the target stays in euros as ``y``."""
+    p = _selected_panel(spark, sf_dir)
+    start = F.add_months(F.to_date(F.lit(PREDICTION_END)), -(SEQ_STEPS + SEQ_HORIZON))
+    params = features.fit_scaler(p.where(F.col("date") < start), PANEL_FEATURES, "minmax")
+    return features.apply_scaler(p.withColumn("y", F.col(PANEL_TARGET)), params, PANEL_FEATURES)
+
+
+def q_prediction_input(spark, sf_dir):
+    """J10 before the model: selection, window (C13), scaler, flattened windows."""
+    from pyspark.ml.functions import vector_to_array
+
+    w = sequences.window_before(_scaled_history(spark, sf_dir), "date", PREDICTION_END, SEQ_STEPS, SEQ_HORIZON)
+    win = forecast.direct_windows(w, "station", "date", "y", PANEL_FEATURES, SEQ_STEPS, SEQ_HORIZON)
+    x = vector_to_array("features")
+    return rounded(win.select(
+        "station", "origin", F.size(x).alias("x_len"), F.element_at(x, 1).alias("x_first"), F.element_at(x, -1).alias("x_last"),
+        F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("x_sum"), "y1", F.col(f"y{SEQ_HORIZON}").alias("y_end")))
+
+
+def q_predict_selected(spark, sf_dir):
+    """One model per step, fitted on windows whose targets end before the
+    prediction window; the newest windows score months that nobody has seen."""
+    history = _scaled_history(spark, sf_dir)
+    # read by every fit and by the scoring: written down once
+    win = cut_lineage(forecast.direct_windows(history, "station", "date", "y", PANEL_FEATURES, SEQ_STEPS, SEQ_HORIZON))
+    end = F.to_date(F.lit(PREDICTION_END))
+    cut = F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON))
+    models = forecast.fit_direct(win.where(F.add_months("origin", SEQ_HORIZON) < cut), SEQ_HORIZON)
+    return rounded(forecast.score_direct(models, win.where(F.col("origin").between(F.add_months(end, -SEQ_HORIZON), end)), "station"))
+
+
+def q_last_horizon_actuals(spark, sf_dir):
+    p = supplier_panel(spark, sf_dir)
+    return rounded(sequences.last_horizon_actuals(p, "date", PREDICTION_END, SEQ_HORIZON).select("station", "date", PANEL_TARGET))
+
+
+def q_assemble_frames(spark, sf_dir):
+    df = adapters.sales_typed(spark, sf_dir)
+    return clean.assemble_frames(
+        df.where(F.col("type_local") == "Appartement").select("sale_id", F.col("date").cast("timestamp").alias("date"), "rooms"),
+        df.where(F.col("type_local") == "Maison").select("sale_id", "date", "surface"), ["date"])
+
+
 # ---------------------------------------------------------------------------
 # Scaling and encoding
 # ---------------------------------------------------------------------------
@@ -179,6 +260,37 @@ def q_scale_minmax(spark, sf_dir):
     return _scaled(spark, sf_dir, "minmax")
 
 
+def q_scale_inverse(spark, sf_dir):
+    """Scaled and turned back."""
+    s = adapters.sales_typed(spark, sf_dir).select("sale_id", *SCALE_COLS)
+    params = features.fit_scaler(s, SCALE_COLS, "standard")
+    back = features.invert_scaler(features.apply_scaler(s, params, SCALE_COLS), params, SCALE_COLS)
+    # the price in cents: whole units stand clear of the last digit's noise
+    return rounded(back.select("sale_id", "surface", "rooms", (F.col(PANEL_TARGET) * F.col("surface")).alias("value")), per_column={"value": 2})
+
+
+def q_preprocess(spark, sf_dir):
+    """I2, fitted on the sales before the test period."""
+    df = adapters.sales_typed(spark, sf_dir).select("sale_id", "date", "type_local", "nature_mutation", *SCALE_COLS)
+    fitted = features.fit_preprocessor(df.where(F.col("date") < TEST_START), PANEL_CATS, ["surface", "rooms"], [PANEL_TARGET])
+    return rounded(fitted.transform(df).drop("date"))
+
+
+def q_station_inputs(spark, sf_dir):
+    """I3 on the complete panel: features and target scaled apart, both by the train months."""
+    p = supplier_panel(spark, sf_dir)
+    numeric = [c for c in PANEL_FEATURES if c != PANEL_TARGET]
+    train, test, _, _ = features.station_inputs(
+        p.where(F.col("date") < TEST_START), p.where(F.col("date") >= TEST_START), numeric, PANEL_TARGET)
+    return rounded(train.unionByName(test).select("station", "date", *PANEL_FEATURES))
+
+
+def q_encode_table(spark, sf_dir):
+    """I4: labels, one-hot and min-max."""
+    df = adapters.sales_typed(spark, sf_dir).select("sale_id", "nature_mutation", "type_local", *SCALE_COLS)
+    return rounded(features.encode_table(df, ["nature_mutation"], "type_local", SCALE_COLS).drop("type_local"))
+
+
 def q_ordinal_encode(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     typed = adapters.sales_typed(spark, sf_dir).select("sale_id", "type_local", "nature_mutation")
@@ -290,6 +402,17 @@ QUERIES = {
     "sequences_single": q_sequences_single,
     "sequences_multi": q_sequences_multi,
     "prediction_window": q_prediction_window,
+    "select_new_within": q_select_new_within,
+    "select_one_station": q_select_one_station,
+    "station_codes": q_station_codes,
+    "prediction_input": q_prediction_input,
+    "predict_selected": q_predict_selected,
+    "last_horizon_actuals": q_last_horizon_actuals,
+    "assemble_frames": q_assemble_frames,
+    "scale_inverse": q_scale_inverse,
+    "preprocess": q_preprocess,
+    "station_inputs": q_station_inputs,
+    "encode_table": q_encode_table,
     "scale_standard": q_scale_standard,
     "scale_robust": q_scale_robust,
     "scale_minmax": q_scale_minmax,
