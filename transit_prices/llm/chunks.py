@@ -39,7 +39,7 @@ MAX_CHUNK = 512
 #: Zero bits at a boundary: 32 bytes on average between candidates.
 BOUNDARY_BITS = 5
 #: Bytes of neighbouring repeated chunks from which they are removed.
-MIN_RUN = 128
+MIN_RUN = 64
 
 
 def gear_table() -> np.ndarray:
