@@ -72,3 +72,24 @@ def test_forest_dml_recovers_planted_effect(spark):
                     fold_col="key").first()
     assert r["n"] == 1500 and r["se_tau"] > 0
     assert abs(r["tau_hat"] - 0.3) < 5 * r["se_tau"]
+
+
+def test_large_offsets_keep_their_digits(spark):
+    df, y, d, x, _ = _frame(spark)
+    far = df.selectExpr("key", "x1 + 1e7 AS x1", "x2 * 1e-6 AS x2", "d", "y + 1e6 AS y", "station")
+    r = dml.run_dml(far, "y", "d", ["x1", "x2"], fold_col="key").first()
+    tau, se = _numpy_dml(y, d.astype(float), x, np.arange(len(y)) % 2)
+    assert abs(r["tau_hat"] - tau) < 1e-6 and abs(r["se_tau"] - se) < 1e-6
+
+
+def test_by_station_counts_come_before_the_null_drop(spark):
+    df, *_ = _frame(spark, n=2000)
+    holes = df.withColumn("x1", F.when(F.col("key") % 5 != 0, F.col("x1"))).withColumn("d", F.when(F.col("key") % 7 != 0, F.col("d")))
+    raw = {r["station"]: r["n"] for r in holes.where("d = 1").groupBy("station").agg(F.count("*").alias("n")).collect()}
+    out = {r["station_id"]: r for r in dml.run_dml_by_station(holes, "y", "d", "station", ["x1", "x2"], fold_col="key", min_treated=10).collect()}
+    assert {s: r["n_treated"] for s, r in out.items()} == raw
+    assert {r["n"] for r in out.values()} == {1600}
+    for s, r in out.items():
+        ds = holes.withColumn("ds", F.coalesce((F.col("d") == 1) & (F.col("station") == s), F.lit(False)).cast("int"))
+        one = dml.run_dml(ds, "y", "ds", ["x1", "x2"], fold_col="key").first()
+        assert abs(one["tau_hat"] - r["tau_hat"]) < 1e-8 and abs(one["se_tau"] - r["se_tau"]) < 1e-8

@@ -6,11 +6,12 @@ sigma^2 = RSS / (n - 1), se = sqrt(sigma^2 / sum(d~^2)), tau +- 1.96 se.
 
 Linear nuisance (``nuisance='linear'``, OLS with intercept) needs no model
 objects at all: every quantity above is a quadratic form of per-fold
-sufficient statistics (Z'Z, Z'y, Z'd, y'y, d'd, y'd with Z = [1, X]), so the
-data are read once by one ``groupBy(fold)`` aggregate and only a (p+1)^2
+sufficient statistics (Z'Z, Z'y, Z'd, y'y, d'd, y'd with Z = [1, X], X and y
+centred first), so one ``groupBy(fold)`` aggregate is enough and only a (p+1)^2
 matrix per fold reaches the driver. The per-station variant (J2) adds one
 ``groupBy(fold, station)`` over treated rows and solves every station's
-D-nuisance from the shared Z'Z, instead of refitting once per station.
+D-nuisance from the shared Z'Z, one small group per station, instead of refitting
+once per station.
 
 Any other nuisance goes through Spark ML estimators (default: random forest
 with the reference's 200 trees, depth 10, leaf size 5): k x 2 distributed
@@ -22,11 +23,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage, ship_package
+
 Z_95 = 1.96
 
 DML_SCHEMA = T.StructType([
@@ -77,15 +81,19 @@ def assign_folds(df: DataFrame, n_splits: int, fold_col: str | None = None, key_
 # ---------------------------------------------------------------------------
 
 
-def _z(x_cols):
-    return [F.lit(1.0)] + [F.col(c).cast("double") for c in x_cols]
+def _centred(df: DataFrame, y_col: str, x_cols):
+    """([1, x...], y) as columns, x centred and scaled, y centred. With an intercept the
+    residuals stay the same, and sums of squares keep their digits."""
+    cols = [F.col(c).cast("double") for c in (y_col, *x_cols)]
+    r = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean = [r[f"m_{i}"] or 0.0 for i in range(len(cols))]
+    z = [(c - F.lit(mean[i])) / F.lit(r[f"s_{i}"] or 1.0) for i, c in enumerate(cols) if i]
+    return [F.lit(1.0), *z], cols[0] - F.lit(mean[0])
 
 
-def _fold_stats(df: DataFrame, y_col: str, d_col: str, x_cols, n_splits: int):
+def _fold_stats(df: DataFrame, y, d_col: str, z, n_splits: int):
     """One aggregate: per fold Z'Z (upper triangle), Z'y, Z'd, y'y, d'd, y'd, n."""
-    z = _z(x_cols)
     q = len(z)
-    y = F.col(y_col).cast("double")
     d = F.col(d_col).cast("double")
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.sum(z[i] * z[j]).alias(f"a_{i}_{j}") for i in range(q) for j in range(i, q)]
@@ -127,8 +135,11 @@ def _tau_se(sum_yd, sum_dd, sum_yy, n):
 def dml_linear_stats(df: DataFrame, y_col: str, d_col: str, x_cols, n_splits: int = 2, fold_col=None,
                      key_cols=(), seed: int = 42):
     data, x_cols = prepare_dml_frame(df, y_col, d_col, x_cols, extra=[c for c in ([fold_col] if fold_col else []) + list(key_cols)])
-    data = assign_folds(data, n_splits, fold_col, key_cols, seed)
-    st = _fold_stats(data, y_col, d_col, x_cols, n_splits)
+    # read twice: for the centres and for the sums
+    data = assign_folds(data, n_splits, fold_col, key_cols, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    z, y = _centred(data, y_col, x_cols)
+    st = _fold_stats(data, y, d_col, z, n_splits)
+    data.unpersist()
     tot = {k: sum(s[k] for s in st) for k in ("A", "zy", "zd")}
     syd = sdd = syy = 0.0
     n = 0
@@ -230,49 +241,60 @@ def run_dml_by_station(
 ) -> DataFrame:
     """For each station s, D_s = 1 when treated and nearest to s; skip
     stations with fewer than ``min_treated`` treated rows, none, or all;
-    effect in log points and in percent (B34)."""
+    effect in log points and in percent (B34).
+
+    n_treated and the skip test count all rows, n only the rows without a null outcome
+    or feature; a null treatment is none. A station is a group of one row per fold."""
     x_cols = list(x_cols)
+    ship_package(df.sparkSession)
     extra = [station_col] + ([fold_col] if fold_col else []) + list(key_cols)
-    data, _ = prepare_dml_frame(df, y_col, base_treat_col, x_cols, extra=extra)
-    data = assign_folds(data, n_splits, fold_col, key_cols, random_state).persist(StorageLevel.MEMORY_AND_DISK)
-    st = _fold_stats(data, y_col, base_treat_col, x_cols, n_splits)
-    z = _z(x_cols)
+    data = df.withColumn(base_treat_col, F.coalesce(F.col(base_treat_col).cast("int"), F.lit(0)))
+    data, _ = prepare_dml_frame(data, y_col, base_treat_col, x_cols, dropna=False, extra=extra)
+    data = assign_folds(data, n_splits, fold_col, key_cols, random_state)
+    known = F.lit(True)
+    for c in (y_col, *x_cols):
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    data = data.withColumn("_known", known).persist(StorageLevel.MEMORY_AND_DISK)
+    complete = data.where("_known")
+    n_rows = data.count()
+    z, y = _centred(complete, y_col, x_cols)
+    st = _fold_stats(complete, y, base_treat_col, z, n_splits)
     q = len(z)
-    y = F.col(y_col).cast("double")
     treated = data.where((F.col(base_treat_col) == 1) & F.col(station_col).isNotNull())
-    per = treated.groupBy("_fold", station_col).agg(
-        F.count(F.lit(1)).alias("m"), F.sum(y).alias("sy"),
-        *[F.sum(z[i]).alias(f"z_{i}") for i in range(q)]).collect()
+    own = lambda c: F.coalesce(F.sum(F.when(F.col("_known"), c)), F.lit(0.0))
+    id_type = df.schema[station_col].dataType
+    id_type = T.LongType() if isinstance(id_type, T.IntegralType) else id_type
+    # one row per fold and station, written down; the stations stay a table
+    per = cut_lineage(treated.groupBy(F.col(station_col).cast(id_type).alias("station_id"), "_fold").agg(
+        F.count(F.lit(1)).alias("rows"), own(F.lit(1.0)).alias("m"), own(y).alias("sy"),
+        *[own(z[i]).alias(f"z_{i}") for i in range(q)]))
     data.unpersist()
-    by_station: dict = {}
-    for r in per:
-        by_station.setdefault(r[station_col], {})[r["_fold"]] = r
     n_total = sum(s["n"] for s in st)
     tot_a = sum(s["A"] for s in st)
     tot_zy = sum(s["zy"] for s in st)
     beta_y = [_solve(tot_a - s["A"], tot_zy - s["zy"]) for s in st]
-    rows = []
-    for sid, folds in by_station.items():
-        n_treated = sum(r["m"] for r in folds.values())
-        if n_treated < min_treated or n_treated == 0 or n_treated == n_total:
-            continue
-        zd = {f: np.array([folds[f][f"z_{i}"] for i in range(q)], dtype=float) if f in folds else np.zeros(q)
-              for f in range(n_splits)}
-        zd_tot = sum(zd.values())
+
+    def effect(folds: pd.DataFrame) -> pd.DataFrame:
+        """The row of one station, from its rows per fold."""
+        n_treated = int(folds["rows"].sum())
+        names = [f.name for f in BY_STATION_SCHEMA]
+        if n_treated < min_treated or n_treated == n_rows:
+            return pd.DataFrame([], columns=names)
+        at = {int(r["_fold"]): r for _, r in folds.iterrows() if pd.notna(r["_fold"])}
+        zd = [np.array([at[f][f"z_{i}"] for i in range(q)], dtype=float) if f in at else np.zeros(q) for f in range(n_splits)]
+        zd_tot = sum(zd)
         syd = sdd = syy = 0.0
         for f, s in enumerate(st):
-            a = s["A"]
+            a, by = s["A"], beta_y[f]
             bd = _solve(tot_a - a, zd_tot - zd[f])
-            by = beta_y[f]
-            m = folds[f]["m"] if f in folds else 0
-            sy = folds[f]["sy"] if f in folds else 0.0
-            sy_t = sy - by @ zd[f]                       # sum of y~ over D=1 rows of the fold
-            zyt = s["zy"] - a @ by                       # Z' y~ over the fold
-            syd += sy_t - bd @ zyt
+            m, sy = (at[f]["m"], at[f]["sy"]) if f in at else (0.0, 0.0)
+            syd += sy - by @ zd[f] - bd @ (s["zy"] - a @ by)   # D'y~ less the fitted part
             sdd += m - 2 * bd @ zd[f] + bd @ a @ bd
             syy += s["yy"] - 2 * by @ s["zy"] + by @ a @ by
         tau, se = _tau_se(syd, sdd, syy, n_total)
         lo, hi = tau - Z_95 * se, tau + Z_95 * se
-        rows.append((int(sid), tau, se, lo, hi, math.expm1(tau) * 100, math.expm1(lo) * 100, math.expm1(hi) * 100,
-                     int(n_total), int(n_treated)))
-    return df.sparkSession.createDataFrame(rows, BY_STATION_SCHEMA)
+        percent = [math.expm1(v) * 100 for v in (tau, lo, hi)]
+        return pd.DataFrame([(folds["station_id"].iloc[0], tau, se, lo, hi, *percent, n_total, n_treated)], columns=names)
+
+    schema = T.StructType([T.StructField("station_id", id_type), *BY_STATION_SCHEMA.fields[1:]])
+    return per.groupBy("station_id").applyInPandas(effect, schema)
