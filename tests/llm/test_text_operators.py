@@ -236,3 +236,14 @@ def test_token_file_without_last_separator(spark, tmp_path):
     for block in (1, 2, 5, 100):
         got = tokencount.count_tokens(tokencount.flat_files(spark, folder), folder, 9, block_tokens=block).orderBy("nth").collect()
         assert [(r["nth"], r["n_tokens"], r["complete"]) for r in got] == [(0, 0, True), (1, 2, True), (2, 0, True), (3, 3, False)]
+
+
+def test_most_frequent_equals_a_full_sort(spark):
+    from transit_prices.llm.common import most_frequent
+
+    rows = [(f"w{i}", 1 + 5000 // (i + 1)) for i in range(800)]
+    counts = spark.createDataFrame(rows, "word string, n long").repartition(7)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for limit in (1, 10, 333, 800, 2000):
+        assert [tuple(r) for r in most_frequent(counts, "word", "n", limit).collect()] == want[:limit]
+    assert most_frequent(counts.where("n < 0"), "word", "n", 5).count() == 0

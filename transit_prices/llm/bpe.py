@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from .common import pick, slices
+from .common import most_frequent, pick, slices, written
 
 #: Most words of the lexicon: what bounds the file that every worker maps.
 LEXICON_WORDS = 1 << 16
@@ -456,7 +456,7 @@ def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", words: int
     """Compile the ``words`` most frequent words of the whole corpus (ties by
     bytes). At most that many words reach the driver."""
     vocabulary = Vocabulary(path)
-    top = word_counts(docs, path, text_col).orderBy(F.desc("n"), "word").limit(words).select("word")
+    top = most_frequent(written(word_counts(docs, path, text_col)), "word", "n", words).select("word")
     return compile_lexicon((bytes(w) for w in top.toPandas()["word"]), vocabulary)
 
 

@@ -70,6 +70,21 @@ def written(df: DataFrame, schema: str | None = None) -> DataFrame:
     return spark.read.schema(schema or df.schema).parquet(folder)
 
 
+def most_frequent(counts: DataFrame, word: str, n: str, limit: int) -> DataFrame:
+    """The ``limit`` rows of a written table with the largest ``n`` (ties by ``word``).
+
+    Rows are counted by eighths of an octave of ``n`` first (a few hundred numbers), so
+    tasks pass on only what lies in the limit's own bin or above, not ``limit`` rows each."""
+    octave = F.floor(F.log2(n) * 8)
+    total = 0
+    for r in sorted(counts.groupBy(octave.alias("bin")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        total += r["rows"]
+        if total >= limit:
+            counts = counts.where(octave >= r["bin"])
+            break
+    return counts.orderBy(F.desc(n), word).limit(limit)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut Arrow batches into pieces of about ``limit`` bytes of text (one row at
     least) and give each with its texts as UTF-8 bytes (None for null)."""

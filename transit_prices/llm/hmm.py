@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..session import ship_package
-from .common import named, slices, written
+from .common import most_frequent, named, slices, written
 
 OWN_WORDS = 1 << 16
 STATES = 5
@@ -367,7 +367,7 @@ def score(
     rows = docs.select(named(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), named(text_col).alias("text"))
     counts = written(count_words(rows.where(~F.col("held_out")).select("text")))
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(own_words).toPandas()
+    top = most_frequent(counts, "word", "c", own_words).toPandas()
     vocabulary = {bytes(w): i for i, w in enumerate(top["word"])}
     numbered = written(_numbered(rows, vocabulary))
     train = numbered.where(~F.col("held_out"))
