@@ -103,6 +103,18 @@ def test_near_duplicates(spark, odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_representatives(no_docs).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 80))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = f"{e} tail"
+    assert 0 < (simhash.fingerprint(e.encode()) ^ simhash.fingerprint(near.encode())).bit_count() <= 12
+    # three groups without ids, two groups under one id, a near copy whose id names another group
+    rows = [(None, a), (None, a), (None, b), (None, c), (7, d), (7, text()), (7, d), (3, e), (7, near), (3, e)]
+    kept = simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string"), max_bits=12, pieces=6).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted({(None, a), (None, b), (None, c), (7, d), (7, rows[5][1]), (3, e)}, key=repr)
+
+
 def test_fingerprint_by_definition():
     import xxhash
 

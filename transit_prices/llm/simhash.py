@@ -61,15 +61,16 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * votes > count, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """Rows (doc_id, fp): fp is the fingerprint's bits as a signed long."""
-    rows = pick(docs, doc_id=id_col, text=text_col)
-    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("fp", LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, ``extra`` columns, fp): fp is the fingerprint's bits as a signed long."""
+    rows = pick(docs, doc_id=id_col, **{c: c for c in extra}, text=text_col)
+    kept = ["doc_id", *extra]
+    schema = StructType([*(StructField(c, rows.schema[c].dataType) for c in kept), StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, 1):
+        for part, texts in slices(batches, len(kept)):
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], pa.array(fps)], names=[*kept, "fp"])
 
     return rows.mapInArrow(run, schema)
 
@@ -250,10 +251,7 @@ def near_duplicates(
     of ``docs``; component_id is the smallest id reachable over links."""
     # the fingerprints are read several times: computed once, kept as a small table
     fps = written(fingerprints(docs, id_col, text_col, shingle))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct, max_bits, pieces)).select(F.col("node").alias("fp"), "root")
-    named_fp = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named_fp = written(named_fp)
+    named_fp = _rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits, pieces)
     smallest = named_fp.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = named_fp.join(smallest, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(
@@ -261,18 +259,33 @@ def near_duplicates(
     )
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each
-    group stays, with all its columns. If rows repeat an id, one of them stays."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    keep = written(
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__keep_id")).agg(F.count("*").alias("__rows"))
-    )
+def _rooted(distinct: DataFrame, max_bits: int, pieces: int) -> DataFrame:
+    """Rows (fp, least, root): the component of each distinct fingerprint."""
+    roots = components(links(distinct, max_bits, pieces)).select(F.col("node").alias("fp"), "root")
+    return written(distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def keep_representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, pieces: int = 2
+) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the smallest id (null
+    ids last), then the smallest digest of the text. Which row stays depends on its component
+    alone, so rows of other components may share its id or have none as well. Of rows
+    that repeat both id and text one stays."""
+    digest = ["__digest", "__check"]
+    marked = docs.withColumn(digest[0], F.xxhash64(named(text_col))).withColumn(digest[1], F.hash(named(text_col)))
+    fps = written(fingerprints(marked, id_col, text_col, shingle, tuple(digest)))
+    rows = fps.groupBy("fp", "doc_id", *digest).agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", *digest, "rows"))
+    named_fp = _rooted(rows.groupBy("fp").agg(first.alias("least")), max_bits, pieces)
+    chosen = named_fp.groupBy("root").agg(F.min("least").alias("k"))
+    keep = written(chosen.select(F.col("k.doc_id").alias("__keep_id"), *(F.col(f"k.{c}").alias(f"__keep{c}") for c in digest), F.col("k.rows").alias("__rows")))
     match = named(id_col).eqNullSafe(F.col("__keep_id"))
+    for c in digest:
+        match = match & (F.col(c) == F.col(f"__keep{c}"))
     repeated = keep.where("__rows > 1")
     # the ids grow with the table: the same shuffle at every size, never a broadcast
-    once = docs.join(keep.where("__rows = 1").hint("merge"), match, "left_semi")
-    if repeated.isEmpty():  # the usual case needs no second pass over the texts
-        return once
-    return once.unionByName(docs.join(repeated.hint("merge"), match, "left_semi").dropDuplicates([id_col]))
+    once = marked.join(keep.where("__rows = 1").hint("merge"), match, "left_semi")
+    if not repeated.isEmpty():  # the usual case needs no second pass over the texts
+        once = once.unionByName(marked.join(repeated.hint("merge"), match, "left_semi").dropDuplicates([id_col, *digest]))
+    return once.drop(*digest)
