@@ -61,3 +61,41 @@ def test_station_subset(spark):
     st = spark.createDataFrame([("B", 1.0, 2.0), ("A", 3.0, 4.0)], "nom_gare string, latitude double, longitude double")
     out = {r["nom_gare"]: r["id_gare"] for r in clean.station_subset(st).collect()}
     assert out == {"A": 0, "B": 1}
+
+
+def test_registered_models_run_the_library_defaults(monkeypatch):
+    import inspect
+
+    from transit_prices.plans import queries_ml as q
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def catch(function):
+        def run(*args, **kwargs):
+            bound = inspect.signature(function).bind(*args, **kwargs)
+            bound.apply_defaults()
+            seen.append(bound.arguments)
+            raise Stop
+
+        return run
+
+    class Frame:
+        persist = lambda self: self
+
+    monkeypatch.setattr(q, "_design", lambda *a: (Frame(), Frame()))
+    monkeypatch.setattr(q, "_dml_frame", lambda *a: None)
+    monkeypatch.setattr(q, "supplier_panel", lambda *a: None)
+    monkeypatch.setattr(q.regress, "search_model", catch(q.regress.search_model))
+    monkeypatch.setattr(q.dml, "run_dml", catch(q.dml.run_dml))
+    monkeypatch.setattr(q.forecast, "forecast_station_prices", catch(q.forecast.forecast_station_prices))
+    for query in (q.q_search_forest, q.q_search_gbt, q.q_dml_forest, q.q_forecast_gbt):
+        try:
+            query(None, "")
+        except Stop:
+            pass
+    forest, gbt, dml_forest, forecast = seen
+    assert [(x["space"], x["n_draws"], x["folds"]) for x in (forest, gbt)] == [(None, 50, 5)] * 2
+    assert dml_forest["ml_y"] is None and dml_forest["ml_d"] is None and forecast["max_iter"] == 50

@@ -57,14 +57,7 @@ def q_dml_by_station_linear(spark, sf_dir):
 def q_dml_forest(spark, sf_dir):
     e = _dml_frame(spark, sf_dir)
     x = ["surface", "rooms", "taux", "revenu_median_2021", "part_hlm_2022", "distance_hist_km"]
-    from pyspark.ml.regression import RandomForestRegressor
-
-    # registered run: 50 trees per nuisance (depth 10, leaf 5 as the
-    # reference); the library default is the reference's 200 trees
-    forest = lambda seed: RandomForestRegressor(numTrees=50, maxDepth=10, minInstancesPerNode=5, seed=seed,
-                                                maxMemoryInMB=1024)
-    r = dml.run_dml(e, "log_prix_m2", "d_gp", x, n_splits=2, nuisance="forest", ml_y=forest(42), ml_d=forest(43),
-                    fold_col="order_key")
+    r = dml.run_dml(e, "log_prix_m2", "d_gp", x, n_splits=2, nuisance="forest", fold_col="order_key")
     return r.select("tau_hat", "se_tau", "ci_low", "ci_high", "n", "n_splits", "y_col", "d_col")
 
 
@@ -334,17 +327,9 @@ def _design(spark, sf_dir):
 
 def _search(spark, sf_dir, name):
     train, test = _design(spark, sf_dir)
-    # a smoke-sized space (3 draws, 3 folds, small ensembles) keeps the
-    # registered run short; the library defaults are the reference's ranges
-    # and 50 draws x 5 folds
-    if name == "forest":
-        small = {"numTrees": (20, 60), "maxDepth": (3, 8)}
-    else:
-        small = {"maxIter": (5, 12), "stepSize": [0.1, 0.2], "maxDepth": (3, 4),
-                 "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "1.0"]}
     train = train.persist()
-    model, params, _ = regress.search_model(train, name, small, n_draws=2 if name != "forest" else 3,
-                                            folds=2 if name != "forest" else 3, seed=42)
+    # the reference's ranges, 50 draws x 5 folds (the library defaults)
+    model, params, _ = regress.search_model(train, name)
     pred = model.transform(test)
     m = regress.regression_metrics(pred, "label", "prediction")
     return m.withColumn("model", F.lit(name)).withColumn("params", F.lit(str(sorted(params.items()))))
@@ -360,8 +345,7 @@ def q_search_gbt(spark, sf_dir):
 
 def q_forecast_gbt(spark, sf_dir):
     p = supplier_panel(spark, sf_dir)
-    pred, _ = forecast.forecast_station_prices(p, "station", "date", PANEL_TARGET, TEST_START, n_lags=12, model="gbt",
-                                               max_iter=30)
+    pred, _ = forecast.forecast_station_prices(p, "station", "date", PANEL_TARGET, TEST_START, n_lags=12, model="gbt")
     return forecast.compare_with_baselines(pred, p, "station", "date", PANEL_TARGET)
 
 
