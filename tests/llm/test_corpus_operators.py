@@ -277,6 +277,23 @@ def test_top_k_of_few_and_none(spark):
     assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(2, 256 * 10**10 * 256_000 + 256 * 768), (1, 256 * 10**10 * 256_000 + 256 * 512)]
 
 
+def test_licenses_wrapped_inside_and_whole(spark):
+    prose = "a quiet river under the bridge in winter morning light"
+    rare = " ".join(f"zw{i}" for i in range(80))
+    texts = dict(licenses.FILES[:-1])
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    want = [
+        (f"{prose}\n\n{gpl}\n\n{rare}", "GPL-3.0", False), ("\n".join(f"# {x}" for x in gpl.split("\n")) + f"\n{rare}", "GPL-3.0", False),
+        (f"{prose}\n{bsd}\n{rare}", "BSD-3-Clause", False), (f"{prose}. Released under the MIT License. {rare}.", "MIT", False),
+        (f"{prose}\n{prose}", None, False), *((f"Copyright (c) 2020 Jane Doe\n\n{t}", name, True) for name, t in texts.items()),
+    ]
+    docs = [(i, f"{i}/x", t) for i, (t, _, _) in enumerate(want)] + [(i, f"{i}/x", f"{prose} {i}") for i in range(100, 160)]
+    got = {r["doc_id"]: (r["license"], r["is_license_file"]) for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, path string, text string")).collect()}
+    assert [got[i] for i in range(len(want))] == [(name, file) for _, name, file in want]
+    assert set(texts) == {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"}
+
+
 def test_licenses(spark, no_docs):
     prose = "a quiet river under the bridge in winter morning light"
     rows = [

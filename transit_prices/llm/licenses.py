@@ -1,10 +1,11 @@
 """Licence scans with sparse TF-IDF vectors (native functions only).
 
-Passages of a text, its lines and the whole text, are compared with templates of
-licence headers and files. Terms weigh log((1 + N) / (1 + document
+Passages of a text are compared with templates of licence headers and whole licence files:
+its lines, windows of up to ``LINES`` neighbouring lines and ``SENTENCES`` neighbouring sentences
+(line breaks inside a paragraph do not end a sentence), and the whole text. Terms weigh log((1 + N) / (1 + document
 frequency)), with frequencies over all documents; terms outside the templates weigh as if no
-document held them. A line is a candidate if it holds a template term that is no stop
-word; a whole text if, besides, half of its terms or more are template terms. The best cosine at or above ``min_cosine`` names a document's own licence.
+document held them. A line is a candidate if it holds a term of a header template that is no
+stop word; a window or a whole text if, besides, half of its terms or more are template terms. The best cosine at or above ``min_cosine`` names a document's own licence.
 
 A document whose whole text matches is a licence file of its directory.
 Documents without a licence of their own inherit from the nearest ancestor directory that has a
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +46,14 @@ TEMPLATES = [
 ]
 #: Template terms that do not make a passage a candidate on their own.
 STOP_WORDS = "a all and any are as by can either following for form forms free general in is it later met modify of or person public published source subject terms that the this to under use version with without work you 0 2 3 4 v".split()
+#: Texts of licence files (folder ``license_texts``) and the notice that ends Apache's.
+FILES = [(p.name.removesuffix(".txt").replace("GPL-3", "GPL-3.0"), p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").iterdir())]
+FILES += [(name, text[text.rindex("Licensed under the Apache License") :]) for name, text in FILES if name == "Apache-2.0"]
 MIN_COSINE = 0.75
+#: Neighbouring lines or sentences in one passage, at most.
+LINES, SENTENCES = 6, 3
+#: Sentences end at a stop and a blank, paragraphs at a line without letters and digits.
+SENTENCE_END = r"(?<=[.!?])\s+|\n[^A-Za-z0-9\n]*\n"
 TERM = "[^a-z0-9]+"
 
 
@@ -57,17 +66,35 @@ def _python_terms(text: str) -> list[str]:
     return [t for t in re.split(TERM, text.lower()) if t]
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (lambdas compute what they hold each time)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _windows(pieces: Column, wanted: Column, most: int) -> Column:
+    """Up to ``most`` neighbouring pieces, joined, wherever one of them holds a wanted term."""
+
+    def joined(p: Column, near: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.exists(F.slice(near, i, F.lit(most)), lambda x: x))
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.sequence(F.lit(1), F.lit(most)), lambda k: F.array_join(F.slice(p, i, k), " "))))
+
+    return _bound(pieces, lambda p: _bound(F.transform(p, lambda x: F.arrays_overlap(terms(x), wanted)), lambda near: joined(p, near)))
+
+
 def scan(
     docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
-    templates: list[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE,
+    templates: list[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE, files: list[tuple[str, str]] = FILES,
 ) -> DataFrame:
     """Rows (doc_id, path, license, score, is_license_file, inherited_license,
     inherited_from, effective_license), one per row of ``docs``. The templates are a
     parameter: their terms bound what is collected and broadcast."""
     spark = docs.sparkSession
     rows = docs.select(named(id_col).alias("doc_id"), named(path_col).alias("path"), named(text_col).alias("text"))
+    # a licence file holds a header's strong term too, so its own terms make no candidates
+    strong = sorted({t for _, text in templates for t in _python_terms(text)} - set(STOP_WORDS))
+    templates = [*templates, *files]
     vocabulary = sorted({t for _, text in templates for t in _python_terms(text)})
-    strong = sorted(set(vocabulary) - set(STOP_WORDS))
     known, wanted = F.array(*map(F.lit, vocabulary)), F.array(*map(F.lit, strong))
 
     # one reading of the texts: the template terms of each; only texts with a strong one go on
@@ -82,7 +109,7 @@ def scan(
     frequency = {r["term"]: r["n"] for r in read.select(F.explode("held").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
     idf = {t: math.log((1 + n) / (1 + frequency.get(t, 0))) for t in vocabulary}
     unseen = float(math.log(1 + n))
-    weights = F.create_map(*(F.lit(x) for t in vocabulary for x in (t, float(idf[t])))) if vocabulary else F.lit(None).cast("map<string,double>")
+    weights = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "term string, idf double")
 
     # template vectors of length one, merged by (name, number)
     vectors = []
@@ -97,20 +124,23 @@ def scan(
     # a line that a text repeats counts once
     texts = read.where("text is not null").dropDuplicates(["doc_id", "twin"]).withColumn("line", F.array_distinct(F.split("text", "\n")))
     lines = F.filter("line", lambda x: F.arrays_overlap(terms(x), wanted))
-    words = terms(F.col("text"))
-    known_words = F.size(F.filter(words, lambda t: F.array_contains(known, t)))
-    whole = F.when(2 * known_words >= F.size(words), F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("passage"))))
+    mostly_known = lambda x: 2 * F.size(F.filter(terms(x), lambda t: F.array_contains("held", t))) >= F.size(terms(x))
+    windows = F.array_distinct(F.concat(
+        _windows(F.split("text", "\n"), wanted, LINES), _windows(F.split("text", SENTENCE_END), wanted, SENTENCES)
+    ))
+    windows = F.filter(windows, lambda x: F.arrays_overlap(terms(x), wanted) & mostly_known(x))
+    whole = F.when(mostly_known(F.col("text")), F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("passage"))))
     passages = texts.select(
         "doc_id", "path", "twin",
         F.explode(F.concat(
-            F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("passage"))),
+            F.transform(F.array_union(lines, windows), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("passage"))),
             F.coalesce(whole, F.array().cast("array<struct<whole:boolean,passage:string>>")),
         )).alias("p"),
     ).select("doc_id", "path", "twin", "p.*").withColumn("number", F.xxhash64("whole", "passage"))
     own = ["doc_id", "path", "twin", "whole", "number"]
     spread = passages.select(*own, F.explode(terms(F.col("passage"))).alias("term")).groupBy(*own, "term").agg(F.count("*").alias("tf"))
-    spread = spread.withColumn("weight", F.col("tf") * F.coalesce(F.try_element_at(weights, F.col("term")), F.lit(unseen)))
-    products = spread.join(template, "term").groupBy(*own, "template", "license").agg(
+    spread = spread.join(F.broadcast(weights), "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    products = spread.join(F.broadcast(template), "term").groupBy(*own, "template", "license").agg(
         F.sum(F.col("weight") * F.col("part")).alias("dot")
     )
     norms = spread.groupBy(*own).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
@@ -124,7 +154,7 @@ def scan(
         )
     )
     directory = lambda path: F.regexp_replace(path, "/?[^/]*$", "")
-    files = best.where("file is not null and path is not null").groupBy(directory(F.col("path")).alias("directory")).agg(
+    held_files = best.where("file is not null and path is not null").groupBy(directory(F.col("path")).alias("directory")).agg(
         F.max(F.struct(F.col("file.cosine").alias("cosine"), F.col("file.license").alias("license"))).alias("x")
     ).select("directory", F.col("x.license").alias("inherited_license"))
     found = read.select("doc_id", "path", "twin").alias("r").join(
@@ -135,7 +165,7 @@ def scan(
     depths = F.sequence(F.lit(0), F.size(parts))
     ancestors = F.transform(depths, lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
     below = found.where("license is null and path is not null").select("path").distinct().select("path", F.posexplode(F.array_distinct(ancestors)).alias("depth", "directory"))
-    nearest = below.join(files, "directory").groupBy("path").agg(F.max(F.struct("depth", "directory", "inherited_license")).alias("x")).select(
+    nearest = below.join(held_files, "directory").groupBy("path").agg(F.max(F.struct("depth", "directory", "inherited_license")).alias("x")).select(
         F.col("path").alias("p"), F.col("x.inherited_license").alias("inherited_license"), F.col("x.directory").alias("inherited_from")
     )
     out = found.join(nearest, (F.col("path") == F.col("p")) & F.col("license").isNull(), "left")
