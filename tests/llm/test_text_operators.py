@@ -157,6 +157,12 @@ def test_hmm_learns_latent_states(spark):
     assert gain[0] / gain[1] > 0.25  # log10(2) = 0.30 is the most there is
 
 
+def test_hmm_trains_six_states_by_default():
+    import inspect
+
+    assert inspect.signature(hmm.score).parameters["states"].default == 6
+
+
 def test_hmm_is_a_distribution(spark):
     # over all texts of up to two words, one of them unknown, the probabilities add up with those of longer ones
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "a", "b b a", "a b", ""])], "doc_id long, text string")

@@ -43,7 +43,7 @@ from ..session import ship_package
 from .common import most_frequent, named, slices, written
 
 OWN_WORDS = 1 << 16
-STATES = 5
+STATES = 6
 ROUNDS = 2
 START_WORDS = 512
 SEGMENT = 64
