@@ -137,6 +137,7 @@ def scan(
             F.coalesce(whole, F.array().cast("array<struct<whole:boolean,passage:string>>")),
         )).alias("p"),
     ).select("doc_id", "path", "twin", "p.*").withColumn("number", F.xxhash64("whole", "passage"))
+    passages = written(passages)  # read twice below, for products and norms
     own = ["doc_id", "path", "twin", "whole", "number"]
     spread = passages.select(*own, F.explode(terms(F.col("passage"))).alias("term")).groupBy(*own, "term").agg(F.count("*").alias("tf"))
     spread = spread.join(F.broadcast(weights), "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
