@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, hmm, langid, licenses, mixing, pieces, quality, simhash, tokencount, topk
+from . import bpe, chunks, hmm, langid, licenses, mixing, pieces, quality, repair, simhash, tokencount, topk
 from .common import load, remainder, shared_folder, written
 
 
@@ -97,6 +97,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(load(spark, sf_dir, "conversations"))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(load(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"), ids=False)
 
@@ -112,6 +116,7 @@ QUERIES = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_mix": op9_mix,
     "op10_top_k": op10_top_k,
+    "op11_repair": op11_repair,
     "op12_pieces": op12_pieces,
 }
 
