@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunks, hmm, langid, licenses, mixing, pieces, quality, repair, simhash, tokencount, topk
+from . import bpe, chunks, hmm, langid, licenses, mixing, negatives, pieces, quality, repair, simhash, tokencount, topk
 from .common import load, remainder, shared_folder, written
 
 
@@ -105,6 +105,12 @@ def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(load(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"), ids=False)
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
@@ -118,6 +124,7 @@ QUERIES = {
     "op10_top_k": op10_top_k,
     "op11_repair": op11_repair,
     "op12_pieces": op12_pieces,
+    "op13_negatives": op13_negatives,
 }
 
 #: DuckDB SQL where SQL can express the operator.
@@ -164,5 +171,21 @@ WITH v AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op13_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth FROM s WHERE same) WHERE nth <= 5
+), r AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5
 """,
 }
