@@ -17,38 +17,38 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-def exact_quantiles(df: DataFrame, col: str, probs) -> list:
-    """Quantiles with linear interpolation, exact at any size: rows are counted per
-    value, the values range-partitioned and written down, and each needed rank is
-    looked up in the one partition whose running count holds it. Null without a value."""
-    x = F.col(col).cast("double")
-    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    ranged = cut_lineage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
-    sums = {r["part"]: r["n"] for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).collect()}
-    total = sum(sums.values())
-    if not total:
-        return [None] * len(probs)
-    at = [p * (total - 1) for p in probs]
-    ranks = sorted({int(k) for k in at} | {min(int(k) + 1, total - 1) for k in at})
-    starts, before = {}, 0
-    for part in sorted(sums):
-        starts[part], before = before, before + sums[part]
-    needed = {p: [k for k in ranks if s <= k < s + sums[p]] for p, s in starts.items()}
-    needed = {p: ks for p, ks in needed.items() if ks}
-    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
-    inside = ranged.where(F.col("part").isin(list(needed))).withColumn("upto", upto)
-    hit = F.lit(False)
-    for part, ks in needed.items():
-        for k in ks:
-            hit = hit | ((F.col("part") == part) & (F.col("upto") > k - starts[part]) & (F.col("upto") - F.col("n") <= k - starts[part]))
-    # at most two values per quantile come back
-    rows = [(starts[r["part"]] + r["upto"] - r["n"], starts[r["part"]] + r["upto"], r["v"]) for r in inside.where(hit).collect()]
-    value = {k: next(v for lo, hi, v in rows if lo <= k < hi) for k in ranks}
-    out = []
-    for k in at:
-        lo, hi = value[int(k)], value[min(int(k) + 1, total - 1)]
-        out.append(lo if lo == hi else lo + (hi - lo) * (k - int(k)))
-    return out
+def exact_quantiles(df: DataFrame, cols, probs):
+    """Quantiles with linear interpolation, exact at any size, of one column (a list) or of
+    several (a list per column) in one pass: one histogram (column, value, count) is
+    range-partitioned by both and written down, and each needed rank is looked up in the
+    one partition of its column whose running count holds it. Null without a value."""
+    names = [cols] if isinstance(cols, str) else list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(names)]))
+    counts = df.select(pairs.alias("_p")).select("_p.*").where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranged = cut_lineage(counts.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()))
+    sums = sorted((r["c"], r["part"], r["n"]) for r in ranged.groupBy("c", "part").agg(F.sum("n").alias("n")).collect())
+    totals = {i: sum(n for c, _, n in sums if c == i) for i in range(len(names))}
+    at = {i: [p * (t - 1) for p in probs] for i, t in totals.items() if t}
+    ranks = {i: sorted({int(k) for k in ks} | {min(int(k) + 1, totals[i] - 1) for k in ks}) for i, ks in at.items()}
+    before, needed = {i: 0 for i in totals}, []
+    for c, part, n in sums:
+        needed += [(c, part, k, k - before[c]) for k in ranks[c] if before[c] <= k < before[c] + n]
+        before[c] += n
+    value = {}
+    if needed:
+        upto = F.sum("n").over(Window.partitionBy("c", "part").orderBy("v"))
+        # two ranks per quantile and column
+        wanted = F.broadcast(df.sparkSession.createDataFrame(needed, "c int, part int, rank long, place long"))
+        hit = (F.col("upto") > F.col("place")) & (F.col("upto") - F.col("n") <= F.col("place"))
+        inside = ranged.withColumn("upto", upto).join(wanted, ["c", "part"]).where(hit)
+        value = {(r["c"], r["rank"]): r["v"] for r in inside.select("c", "rank", "v").collect()}
+    out = {}
+    for i, c in enumerate(names):
+        out[c] = [None] * len(probs)
+        for j, k in enumerate(at.get(i, [])):
+            lo, hi = value[i, int(k)], value[i, min(int(k) + 1, totals[i] - 1)]
+            out[c][j] = lo if lo == hi else lo + (hi - lo) * (k - int(k))
+    return out[cols] if isinstance(cols, str) else out
 
 
 def fit_scaler(df: DataFrame, cols, kind: str = "standard") -> DataFrame:
@@ -58,9 +58,9 @@ def fit_scaler(df: DataFrame, cols, kind: str = "standard") -> DataFrame:
     interpolation, as the reference), exact at any size; minmax: min, max - min. Zero
     spread -> scale 1."""
     if kind == "robust":
-        values = []
+        values, found = [], exact_quantiles(df, list(cols), (0.25, 0.5, 0.75))
         for c in cols:
-            low, middle, high = exact_quantiles(df, c, (0.25, 0.5, 0.75))
+            low, middle, high = found[c]
             spread = None if low is None else high - low
             values += [middle, 1.0 if not spread else spread]
         names = [f"{c}__{p}" for c in cols for p in ("center", "scale")]

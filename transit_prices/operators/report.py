@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, exact_sum
 from ..functions.text import zero_pad
+from .features import exact_quantiles
 
 
 def commune_year_prices(
@@ -59,12 +60,12 @@ def price_quantiles(table: DataFrame, col: str = "prix_m2_moyen", probs=(0.05, 0
                     accuracy: int = 100000) -> DataFrame:
     """colour range of the map (linear interpolation, as pandas).
     ``exact=False`` uses the mergeable sketch for very large inputs."""
+    names = [f"q{int(round(p * 100)):02d}" for p in probs]
     if exact:
-        q = F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), accuracy)
-    return table.agg(q.alias("_q")).select(
-        *[F.col("_q")[i].alias(f"q{int(round(p * 100)):02d}") for i, p in enumerate(probs)])
+        values = exact_quantiles(table, col, probs)
+        return table.sparkSession.createDataFrame([tuple(values)], ", ".join(f"{n} double" for n in names))
+    q = F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), accuracy)
+    return table.agg(q.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 def select_year(table: DataFrame, year: int, year_col: str = "annee") -> DataFrame:
