@@ -679,39 +679,63 @@ j AS (SELECT b.*, ya.pred_year_ago FROM b LEFT JOIN ya ON b.station = ya.station
 UNION ALL
 {_metrics('pred_year_ago', 'year_ago')}""").replace("\n, b AS", ",\nb AS", 1)
 
-_DML_B = """
-, b AS (
-  SELECT order_key % 2 AS f, log_prix_m2 AS y, CAST(d_gp AS DOUBLE) AS d, surface AS x, d_gp, station_id
-  FROM enriched WHERE log_prix_m2 IS NOT NULL AND d_gp IS NOT NULL AND surface IS NOT NULL)"""
+_DML_X = ["surface", "rooms", "taux", "distance_hist_km"]
+
+
+def _orthogonal(cols):
+    """Rows once per training fold ``tf``, each covariate less its mean and its parts along
+    those before it, with coefficients of the rows of that fold: e0, e1, ..."""
+    over = "FILTER (f = tf) OVER (PARTITION BY tf)"
+    steps = [f"""b AS (
+  SELECT row_number() OVER () AS k, order_key % 2 AS f, log_prix_m2 AS y, CAST(d_gp AS DOUBLE) AS d, d_gp, station_id,
+         {", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(cols))}
+  FROM enriched WHERE log_prix_m2 IS NOT NULL AND d_gp IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL" for c in cols)}),
+g AS (SELECT b.*, tf FROM b, (VALUES (0), (1)) AS t(tf)),
+c AS (SELECT * REPLACE ({", ".join(f"x{i} - avg(x{i}) {over} AS x{i}" for i in range(len(cols)))}),
+        y - avg(y) {over} AS yc, d - avg(d) {over} AS dc FROM g)"""]
+    last = "c"
+    for i in range(len(cols)):
+        parts = "".join(f" - (sum(x{i} * e{j}) {over}) / (sum(e{j} * e{j}) {over}) * e{j}" for j in range(i))
+        steps.append(f"o{i} AS (SELECT *, x{i}{parts} AS e{i} FROM {last})")
+        last = f"o{i}"
+    return ",\n".join(steps)
+
+
+def _residual(col, over, n=len(_DML_X)):
+    return col + "".join(f" - (sum({col} * e{j}) {over}) / (sum(e{j} * e{j}) {over}) * e{j}" for j in range(n))
+
+
+_DML_B = "\n, " + _orthogonal(_DML_X)
+_BY_FOLD = "FILTER (f = tf) OVER (PARTITION BY tf)"
+_BY_STATION = "FILTER (f = tf) OVER (PARTITION BY s, tf)"
+_LAST = f"o{len(_DML_X) - 1}"
 
 Q["dml_linear"] = with_ctes(["enriched"], _DML_B + f""",
-m AS (SELECT f, regr_slope(y, x) AS ys, regr_intercept(y, x) AS yi, regr_slope(d, x) AS ds, regr_intercept(d, x) AS di
-      FROM b GROUP BY f),
-r AS (SELECT b.y - (m.ys * b.x + m.yi) AS yt, b.d - (m.ds * b.x + m.di) AS dt FROM b JOIN m ON m.f = 1 - b.f),
+a AS (SELECT f, tf, {_residual('yc', _BY_FOLD)} AS yt, {_residual('dc', _BY_FOLD)} AS dt FROM {_LAST}),
+r AS (SELECT yt, dt FROM a WHERE f <> tf),
 t AS (SELECT sum(yt * dt) / sum(dt * dt) AS tau, sum(dt * dt) AS sdd, count(*) AS n FROM r),
 e AS (SELECT sum((r.yt - t.tau * r.dt) * (r.yt - t.tau * r.dt)) AS rss FROM r, t),
-o AS (SELECT tau, sqrt(rss / (n - 1) / sdd) AS se, n FROM t, e)
+z AS (SELECT tau, sqrt(rss / (n - 1) / sdd) AS se, n FROM t, e)
 SELECT {rnd('tau', 'tau_hat')}, {rnd('se', 'se_tau')}, {rnd('tau - 1.96e0 * se', 'ci_low')},
        {rnd('tau + 1.96e0 * se', 'ci_high')}, n, 2 AS n_splits, 'log_prix_m2' AS y_col, 'd_gp' AS d_col
-FROM o""").replace("\n\n, b AS", ",\nb AS", 1)
+FROM z""").replace("\n\n, b AS", ",\nb AS", 1)
 
+# counts of treated rows come before the null drop
 Q["dml_by_station_linear"] = with_ctes(["enriched"], _DML_B + f""",
-st AS (SELECT station_id AS s, count(*) AS nt FROM b WHERE d_gp = 1 AND station_id IS NOT NULL GROUP BY 1
-       HAVING count(*) >= 100 AND count(*) < (SELECT count(*) FROM b)),
-my AS (SELECT f, regr_slope(y, x) AS ys, regr_intercept(y, x) AS yi FROM b GROUP BY f),
-bs AS (SELECT st.s, b.f, b.x, b.y, CASE WHEN b.d_gp = 1 AND b.station_id = st.s THEN 1e0 ELSE 0e0 END AS ds
-       FROM b CROSS JOIN st),
-md AS (SELECT s, f, regr_slope(ds, x) AS sl, regr_intercept(ds, x) AS ic FROM bs GROUP BY s, f),
-r AS (SELECT bs.s, bs.y - (my.ys * bs.x + my.yi) AS yt, bs.ds - (md.sl * bs.x + md.ic) AS dt
-      FROM bs JOIN my ON my.f = 1 - bs.f JOIN md ON md.s = bs.s AND md.f = 1 - bs.f),
-t AS (SELECT s, sum(yt * dt) / sum(dt * dt) AS tau, sum(dt * dt) AS sdd, count(*) AS n FROM r GROUP BY s),
-e AS (SELECT r.s, sum((r.yt - t.tau * r.dt) * (r.yt - t.tau * r.dt)) AS rss FROM r JOIN t ON r.s = t.s GROUP BY r.s),
-o AS (SELECT t.s, t.tau, sqrt(e.rss / (t.n - 1) / t.sdd) AS se, t.n, st.nt FROM t JOIN e ON t.s = e.s JOIN st ON st.s = t.s)
+st AS (SELECT station_id AS s, count(*) AS nt FROM enriched WHERE d_gp = 1 AND station_id IS NOT NULL GROUP BY 1
+       HAVING count(*) >= 100 AND count(*) < (SELECT count(*) FROM enriched)),
+ay AS (SELECT k, f, tf, {", ".join(f"e{j}" for j in range(len(_DML_X)))}, d_gp, station_id, {_residual('yc', _BY_FOLD)} AS yt FROM {_LAST}),
+bs AS (SELECT ay.*, st.s, CASE WHEN d_gp = 1 AND station_id = st.s THEN 1e0 ELSE 0e0 END AS ds FROM ay CROSS JOIN st),
+bc AS (SELECT *, ds - avg(ds) {_BY_STATION} AS dsc FROM bs),
+a AS (SELECT s, f, tf, yt, {_residual('dsc', _BY_STATION)} AS dt FROM bc),
+r AS (SELECT s, yt, dt FROM a WHERE f <> tf),
+t AS (SELECT s, sum(yt * dt) / sum(dt * dt) AS tau, sum(dt * dt) AS sdd, sum(yt * yt) AS syy, sum(yt * dt) AS syd, count(*) AS n FROM r GROUP BY s),
+z AS (SELECT t.s, t.tau, sqrt((syy - 2 * tau * syd + tau * tau * sdd) / (t.n - 1) / t.sdd) AS se, t.n, st.nt FROM t JOIN st ON st.s = t.s)
 SELECT CAST(s AS BIGINT) AS station_id, {rnd('tau', 'tau_hat')}, {rnd('se', 'se_tau')},
        {rnd('tau - 1.96e0 * se', 'ci_low')}, {rnd('tau + 1.96e0 * se', 'ci_high')},
        {rnd('(exp(tau) - 1) * 100', 'ate_pct')}, {rnd('(exp(tau - 1.96e0 * se) - 1) * 100', 'ci_low_pct')},
        {rnd('(exp(tau + 1.96e0 * se) - 1) * 100', 'ci_high_pct')}, n, CAST(nt AS BIGINT) AS n_treated
-FROM o""").replace("\n\n, b AS", ",\nb AS", 1)
+FROM z""").replace("\n\n, b AS", ",\nb AS", 1)
 
 _COV = ["lon", "lat", "taux", "revenu_median_2021", "station_id"]
 Q["coverage_report"] = with_ctes(["enriched"], "\nSELECT " + ", ".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, dml, enrich, features, forecast, panel, regress, selection, sequences, splits, trees
+from ..operators import clean, dml, dml_forest, enrich, features, forecast, panel, regress, selection, sequences, splits, trees
 from ..session import cut_lineage
 from ..sources import adapters
 from . import causal
@@ -21,7 +21,8 @@ SEQ_STEPS, SEQ_HORIZON = 18, 6      # multi-horizon defaults of the reference
 SINGLE_STEPS = 12                   # single-step window of the reference
 TEST_START, TEST_END = "2000-01-01", "2000-12-01"
 LAST_N = 24                         # last months held out (reference forecast_horizon)
-DML_X = ["surface"]
+DML_X = ["surface", "rooms", "taux", "distance_hist_km"]
+DML_FOREST_X = ["surface", "rooms", "taux", "revenu_median_2021", "part_hlm_2022", "distance_hist_km"]
 MIN_TREATED = 100
 
 
@@ -56,11 +57,16 @@ def q_dml_by_station_linear(spark, sf_dir):
 
 def q_dml_forest(spark, sf_dir):
     e = _dml_frame(spark, sf_dir)
-    x = ["surface", "rooms", "taux", "revenu_median_2021", "part_hlm_2022", "distance_hist_km"]
-    r = dml.run_dml(e, "log_prix_m2", "d_gp", x, n_splits=2, nuisance="forest", fold_col="order_key")
+    r = dml.run_dml(e, "log_prix_m2", "d_gp", DML_FOREST_X, n_splits=2, nuisance="forest", fold_col="order_key")
     return r.select("tau_hat", "se_tau", "ci_low", "ci_high", "n", "n_splits", "y_col", "d_col")
 
 
+def q_dml_by_station_forest(spark, sf_dir):
+    e = _dml_frame(spark, sf_dir)
+    return dml_forest.run_dml_by_station_forest(e, "log_prix_m2", "d_gp", "station_id", DML_FOREST_X, n_splits=2,
+                                                min_treated=MIN_TREATED, fold_col="order_key")
+
+
 # ---------------------------------------------------------------------------
 # Station x month panels
 # ---------------------------------------------------------------------------
@@ -391,6 +397,7 @@ QUERIES = {
     "dml_linear": q_dml_linear,
     "dml_by_station_linear": q_dml_by_station_linear,
     "dml_forest": q_dml_forest,
+    "dml_by_station_forest": q_dml_by_station_forest,
     "station_month_features": q_station_month_features,
     "station_month_features_all": q_station_month_features_all,
     "station_month_features_mode": q_station_month_features_mode,
