@@ -109,17 +109,17 @@ def scan(
     frequency = {r["term"]: r["n"] for r in read.select(F.explode("held").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
     idf = {t: math.log((1 + n) / (1 + frequency.get(t, 0))) for t in vocabulary}
     unseen = float(math.log(1 + n))
-    weights = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "term string, idf double")
 
-    # template vectors of length one, merged by (name, number)
-    vectors = []
-    for i, (name, text) in enumerate(templates):
+    # template vectors of length one: a term's parts in all of them, side by side
+    parts: dict[str, list[float]] = {t: [0.0] * len(templates) for t in vocabulary}
+    for i, (_, text) in enumerate(templates):
         tf: dict[str, int] = {}
         for t in _python_terms(text):
             tf[t] = tf.get(t, 0) + 1
         norm = sum((k * idf[t]) ** 2 for t, k in tf.items()) ** 0.5
-        vectors += [(i, name, t, float(k * idf[t] / norm)) for t, k in tf.items() if norm > 0 and idf[t] > 0]
-    template = spark.createDataFrame(vectors, "template int, license string, term string, part double")
+        for t, k in tf.items():
+            parts[t][i] = float(k * idf[t] / norm) if norm > 0 else 0.0
+    weights = spark.createDataFrame([(t, float(idf[t]), parts[t]) for t in vocabulary], "term string, idf double, parts array<double>")
 
     # a line that a text repeats counts once
     texts = read.where("text is not null").dropDuplicates(["doc_id", "twin"]).withColumn("line", F.array_distinct(F.split("text", "\n")))
@@ -136,18 +136,17 @@ def scan(
             F.transform(F.array_union(lines, windows), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("passage"))),
             F.coalesce(whole, F.array().cast("array<struct<whole:boolean,passage:string>>")),
         )).alias("p"),
-    ).select("doc_id", "path", "twin", "p.*").withColumn("number", F.xxhash64("whole", "passage"))
-    passages = written(passages)  # read twice below, for products and norms
-    own = ["doc_id", "path", "twin", "whole", "number"]
-    spread = passages.select(*own, F.explode(terms(F.col("passage"))).alias("term")).groupBy(*own, "term").agg(F.count("*").alias("tf"))
+    ).select("doc_id", "path", "twin", "p.*").withColumn("h1", F.xxhash64("passage")).withColumn("h2", F.xxhash64(F.lit(7), "passage"))
+    passages = written(passages)  # read twice below: the distinct ones, and where they are
+    # equal passages (by 128 bits) are compared once; all that follows stays in the partition of its passage
+    distinct = passages.groupBy("h1", "h2").agg(F.first("passage").alias("passage"))
+    spread = distinct.select("h1", "h2", F.explode(terms(F.col("passage"))).alias("term")).groupBy("h1", "h2", "term").agg(F.count("*").alias("tf"))
     spread = spread.join(F.broadcast(weights), "term", "left").withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    products = spread.join(F.broadcast(template), "term").groupBy(*own, "template", "license").agg(
-        F.sum(F.col("weight") * F.col("part")).alias("dot")
-    )
-    norms = spread.groupBy(*own).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    cosine = products.alias("d").join(
-        norms.alias("m"), [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in own]
-    ).where("norm > 0").select(*(F.col(f"d.{c}") for c in own), "license", (F.col("dot") / F.col("norm")).alias("cosine")).where(F.col("cosine") >= min_cosine)
+    dots = [F.sum(F.col("weight") * F.col("parts")[i]).alias(f"dot{i}") for i in range(len(templates))]
+    compared = spread.groupBy("h1", "h2").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"), *dots).where("norm > 0")
+    ranks = [F.struct((F.col(f"dot{i}") / F.col("norm")).alias("cosine"), F.lit(name).alias("license")) for i, (name, _) in enumerate(templates)]
+    hits = compared.select("h1", "h2", F.array_max(F.array(*ranks)).alias("x")).select("h1", "h2", "x.*").where(F.col("cosine") >= min_cosine)
+    cosine = passages.select("doc_id", "path", "twin", "whole", "h1", "h2").join(hits, ["h1", "h2"])
     rank = F.struct(F.col("cosine"), F.col("license"))
     best = written(
         cosine.groupBy("doc_id", "path", "twin").agg(
