@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transit_prices.llm import bpe, chunks, mixing, quality, simhash
-from transit_prices.llm.common import load, named, written
+from transit_prices.llm.common import load, unpacked, written
 from transit_prices.llm.queries import vocabulary_file
 
 
@@ -30,9 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out of the text."""
-    cut = chunks.without_repeats(docs)
-    size = F.when(F.col("__cut").isNull(), named("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("n_chars", size).select(*(named(c) for c in docs.columns))
+    size = F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return unpacked(chunks.cut_rows(docs), docs.columns, text=F.col("text"), n_chars=size)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,12 +3,15 @@ import random
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+CLASHES = ["copies", "copy", "cut", "__cut", "__doc", "digest", "__digest", "__check", "__id", "keep_id", "rows", "doc", "twin", "nth", "part", "id"]
+
 DOCS = StructType(
     [
         StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
         StructField("source", StringType()), StructField("n_chars", LongType()),
         # names that operators use inside or in their results
         StructField("fp", StringType()), StructField("size", StringType()), StructField("a.b c", StringType()), StructField("row", StringType()), StructField("word", StringType()),
+        *(StructField(n, StringType()) for n in CLASHES),
     ]
 )
 
@@ -37,8 +40,8 @@ def rows(n_null=1):
     found = []
     for i, t in enumerate(texts()):
         source = [None, "web", "book", "é", "Z"][i % 5]
-        found.append((i, t, None if i % 7 == 0 else ["en", "fr"][i % 2], source, None if t is None else len(t), "x", None, "y", "z", None))
-    found += [(None, "text without an id, twice", "en", "web", 5, None, None, None, None, None)] * 2
+        found.append((i, t, None if i % 7 == 0 else ["en", "fr"][i % 2], source, None if t is None else len(t), "x", None, "y", "z", None, *CLASHES))
+    found += [(None, "text without an id, twice", "en", "web", 5, None, None, None, None, None, *CLASHES)] * 2
     found.append(found[3])  # a repeated row
     return found
 

@@ -311,3 +311,20 @@ def test_licenses(spark, no_docs):
     ]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert licenses.scan(no_docs.withColumn("path", F.lit("p"))).count() == 0
+
+
+def test_mix_with_null_and_repeated_ids_meets_targets(spark):
+    """Rows without an id, and rows alike in everything, are drawn each on its own."""
+    words = " ".join(["word"] * 20)
+    for texts in ([f"{words} {i}" for i in range(100)], [words] * 100):
+        rows = [(None if s in "abcd" else 7, s, t, "x") for s in "abcd" for t in texts]
+        docs = spark.createDataFrame(rows, "doc_id long, source string, text string, copies string").repartition(3)
+        got = mixing.mix(docs).collect()
+        assert len(got) == 400
+        out = mixing.repeated(docs).collect()
+        for s in "abcd":
+            target = next(r["target"] for r in got if r["source"] == s)
+            taken = sum(r["taken"] for r in got if r["source"] == s)
+            assert abs(taken - target) <= 21
+            assert sum(len(r["text"].split()) for r in out if r["source"] == s) == taken
+        assert {r["copies"] for r in out} == {"x"}

@@ -14,12 +14,15 @@ SF = "/root/testdata/sf0.001"
 def test_stages(spark, odd_docs):
     docs = odd_docs
     columns, seen = docs.columns, []
+    extra = columns[5:]  # no stage changes columns that it does not own
+    values = {tuple(r[c] for c in extra) for r in docs.collect()}
     for name, stage in pipeline.STAGES:
         before = docs.collect()
         docs = pipeline.written(stage(spark, docs, SF))
         seen.append((name, before, docs.collect()))
         if name != "encode":
             assert docs.columns == columns
+            assert {tuple(r[c] for c in extra) for r in docs.collect()} <= values
     kept = {n: after for n, _, after in seen}
     rows = seen[0][1]
     good = [r for r in rows if quality.measure([(r["text"] or "").encode()])[0][0] >= 50]
@@ -45,8 +48,9 @@ def test_empty_table(spark, no_docs):
     assert docs.count() == 0
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op13_negatives"])
 def test_queries_return_every_row(spark, name):
     got = QUERIES[name](spark, SF)
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    assert got.count() == (50 if name == "op10_top_k" else n)
+    n = {"op10_top_k": 50, "op11_repair": spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()}.get(name, n)
+    assert got.count() == n

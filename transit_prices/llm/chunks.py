@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ..session import ship_package
-from .common import named, pick, slices, written
+from .common import packed, pick, slices, unpacked, written
 
 WINDOW = 16
 MIN_CHUNK = 24
@@ -177,24 +177,27 @@ def _array(kind):
     return ArrayType(kind)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, **cut) -> DataFrame:
-    """``docs`` with the repeated chunks cut out of the text column, and columns
-    removed_chunks, removed_spans and first_doc_ids (documents that hold the first
-    copies) as one struct column ``__cut`` (null if nothing was removed)."""
-    twin = F.xxhash64(named(id_col), named(text_col))
-    rows = docs.select(named(id_col).alias("doc"), twin.alias("twin"), named(text_col).alias("text"))
-    spans = written(repeated_spans(rows, min_run, **cut))
-    spans = spans.select(
-        F.col("doc").alias("__doc"), F.col("twin").alias("__twin"), F.struct("spans", "removed_chunks", "first_doc_ids").alias("__cut")
-    )
+def cut_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, **cut) -> DataFrame:
+    """Rows (row, text, cut): the caller's row, its text without the repeated chunks, and
+    a struct of removed_chunks, removed spans and first_doc_ids, the documents that hold the
+    first copies (null if nothing was removed)."""
+    twin = F.xxhash64("doc", "text").alias("twin")
+    own = packed(docs, doc=id_col, text=text_col).select("row", "doc", "text", twin)
+    spans = written(repeated_spans(own.select("doc", "twin", "text"), min_run, **cut))
+    spans = spans.select(F.col("doc").alias("at_doc"), F.col("twin").alias("at_twin"), F.struct("spans", "removed_chunks", "first_doc_ids").alias("cut"))
+    # the text travels once, inside the row
+    rows = own.drop("text")
     # the spans grow with the table: the same shuffle at every size, never a broadcast
-    joined = docs.withColumn("__own", twin).join(
-        spans.hint("merge"), named(id_col).eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__twin")), "left"
-    )
-    raw = named(text_col).cast("binary")
+    joined = rows.join(spans.hint("merge"), F.col("doc").eqNullSafe(F.col("at_doc")) & (F.col("twin") == F.col("at_twin")), "left")
+    text = F.col("row").getField(text_col)
+    raw = text.cast("binary")
     # what lies between the spans: from each span's end to the next one's start
-    begins = F.concat(F.array(F.lit(0)), F.col("__cut.spans.hi"))
-    ends = F.concat(F.col("__cut.spans.lo"), F.array(F.octet_length(raw)))
+    begins = F.concat(F.array(F.lit(0)), F.col("cut.spans.hi"))
+    ends = F.concat(F.col("cut.spans.lo"), F.array(F.octet_length(raw)))
     pieces = F.zip_with(begins, ends, lambda a, b: F.substring(raw, a + 1, b - a).cast("string"))
-    text = F.when(F.col("__cut").isNull(), named(text_col)).otherwise(F.array_join(pieces, ""))
-    return joined.withColumn(text_col, text).drop("__doc", "__twin", "__own")
+    return joined.select("row", F.when(F.col("cut").isNull(), text).otherwise(F.array_join(pieces, "")).alias("text"), "cut")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, **cut) -> DataFrame:
+    """``docs`` with the repeated chunks cut out of the text column."""
+    return unpacked(cut_rows(docs, id_col, text_col, min_run, **cut), docs.columns, **{text_col: F.col("text")})

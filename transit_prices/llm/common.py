@@ -45,6 +45,19 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(named(src).alias(dst) for dst, src in columns.items()))
 
 
+def packed(docs: DataFrame, **columns: str) -> DataFrame:
+    """The caller's rows as one struct column ``row``, beside the named columns: whatever
+    the caller's columns are called, the operator's own names are free."""
+    ship_package(docs.sparkSession)
+    row = F.struct(*(named(c).alias(c) for c in docs.columns)).alias("row")
+    return docs.select(row, *(named(src).alias(dst) for dst, src in columns.items()))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The caller's columns again, some of them replaced (by the caller's name)."""
+    return rows.select(*(replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns))
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null ids count as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

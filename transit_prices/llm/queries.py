@@ -80,9 +80,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its text without repeated chunks, and what was cut."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = F.col("__cut")
-    return chunks.without_repeats(docs).select(
-        "doc_id", "text",
+    cut = F.col("cut")
+    return chunks.cut_rows(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "text",
         F.coalesce(cut["removed_chunks"], F.lit(0)).alias("removed_chunks"),
         F.coalesce(F.aggregate(cut["spans"], F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"]), F.lit(0)).alias("removed_bytes"),
         cut["spans"].alias("removed_spans"), cut["first_doc_ids"].alias("first_doc_ids"),
@@ -131,7 +131,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op9_mix": r"""
 WITH rows AS (
-  SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents
 ), per AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source
 ), nth AS (
   SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS n FROM per
@@ -146,7 +146,7 @@ WITH rows AS (
 ), e AS (
   SELECT rows.doc_id, rows.source, size, source_size, target,
     CASE WHEN source_size > 0 THEN least(target * 1.0::DOUBLE / source_size, 2.0) ELSE 0.0::DOUBLE END AS e,
-    ((('0x' || substr(md5(coalesce(rows.doc_id::VARCHAR, '') || ':9'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+    ((('0x' || substr(md5(coalesce(rows.doc_id::VARCHAR, '') || ':' || digest || ':' || (row_number() OVER (PARTITION BY rows.doc_id, rows.source, digest) - 1) || ':9'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
   FROM rows JOIN t ON rows.source IS NOT DISTINCT FROM t.source
 ), q AS (
   SELECT *, floor(e)::INT AS whole, e - floor(e) AS p, (u / (1 - u)) * ((1 - (e - floor(e))) / (e - floor(e))) AS odds FROM e

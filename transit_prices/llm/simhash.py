@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import ship_package
-from .common import components, named, pick, slices, written
+from .common import components, packed, pick, slices, unpacked, written
 
 SEED = 42
 #: Rows at one anchor from which it is cut into blocks.
@@ -272,20 +272,21 @@ def keep_representatives(
     ids last), then the smallest digest of the text. Which row stays depends on its component
     alone, so rows of other components may share its id or have none as well. Of rows
     that repeat both id and text one stays."""
-    digest = ["__digest", "__check"]
-    marked = docs.withColumn(digest[0], F.xxhash64(named(text_col))).withColumn(digest[1], F.hash(named(text_col)))
-    fps = written(fingerprints(marked, id_col, text_col, shingle, tuple(digest)))
+    digest = ["digest", "check"]
+    marked = packed(docs, doc_id=id_col, text=text_col).withColumn("digest", F.xxhash64("text")).withColumn("check", F.hash("text"))
+    fps = written(fingerprints(marked, "doc_id", "text", shingle, tuple(digest)))
     rows = fps.groupBy("fp", "doc_id", *digest).agg(F.count("*").alias("rows"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", *digest, "rows"))
     named_fp = _rooted(rows.groupBy("fp").agg(first.alias("least")), max_bits, pieces)
     chosen = named_fp.groupBy("root").agg(F.min("least").alias("k"))
-    keep = written(chosen.select(F.col("k.doc_id").alias("__keep_id"), *(F.col(f"k.{c}").alias(f"__keep{c}") for c in digest), F.col("k.rows").alias("__rows")))
-    match = named(id_col).eqNullSafe(F.col("__keep_id"))
+    keep = written(chosen.select(F.col("k.doc_id").alias("keep_id"), *(F.col(f"k.{c}").alias(f"keep_{c}") for c in digest), F.col("k.rows").alias("rows")))
+    match = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     for c in digest:
-        match = match & (F.col(c) == F.col(f"__keep{c}"))
-    repeated = keep.where("__rows > 1")
+        match = match & (F.col(c) == F.col(f"keep_{c}"))
+    marked = marked.drop("text")
+    repeated = keep.where("rows > 1")
     # the ids grow with the table: the same shuffle at every size, never a broadcast
-    once = marked.join(keep.where("__rows = 1").hint("merge"), match, "left_semi")
+    once = marked.join(keep.where("rows = 1").hint("merge"), match, "left_semi")
     if not repeated.isEmpty():  # the usual case needs no second pass over the texts
-        once = once.unionByName(marked.join(repeated.hint("merge"), match, "left_semi").dropDuplicates([id_col, *digest]))
-    return once.drop(*digest)
+        once = once.unionByName(marked.join(repeated.hint("merge"), match, "left_semi").dropDuplicates(["doc_id", *digest]))
+    return unpacked(once, docs.columns)
