@@ -82,13 +82,10 @@ def test_registered_models_run_the_library_defaults(monkeypatch):
 
         return run
 
-    class Frame:
-        persist = lambda self: self
-
-    monkeypatch.setattr(q, "_design", lambda *a: (Frame(), Frame()))
+    monkeypatch.setattr(q, "_design", lambda *a: (None, None))
     monkeypatch.setattr(q, "_dml_frame", lambda *a: None)
     monkeypatch.setattr(q, "supplier_panel", lambda *a: None)
-    monkeypatch.setattr(q.regress, "search_model", catch(q.regress.search_model))
+    monkeypatch.setattr(q.trees, "staged_search", catch(q.trees.staged_search))
     monkeypatch.setattr(q.dml, "run_dml", catch(q.dml.run_dml))
     monkeypatch.setattr(q.forecast, "forecast_station_prices", catch(q.forecast.forecast_station_prices))
     for query in (q.q_search_forest, q.q_search_gbt, q.q_dml_forest, q.q_forecast_gbt):
@@ -97,5 +94,29 @@ def test_registered_models_run_the_library_defaults(monkeypatch):
         except Stop:
             pass
     forest, gbt, dml_forest, forecast = seen
-    assert [(x["space"], x["n_draws"], x["folds"]) for x in (forest, gbt)] == [(None, 50, 5)] * 2
+    assert [(x["name"], len(x["draws"]), x["folds"]) for x in (forest, gbt)] == [("forest", 50, 5), ("gbt", 50, 5)]
+    assert {k for d in gbt["draws"] for k in d} == set(q.regress.GBT_SPACE)
     assert dml_forest["ml_y"] is None and dml_forest["ml_d"] is None and forecast["max_iter"] == 50
+
+
+def test_a_run_written_twice_leaves_one_copy(spark, tmpdir_path):
+    met, uri = spark.createDataFrame([(1.0, 2.0)], "mae double, mse double"), os.path.join(tmpdir_path, "metrics")
+    for _ in range(2):
+        sinks.append_metrics(met, uri, "gbt", "Issy", run_id="a")
+    sinks.append_metrics(met, uri, "gbt", "Issy", run_id="b")
+    sinks.append_metrics(met, uri, "forest", "Issy", run_id="a")
+    assert sorted((r["model"], r["run_id"]) for r in spark.read.parquet(uri).collect()) == [("forest", "a"), ("gbt", "a"), ("gbt", "b")]
+    registry = os.path.join(tmpdir_path, "registry")
+    for r2 in (0.5, 0.5, 0.6):
+        sinks.register_run(spark, registry, "forest", {}, {"r2": r2}, run_date=F_date(3))
+    assert sorted(r["r2"] for r in spark.read.parquet(registry).collect()) == [0.5, 0.6]
+
+
+def test_comparison_replaces_its_own_pair_only(spark, tmpdir_path):
+    """A10."""
+    uri = os.path.join(tmpdir_path, "comparison")
+    row = lambda station, y: spark.createDataFrame([("gbt", station, F_date(1), 1.0, y)], "model string, station string, date date, y_true double, y_pred double")
+    for station, y in (("A", 1.0), ("B", 2.0), ("A", 3.0)):
+        sinks.write_comparison(row(station, y), uri)
+    found = spark.read.option("header", True).csv(uri).collect()
+    assert sorted((r["station"], float(r["y_pred"])) for r in found) == [("A", 3.0), ("B", 2.0)]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .splits import global_positions
 
 def exact_quantiles(df: DataFrame, cols, probs):
     """Quantiles with linear interpolation, exact at any size, of one column (a list) or of
@@ -101,11 +102,8 @@ def fit_ordinal(df: DataFrame, col: str) -> DataFrame:
     """Category -> index in alphabetical order (as the reference encoder);
     a small table (distinct values of one column)."""
     cats = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    return cats.select("value", (F.dense_rank().over(_alpha_window()) - 1).cast("double").alias("index"))
-
-
-def _alpha_window():
-    return Window.orderBy("value")
+    # positions in a range-partitioned order: no one-task window, however many categories
+    return global_positions(cats, ["value"], out="index").select("value", F.col("index").cast("double").alias("index"))
 
 
 def apply_ordinal(df: DataFrame, mapping: DataFrame, col: str, unknown: float = -1.0, out: str | None = None) -> DataFrame:

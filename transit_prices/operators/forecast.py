@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .regress import regression_metrics
 
 
@@ -70,6 +71,54 @@ def forecast_station_prices(
     return out, fitted
 
 
+def best_round(losses: list[float], patience: int) -> int:
+    """Early stopping: the round (from 1) with the least loss before the first run of
+    ``patience`` rounds without a better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def forecast_with_early_stopping(panel: DataFrame, station_col: str, date_col: str, target_col: str, test_start, n_lags: int = 12,
+                                 validation_share: float = 0.2, patience: int = 30, max_rounds: int = 200, step: float = 0.1, depth: int = 5, seed: int = 42):
+    """J9 with early stopping and the best round restored. Targets are min-max scaled per
+    station by its rows before the validation months (I3), and the model learns the change from the
+    last month, so a trend goes on. The last ``validation_share`` of the months before ``test_start``
+    validate. Boosting is sequential and seeded: the fit with the best round's number of
+    rounds is the long fit cut there. Returns (predictions, facts: best round, losses, model)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    start = F.to_date(F.lit(str(test_start)))
+    months = sorted(r[0] for r in panel.where(F.col(date_col) < start).select(date_col).distinct().collect())  # a number of months
+    validate_from = F.lit(months[min(len(months) - 1, int(len(months) * (1 - validation_share)))])
+    seen = panel.where(F.col(date_col) < validate_from)
+    limits = seen.groupBy(station_col).agg(F.min(target_col).alias("_low"), F.max(target_col).alias("_high"))
+    width = F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")).otherwise(F.lit(1.0))
+    scaled = panel.join(limits, station_col).withColumn("_width", width).withColumn("_y", (F.col(target_col) - F.col("_low")) / F.col("_width"))
+    data = lag_features(scaled, station_col, date_col, "_y", n_lags)
+    last = F.col("_y_lag1")
+    data = data.withColumn("_last", last).withColumns({f"_x{k}": F.col(f"_y_lag{k}") - last for k in range(2, n_lags + 1)}).withColumn("_change", F.col("label") - last)
+    inputs = [f"_x{k}" for k in range(2, n_lags + 1)] + ["_last"]
+    data = VectorAssembler(inputCols=inputs, outputCol="features").transform(data).select(
+        station_col, date_col, "features", "_change", "_last", "_low", "_width", target_col)
+    data = cut_lineage(data)  # read by two fits and three scorings
+    train = data.where(F.col(date_col) < validate_from)
+    valid = data.where((F.col(date_col) >= validate_from) & (F.col(date_col) < start))
+    make = lambda rounds: GBTRegressor(labelCol="_change", maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
+    losses = list(make(max_rounds).fit(train).evaluateEachIteration(valid, "squared"))
+    rounds = best_round(losses, patience)
+    model = make(rounds).fit(train)
+    test = model.transform(data.where(F.col(date_col) >= start))
+    pred = (F.col("_last") + F.col("prediction")) * F.col("_width") + F.col("_low")
+    out = test.select(station_col, date_col, F.col(target_col).alias("y_true"), pred.alias("y_pred"), F.lit("gbt").alias("model"))
+    return out, {"best_round": rounds, "losses": losses, "model": model}
+
+
 def direct_windows(panel: DataFrame, station_col: str, date_col: str, target_col: str, feature_cols, n_steps: int,
                    horizon: int) -> DataFrame:
     """Rows (station, origin, features, y1..yh): the last ``n_steps`` rows up to and

@@ -3,11 +3,15 @@ sequences, scaling, encoding, metrics, models and coverage."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators import clean, dml, dml_forest, enrich, features, forecast, panel, regress, selection, sequences, splits, trees
-from ..session import cut_lineage
+from ..operators import bundle, clean, dml, dml_forest, enrich, features, forecast, panel, regress, selection, sequences, splits, trees
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import adapters
+from ..sources.readers import INDICATOR_COLUMNS
 from . import causal
 from .queries import _inputs, rounded
 
@@ -221,6 +225,36 @@ def q_predict_selected(spark, sf_dir):
     return rounded(forecast.score_direct(models, win.where(F.col("origin").between(F.add_months(end, -SEQ_HORIZON), end)), "station"))
 
 
+#: The 21 features of the reference's windows (19 means and two shares).
+ALL_FEATURES = ["surface", "rooms", "distance_gare_km", "relative_signature", "relative_opening", "taux", "lat_gare", "lon_gare",
+                "variation_mom", "variation_yoy", *INDICATOR_COLUMNS, "share_appartement", "share_vente"]
+
+
+def _feature_panel(spark, sf_dir):
+    """Station x month means of the price-regression table (F4), with all 21 features."""
+    s = causal.price_features(_inputs(spark, sf_dir)).withColumn("month", F.trunc("date", "MM"))
+    p = panel.station_month_features(s, "month", "station_id", ALL_FEATURES[:-2], complete_only=False, target_col=PANEL_TARGET)
+    return cut_lineage(p)
+
+
+def q_feature_panel(spark, sf_dir):
+    return rounded(_feature_panel(spark, sf_dir))
+
+
+def q_predict_bundle(spark, sf_dir):
+    """J10 from saved parts: fit before the prediction window, save, find the newest bundle
+    through the registry, load it and score the newest windows."""
+    p = _feature_panel(spark, sf_dir)
+    end = F.to_date(F.lit(PREDICTION_END))
+    train = p.where(F.col("date") < F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON)))
+    folder = f"{ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix='tp-models-')).rstrip('/')}/bundle-{uuid.uuid4().hex}"
+    fitted = bundle.fit_bundle(train, "station_id", "date", ALL_FEATURES, PANEL_TARGET, SEQ_STEPS, SEQ_HORIZON)
+    bundle.save_bundle(spark, fitted, f"{folder}/model", f"{folder}/registry")
+    held = bundle.newest_bundle(spark, f"{folder}/registry")
+    scored = held.score(p.where(F.col("date") >= F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON))), "station_id", "date")
+    return rounded(scored.where(F.col("origin") <= end))
+
+
 def q_last_horizon_actuals(spark, sf_dir):
     p = supplier_panel(spark, sf_dir)
     return rounded(sequences.last_horizon_actuals(p, "date", PREDICTION_END, SEQ_HORIZON).select("station", "date", PANEL_TARGET))
@@ -365,6 +399,14 @@ def q_search_gbt(spark, sf_dir):
     return _search(spark, sf_dir, "gbt")
 
 
+def q_forecast_early_stop(spark, sf_dir):
+    """J9 with early stopping, against the two naive forecasts."""
+    p = supplier_panel(spark, sf_dir)
+    pred, _ = forecast.forecast_with_early_stopping(p, "station", "date", PANEL_TARGET, TEST_START)
+    pred = pred.withColumn("station", F.col("station").cast("string"))
+    return forecast.compare_with_baselines(pred, p, "station", "date", PANEL_TARGET)
+
+
 def q_forecast_gbt(spark, sf_dir):
     p = supplier_panel(spark, sf_dir)
     pred, _ = forecast.forecast_station_prices(p, "station", "date", PANEL_TARGET, TEST_START, n_lags=12, model="gbt")
@@ -429,6 +471,9 @@ QUERIES = {
     "search_forest": q_search_forest,
     "search_gbt": q_search_gbt,
     "forecast_gbt": q_forecast_gbt,
+    "forecast_early_stop": q_forecast_early_stop,
+    "feature_panel": q_feature_panel,
+    "predict_bundle": q_predict_bundle,
     "coverage_report": q_coverage_report,
     "station_kind_counts": q_station_kind_counts,
     "distinct_stations": q_distinct_stations,
