@@ -630,6 +630,26 @@ Q["prediction_window"] = with_ctes(["supplier_panel"], f"""
 SELECT station, date, n_transactions, {rnd('prix_m2', 'prix_m2')} FROM w
 WHERE station IN (SELECT station FROM w GROUP BY station HAVING count(*) >= 24)""").replace("\n, w AS", ",\nw AS", 1)
 
+_FP_MEANS = ["prix_m2", "surface", "rooms", "distance_gare_km", "relative_signature", "relative_opening", "taux", "lat_gare", "lon_gare",
+             "variation_mom", "variation_yoy", "revenu_median_2021", "evo_population_2016_2022", "part_proprio_2022", "part_hlm_2022",
+             "part_cadres_2022", "part_log_vacants_2022", "taux_chomage_2024", "part_eleves_prive_2024", "nb_etablissements_2023"]
+
+Q["feature_panel"] = with_ctes(["enriched", "rates_ym"], f"""
+, pf AS (
+  SELECT g.sale_id, g.surface, g.rooms, g.prix_m2, g.type_local, g.nature_mutation, s.nom_gare AS station, s.latitude AS lat_gare, s.longitude AS lon_gare,
+         CAST(date_trunc('month', g.date_mutation) AS DATE) AS date, a.distance_gp_km AS distance_gare_km,
+         year(g.date_mutation) - year(s.date_signature) AS relative_signature, year(g.date_mutation) - year(s.date_ouverture) AS relative_opening,
+         r.taux, r.variation_mom, r.variation_yoy, i.*
+  FROM geo_rows g LEFT JOIN near_gp a ON g.rid = a.rid LEFT JOIN stations_prep s ON a.station_id = s.station_id
+  LEFT JOIN rates_ym r ON g.annee = r.annee AND g.mois = r.mois LEFT JOIN indicators_dedup i ON g.code_ville = i.code_ville),
+fp AS (
+  SELECT station, date, count(*) AS n_transactions, {", ".join(f"{favg(c)} AS {c}" for c in _FP_MEANS)},
+         sum(CASE WHEN type_local = 'Appartement' THEN 1e0 ELSE 0e0 END) / count(*) AS share_appartement,
+         sum(CASE WHEN nature_mutation = 'Vente' THEN 1e0 ELSE 0e0 END) / count(*) AS share_vente
+  FROM pf WHERE station IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2)
+SELECT station, date, n_transactions, {", ".join(rnd(c, c) for c in [*_FP_MEANS, "share_appartement", "share_vente"])}
+FROM fp WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FP_MEANS)}""").replace("\n, pf AS", ",\npf AS", 1)
+
 _SC = ["surface", "rooms", "prix_m2"]
 
 

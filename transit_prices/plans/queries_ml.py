@@ -232,8 +232,8 @@ ALL_FEATURES = ["surface", "rooms", "distance_gare_km", "relative_signature", "r
 
 def _feature_panel(spark, sf_dir):
     """Station x month means of the price-regression table (F4), with all 21 features."""
-    s = causal.price_features(_inputs(spark, sf_dir)).withColumn("month", F.trunc("date", "MM"))
-    p = panel.station_month_features(s, "month", "station_id", ALL_FEATURES[:-2], complete_only=False, target_col=PANEL_TARGET)
+    s = causal.price_features(_inputs(spark, sf_dir)).withColumnRenamed("nearest_gare", "station")
+    p = panel.station_month_features(s, "date", "station", ALL_FEATURES[:-2], complete_only=False, target_col=PANEL_TARGET)
     return cut_lineage(p)
 
 
@@ -248,10 +248,10 @@ def q_predict_bundle(spark, sf_dir):
     end = F.to_date(F.lit(PREDICTION_END))
     train = p.where(F.col("date") < F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON)))
     folder = f"{ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix='tp-models-')).rstrip('/')}/bundle-{uuid.uuid4().hex}"
-    fitted = bundle.fit_bundle(train, "station_id", "date", ALL_FEATURES, PANEL_TARGET, SEQ_STEPS, SEQ_HORIZON)
+    fitted = bundle.fit_bundle(train, "station", "date", ALL_FEATURES, PANEL_TARGET, SEQ_STEPS, SEQ_HORIZON)
     bundle.save_bundle(spark, fitted, f"{folder}/model", f"{folder}/registry")
     held = bundle.newest_bundle(spark, f"{folder}/registry")
-    scored = held.score(p.where(F.col("date") >= F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON))), "station_id", "date")
+    scored = held.score(p.where(F.col("date") >= F.add_months(end, -(SEQ_STEPS + SEQ_HORIZON))), "station", "date")
     return rounded(scored.where(F.col("origin") <= end))
 
 
