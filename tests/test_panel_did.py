@@ -42,3 +42,11 @@ def test_complete_month_filter(spark):
     assert {r["station"] for r in comp} == {"a"}
     b = [r for r in full if r["station"] == "b"][0]
     assert b["share_appartement"] == 0.0 and b["share_vente"] == 0.0   # null counts as not equal
+
+
+def test_global_modes(spark):
+    from transit_prices.operators import panel
+
+    df = spark.createDataFrame([("b", 2, None), ("a", 2, None), ("a", 1, None), ("b", None, None), (None, 1, None)], "p string, q int, r string")
+    # ties go to the smallest value, nulls do not count
+    assert tuple(panel.global_modes(df, ["p", "q", "r"]).first()) == ("a", "1", None)

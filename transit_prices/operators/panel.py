@@ -162,6 +162,15 @@ def station_month_features(
     return out.na.drop(how="any") if drop_nulls else out
 
 
+def global_modes(df: DataFrame, cols) -> DataFrame:
+    """One row ``_mode_{col}``: each column's most frequent value as text (ties -> smallest,
+    nulls ignored), from one (column, value) count table; no buffer holds a column's values."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)]))
+    counts = df.select(pairs.alias("_p")).select("_p.*").where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("v"))
+    return best.agg(*[F.max(F.when(F.col("c") == i, F.col("v"))).alias(f"_mode_{c}") for i, c in enumerate(cols)])
+
+
 def station_month_features_mode(
     df: DataFrame,
     date_col: str,
@@ -174,11 +183,11 @@ def station_month_features_mode(
     global mode (ties -> smallest value). The modes come from one global
     aggregate joined back as constants."""
     keyed = df.where(F.col(station_col).isNotNull() & F.col(date_col).isNotNull())
-    modes = keyed.agg(*[F.mode(c, True).alias(f"_mode_{c}") for c in categorical_cols])
+    modes = global_modes(keyed, list(categorical_cols))
     with_mode = keyed.crossJoin(F.broadcast(modes))
     aggs = [F.count(F.lit(1)).alias("n_transactions")]
     aggs += [exact_avg(c).alias(c) for c in numeric_cols]
-    aggs += [F.avg(F.col(c).eqNullSafe(F.col(f"_mode_{c}")).cast("double")).alias(f"{c}_share") for c in categorical_cols]
+    aggs += [F.avg(F.col(c).cast("string").eqNullSafe(F.col(f"_mode_{c}")).cast("double")).alias(f"{c}_share") for c in categorical_cols]
     agg = with_mode.groupBy(F.trunc(F.col(date_col), "MM").alias("date"), F.col(station_col)).agg(*aggs)
     if complete_only:
         agg = _complete_only(agg, station_col)
