@@ -193,10 +193,12 @@ def test_passages_of_fifty_words_are_found(spark):
     fresh = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
     passages = [fresh(55) for _ in range(30)]
     docs = [(i, fresh(80) + " " + passages[i // 2] + " " + fresh(70)) for i in range(60)] + [(100 + i, fresh(200)) for i in range(40)]
-    got = {r["doc_id"]: r for r in chunks.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    hit = [i for i in range(1, 60, 2) if got[i]["__cut"]]
-    assert len(hit) >= 28 and all(got[i]["__cut"]["first_doc_ids"] == [i - 1] for i in hit)
-    assert not any(got[i]["__cut"] for i in [*range(0, 60, 2), *range(100, 140)])
+    got = {r["row"]["doc_id"]: r for r in chunks.cut_rows(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    hit = [i for i in range(1, 60, 2) if got[i]["cut"]]
+    assert len(hit) >= 28 and all(got[i]["cut"]["first_doc_ids"] == [i - 1] for i in hit)
+    assert not any(got[i]["cut"] for i in [*range(0, 60, 2), *range(100, 140)])
+    plain = chunks.without_repeats(spark.createDataFrame([(i, t, "mine") for i, t in docs], "doc_id long, text string, cut string")).collect()
+    assert {(r["doc_id"], r["text"], r["cut"]) for r in plain} == {(i, r["text"], "mine") for i, r in got.items()}
 
 
 def test_mix_equals_sql(spark, odd_docs, no_docs):
