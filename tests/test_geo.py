@@ -101,3 +101,30 @@ def test_dense_cell_and_ties_on_the_grid(spark):
     pdf = spark.createDataFrame(pts, "pid long, lat double, lon double")
     out = geo.attach_nearest(pdf, "lat", "lon", sdf, "latitude", "longitude", "station_id", "gp", strategy="grid")
     _check(out.select("pid", "gp_id", "gp_distance_km").collect(), brute(pts, stations))
+
+
+def test_far_points_meet_few_cells(spark):
+    # all stations in one corner, the points far from it or just outside
+    rng = random.Random(3)
+    stations = [(i, 48.0 + rng.random() * 0.3, 2.0 + rng.random() * 0.3) for i in range(3000)]
+    pts = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(60)] + [(100 + i, 48.5 + i * 0.05, 2.1) for i in range(20)]
+    sdf = spark.createDataFrame(stations, "_sid long, _slat double, _slon double")
+    pdf = spark.createDataFrame(pts, "pid long, _plat double, _plon double")
+    level = geo._density_level(sdf, geo.MAX_LEVEL + 1)
+    per_cell = sdf.groupBy(*geo._cell("_slat", "_slon", level)).count().agg(F.avg("count"), F.max("count")).first()
+    assert per_cell[0] >= 3 and per_cell[1] < 60
+    cells = geo.candidate_cells(pdf, sdf, "pid", level).groupBy("pid").count()
+    seen = {r["pid"]: r["count"] for r in cells.collect()}
+    assert len(seen) == 80 and max(seen.values()) <= 40       # of about 700 occupied cells
+    got = geo.nearest_on_grid(pdf, sdf, "pid").collect()
+    _check([(r["pid"], r["_sid"], r["_d"]) for r in got], brute(pts, stations))
+
+
+def test_grid_without_stations_or_points(spark):
+    none = spark.createDataFrame([], "station_id long, latitude double, longitude double")
+    one = spark.createDataFrame([(7, 48.7, 2.3)], "station_id long, latitude double, longitude double")
+    pdf = spark.createDataFrame([(1, 10.0, 20.0), (2, None, 2.0)], "pid long, lat double, lon double")
+    near = lambda p, s: geo.attach_nearest(p, "lat", "lon", s, "latitude", "longitude", "station_id", "gp", strategy="grid")
+    assert [r["gp_id"] for r in near(pdf, none).orderBy("pid").collect()] == [None, None]
+    assert [r["gp_id"] for r in near(pdf, one).orderBy("pid").collect()] == [7, None]
+    assert near(pdf.limit(0), one).count() == 0

@@ -46,3 +46,43 @@ def test_folder_with_differing_headers(spark, tmpdir_path):
     assert got == [("1", "RUE A", "2.3"), ("2", "RUE B", "2.4"), ("3", "RUE C", None)]
     listed = {os.path.basename(r["path"]): r["status"] for r in readers.csv_files(spark, tmpdir_path).collect()}
     assert listed == {"a.csv": "ok", "b.csv": "ok", "c.csv": "ok", "e.csv": "ok"}  # no bytes, nothing to list
+
+
+def test_header_discovery_takes_one_job(spark, tmpdir_path):
+    def jobs(folder, tag):
+        spark.sparkContext.setJobGroup(tag, tag)
+        rows = readers.csv_files(spark, folder).collect()
+        ids = spark.sparkContext.statusTracker().getJobIdsForGroup(tag)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(ids), rows
+
+    found = []
+    for n in (2, 25):
+        folder = os.path.join(tmpdir_path, f"n{n}")
+        os.makedirs(folder)
+        for i in range(n):
+            with open(os.path.join(folder, f"part {i} é%.csv"), "wb") as f:  # names that a URI would escape
+                f.write("\ufeff\"a;b\";c;c\r\n".encode() + b"x;y;z\r\n" * 50_000)
+        found.append(jobs(folder, f"headers-{n}"))
+        assert len(found[-1][1]) == n and all(r["header"] == ["a;b", "c", "c"] and r["status"] == "ok" for r in found[-1][1])
+    assert found[0][0] == found[1][0] == 1
+    got = readers.read_csv_folder(spark, os.path.join(tmpdir_path, "n2"), ["c", "a;b", "none"])
+    assert got.count() == 100_000 and tuple(got.first()) == ("y", "x", None)
+
+
+def test_unreadable_and_blank_files_are_reported(spark, tmpdir_path, monkeypatch):
+    for name, text in {"good.csv": "a;b\n1;2\n", "blank.csv": "\n1;2\n", "long.csv": "x" * (readers.MAX_HEADER_BYTES + 9), "one.csv": "a;b"}.items():
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write(text)
+    status = {os.path.basename(r["path"]): r["status"] for r in readers.csv_files(spark, tmpdir_path).collect()}
+    assert status["good.csv"] == status["one.csv"] == "ok" and status["blank.csv"] == "empty"
+    assert status["long.csv"].startswith("unreadable: no line end")
+    assert [tuple(r) for r in readers.read_csv_folder(spark, tmpdir_path, ["b"]).collect()] == [("2",)]
+    with pytest.raises(FileNotFoundError):
+        readers._first_line(os.path.join(tmpdir_path, "gone.csv"))
+
+
+def test_prepared_table_drops_the_index_column(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "prepared")
+    spark.createDataFrame([(0, "x", 1.5)], "`Unnamed: 0` int, a string, b double").write.parquet(path)
+    assert readers.read_prepared(spark, path).columns == ["a", "b"]

@@ -7,12 +7,13 @@ dimension-table steps that need an order (station ids, first-per-key).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import safe_ratio
 from ..sources.readers import REGISTER_COLUMNS
+from .splits import global_positions
 
 # Fixed values of the reference's filters.
 RESIDENTIAL_TYPES = ["Appartement", "Maison"]
@@ -107,8 +108,7 @@ def clean_new_stations(df: DataFrame, id_base: int = NEW_STATION_ID_BASE) -> Dat
     line code (B10), ids from ``id_base`` in (name, lat, lon) order (B31),
     constant flag (B32), signature year (B5).
 
-    Ids use a single-partition window, which is fine here: the station table
-    is a dimension of a few hundred rows.
+    Ids come from ``global_positions``: ranges of the order, numbered side by side.
     """
     lat, lon = tx.split_lat_lon("geo_point")
     base = df.select(
@@ -120,14 +120,10 @@ def clean_new_stations(df: DataFrame, id_base: int = NEW_STATION_ID_BASE) -> Dat
         tx.parse_date_lenient("date_signature").alias("date_signature"),
         tx.parse_date_lenient("date_ouverture").alias("date_ouverture"),
     )
-    order = Window.orderBy(
-        F.col("nom_gare").asc_nulls_last(), F.col("latitude").asc_nulls_last(),
-        F.col("longitude").asc_nulls_last(), F.col("ligne_clean").asc_nulls_last(),
-        F.col("date_signature").asc_nulls_last(),
-    )
-    return base.select(
-        "*",
-        (F.row_number().over(order) - 1 + id_base).cast("int").alias("id_gare"),
+    order = [F.col(c).asc_nulls_last() for c in ("nom_gare", "latitude", "longitude", "ligne_clean", "date_signature")]
+    return global_positions(base, order).select(
+        *base.columns,
+        (F.col("_pos") + id_base).cast("int").alias("id_gare"),
         F.lit(1).alias("is_grand_paris"),
         F.year("date_signature").alias("annee_signature"),
     )
@@ -216,10 +212,8 @@ def clean_indicators(df: DataFrame) -> DataFrame:
 
 def station_subset(stations: DataFrame, id_col: str = "id_gare") -> DataFrame:
     """Id, name, latitude, longitude; when the id column is absent it is
-    made from the declared order (name, latitude, longitude), 0-based. The
-    window runs over the station dimension only."""
+    made from the declared order (name, latitude, longitude), 0-based, by ranges."""
     if id_col not in stations.columns:
-        order = Window.orderBy(F.col("nom_gare").asc_nulls_last(), F.col("latitude").asc_nulls_last(),
-                               F.col("longitude").asc_nulls_last())
-        stations = stations.withColumn(id_col, (F.row_number().over(order) - 1).cast("int"))
+        order = [F.col(c).asc_nulls_last() for c in ("nom_gare", "latitude", "longitude")]
+        stations = global_positions(stations, order).withColumn(id_col, F.col("_pos").cast("int"))
     return stations.select(id_col, "nom_gare", "latitude", "longitude")

@@ -11,8 +11,9 @@ exact ways, chosen by a size check on the station table:
   keeps its row multiplicity.
 * ``grid`` (any size): stations are bucketed into lat/lon cells that wrap around
   the date line; each point looks at its 3x3 block of cells through an equi-join. A
-  hit closer than the block's guaranteed radius is final; the rest retry with
-  cells twice as large. Every level is a shuffle join on the cell key, no broadcast.
+  hit closer than the block's guaranteed radius is final; the rest go down from the coarsest
+  cells and keep only those whose bounds allow their nearest station. Joins on cell
+  keys; only the cells of the coarse levels, bounded by the globe, are broadcast.
 
 Both give the same rows (tests compare them at the date line, the poles, for NaN, ties
 and text ids). Stations at one position count once, with their smallest id.
@@ -27,7 +28,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,8 +185,8 @@ def attach_nearest(
     return _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix)
 
 
-def _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix, levels: int = 14):
-    """Exact multi-level grid search (no broadcast). Point rows get a stable
+def _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, station_lon, id_col, prefix):
+    """Exact grid search at any size. Point rows get a stable
     id from the checkpointed input so that results can be joined back."""
     pid = "_pt_id"
     pts = cut_lineage(points.withColumn(pid, F.monotonically_increasing_id()))
@@ -193,47 +194,123 @@ def _attach_nearest_grid(points, lat_col, lon_col, stations, station_lat, statio
         F.col("i").alias("_sid"), F.col("a").alias("_slat"), F.col("o").alias("_slon"))
     todo = pts.where(_known(lat_col, lon_col)).select(
         pid, F.col(lat_col).cast("double").alias("_plat"), F.col(lon_col).cast("double").alias("_plon"))
-    found = nearest_on_grid(todo, st, pid, levels)
+    found = nearest_on_grid(todo, st, pid)
     id_type = stations.schema[id_col].dataType
     out = pts.join(found, pid, "left")
     return out.withColumn(f"{prefix}_distance_km", F.col("_d")).withColumn(
         f"{prefix}_id", F.col("_sid").cast(id_type)).drop(pid, "_d", "_sid")
 
 
-def nearest_on_grid(todo: DataFrame, st: DataFrame, pid: str, levels: int = 14) -> DataFrame:
+#: Grid levels: level l has 3 * 2^l cells around a circle of latitude; the finest are about 3 m wide.
+MAX_LEVEL = 22
+#: Stations that an occupied cell of the level searched first holds on average.
+CELL_STATIONS = 4
+#: Levels between two steps of the search from above: a cell has at most 16 parts in the next step.
+LEVEL_STEP = 2
+#: Up to this level the earth has at most 19,000 cells, so their table is a bounded broadcast.
+BROADCAST_LEVEL = 6
+#: Kept beside every bound (km), for rounding and ties.
+_SLACK_KM = 1e-3
+
+
+def _cell(lat, lon, level: int) -> tuple[Column, Column]:
+    """Row and column of a position's cell; columns wrap around the date line."""
+    across = 3 * 2 ** level
+    c = 360.0 / across
+    return F.floor((F.col(lat) + 90.0) / c), F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / c) % across
+
+
+def _least(rows: DataFrame, pid: str) -> DataFrame:
+    """Nearest station of each point among joined rows (pid, _plat, _plon, _sid, _d)."""
+    best = F.min(F.struct(F.round("_d", TIE_DECIMALS).alias("r"), F.col("_sid").alias("s"), F.col("_d").alias("d")))
+    return rows.groupBy(pid, "_plat", "_plon").agg(best.alias("_b"))
+
+
+def _density_level(st: DataFrame, levels: int) -> int | None:
+    """The finest level whose occupied cells hold ``CELL_STATIONS`` stations on
+    average (one job; None without stations)."""
+    cells = [F.approx_count_distinct(F.struct(*_cell("_slat", "_slon", level))).alias(str(level)) for level in range(levels)]
+    n, *occupied = st.agg(F.count(F.lit(1)), *cells).first()
+    if not n:
+        return None
+    return max([level for level, k in enumerate(occupied) if n >= CELL_STATIONS * k], default=0)
+
+
+def nearest_on_grid(todo: DataFrame, st: DataFrame, pid: str, levels: int = MAX_LEVEL + 1) -> DataFrame:
     """Rows (pid, _sid, _d) for points (pid, _plat, _plon) against stations (_sid,
-    _slat, _slon); _sid may be a struct, which orders ties."""
-    found = None
-    for level in range(levels - 1, -1, -1):
-        across = 3 * 2 ** level                       # cells around a circle of latitude
-        c = 360.0 / across
-        last = level == 0                             # 3 cells: every block holds all stations
-        row = lambda lat: F.floor((F.col(lat) + 90.0) / c)
-        column = lambda lon: F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / c) % across
-        sc = st.select("*", row("_slat").alias("_ci"), column("_slon").alias("_cj"))
-        block = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda i: F.transform(
-            F.array(*map(F.lit, (-1, 0, 1))),
-            lambda j: F.struct((F.col("_pi") + i).alias("i"), F.pmod(F.col("_pj") + j, F.lit(across)).alias("j"))))))
-        ex = todo.withColumn("_pi", row("_plat")).withColumn("_pj", column("_plon")).select(
-            pid, "_plat", "_plon", F.explode(block).alias("_o")).select(
-            pid, "_plat", "_plon", F.col("_o.i").alias("_ci"), F.col("_o.j").alias("_cj"))
-        cand = ex.join(sc, ["_ci", "_cj"]).select(
-            pid, "_plat", "_plon", "_sid", haversine_km("_plat", "_plon", "_slat", "_slon").alias("_d"))
-        best = cand.groupBy(pid, "_plat", "_plon").agg(
-            F.min(F.struct(F.round("_d", TIE_DECIMALS).alias("r"), F.col("_sid").alias("s"), F.col("_d").alias("d"))).alias("_b"))
-        # radius surely covered by the block; half a metre less, for ties at its edge
-        lat_edge = F.least(F.lit(90.0), F.abs(F.col("_plat")) + F.lit(2 * c))
-        guard = F.lit(EARTH_RADIUS_KM) * F.least(
-            F.lit(math.radians(c)), F.asin(F.cos(F.radians(lat_edge)) * F.lit(math.sin(math.radians(min(c, 90.0)))))) - F.lit(5e-4)
-        best = cut_lineage(best.withColumn("_done", F.lit(last) | (F.col("_b.d") <= guard)))
-        done = best.where("_done").select(pid, F.col("_b.s").alias("_sid"), F.col("_b.d").alias("_d"))
-        found = done if found is None else found.unionByName(done)
-        if last:
-            break
-        todo = cut_lineage(todo.join(best.where("_done").select(pid), pid, "left_anti"))
-        if todo.isEmpty():
-            break
-    return found
+    _slat, _slon); _sid may be a struct, which orders ties.
+
+    First each point looks at the 3x3 block of cells around it, at the level that the stations'
+    density gives; a hit within the block's sure radius is final. The others,
+    far from any station, search from above (``candidate_cells``)."""
+    level = _density_level(st, levels)
+    if level is None:
+        return todo.join(st.select("_sid"), F.lit(False)).select(pid, "_sid", F.lit(None).cast("double").alias("_d"))
+    across = 3 * 2 ** level
+    c = 360.0 / across
+    si, sj = _cell("_slat", "_slon", level)
+    sc = st.select("*", si.alias("_ci"), sj.alias("_cj"))
+    pi, pj = _cell("_plat", "_plon", level)
+    around = F.array(*map(F.lit, (-1, 0, 1)))
+    block = F.array_distinct(F.flatten(F.transform(around, lambda i: F.transform(
+        around, lambda j: F.struct((F.col("_pi") + i).alias("i"), F.pmod(F.col("_pj") + j, F.lit(across)).alias("j"))))))
+    ex = todo.withColumn("_pi", pi).withColumn("_pj", pj).select(
+        pid, "_plat", "_plon", F.explode(block).alias("_o")).select(
+        pid, "_plat", "_plon", F.col("_o.i").alias("_ci"), F.col("_o.j").alias("_cj"))
+    distance = haversine_km("_plat", "_plon", "_slat", "_slon").alias("_d")
+    best = _least(ex.join(sc, ["_ci", "_cj"]).select(pid, "_plat", "_plon", "_sid", distance), pid)
+    # radius surely covered by the block; half a metre less, for ties at its edge
+    lat_edge = F.least(F.lit(90.0), F.abs(F.col("_plat")) + F.lit(2 * c))
+    guard = F.lit(EARTH_RADIUS_KM) * F.least(
+        F.lit(math.radians(c)), F.asin(F.cos(F.radians(lat_edge)) * F.lit(math.sin(math.radians(min(c, 90.0)))))) - F.lit(5e-4)
+    done = cut_lineage(best.where(F.col("_b.d") <= guard))
+    found = done.select(pid, F.col("_b.s").alias("_sid"), F.col("_b.d").alias("_d"))
+    far = cut_lineage(todo.join(done.select(pid), pid, "left_anti"))
+    if far.isEmpty():
+        return found
+    cells = candidate_cells(far, st, pid, level)
+    best = _least(cells.join(sc, ["_ci", "_cj"]).select(pid, "_plat", "_plon", "_sid", distance), pid)
+    return found.unionByName(best.select(pid, F.col("_b.s").alias("_sid"), F.col("_b.d").alias("_d")))
+
+
+def candidate_cells(todo: DataFrame, st: DataFrame, pid: str, level: int) -> DataFrame:
+    """Rows (pid, _plat, _plon, _ci, _cj): the occupied cells of ``level`` that may hold
+    a point's nearest station.
+
+    The search goes down from the coarsest cells. An occupied cell has one station as its sample,
+    whose distance bounds the nearest one from above, and the box of its stations: the distance to the
+    box's middle less the box's reach bounds all of them from below. Cells whose lower bound is beyond
+    the point's least upper bound are left out, and only parts of the cells left are looked at next. So a
+    point meets few cells a step, however many stations lie together and however far away they are."""
+    steps = sorted({level, *range(level % LEVEL_STEP, level, LEVEL_STEP)})
+    # every cell of the first step: at most 3 * 2^l columns and half as many rows
+    across = 3 * 2 ** steps[0]
+    every = [F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i in range(across // 2 + 1) for j in range(across)]
+    todo = todo.select(pid, "_plat", "_plon", F.lit(float("inf")).alias("_up"), F.explode(F.array(*every)).alias("_o")).select(
+        pid, "_plat", "_plon", "_up", F.col("_o.i").alias("_pi"), F.col("_o.j").alias("_pj"))
+    lon = F.pmod(F.col("_slon") + 180.0, F.lit(360.0))
+    for above, at in zip([steps[0], *steps], steps):
+        si, sj = _cell("_slat", "_slon", at)
+        cells = st.groupBy(si.alias("_ci"), sj.alias("_cj")).agg(
+            F.min("_slat").alias("_a0"), F.max("_slat").alias("_a1"), F.min(lon).alias("_o0"), F.max(lon).alias("_o1"),
+            F.min_by("_slon", "_slat").alias("_so"))
+        shrink = 2 ** (at - above)
+        middle_lat, middle_lon = (F.col("_a0") + F.col("_a1")) / 2, (F.col("_o0") + F.col("_o1")) / 2 - 180.0
+        # along the middle's parallel, then along a meridian: no shorter than the great circle
+        reach = EARTH_RADIUS_KM * (
+            F.radians((F.col("_o1") - F.col("_o0")) / 2) * F.cos(F.radians(middle_lat)) + F.radians((F.col("_a1") - F.col("_a0")) / 2))
+        cells = cells.select(
+            "_ci", "_cj", F.floor(F.col("_ci") / shrink).alias("_pi"), F.floor(F.col("_cj") / shrink).alias("_pj"),
+            F.col("_a0").alias("_sa"), "_so", middle_lat.alias("_ma"), middle_lon.alias("_mo"), reach.alias("_reach"))
+        met = todo.join(F.broadcast(cells) if at <= BROADCAST_LEVEL else cells, ["_pi", "_pj"]).select(
+            pid, "_plat", "_plon", "_ci", "_cj",
+            F.least("_up", haversine_km("_plat", "_plon", "_sa", "_so")).alias("_up"),
+            (haversine_km("_plat", "_plon", "_ma", "_mo") - F.col("_reach")).alias("_low"))
+        # a point's cells of one step are few, so a window by point is no hot group
+        todo = met.withColumn("_up", F.min("_up").over(Window.partitionBy(pid))).where(
+            F.col("_low") <= F.col("_up") + _SLACK_KM).select(
+            pid, "_plat", "_plon", "_up", F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj"))
+    return todo.select(pid, "_plat", "_plon", F.col("_pi").alias("_ci"), F.col("_pj").alias("_cj"))
 
 
 def nearest_station_with_attrs(

@@ -35,17 +35,33 @@ def global_positions(df: DataFrame, order_cols, out: str = "_pos", num_partition
     return tagged.join(F.broadcast(offs), "_pid").withColumn(out, pos).drop("_pid", "_mid", "_m0", "_off")
 
 
+def _border(counts: DataFrame, share: float):
+    """Total of ``_n``, int(total * share), and the row (_v, _n, _upto) with the first value
+    whose running total is beyond it (None if there is none).
+
+    Values are range-partitioned and written down; the partitions' totals, a few numbers, tell in
+    which of them the border lies, and only that one is summed up in order."""
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(counts.repartitionByRange(n, "_v").withColumn("_part", F.spark_partition_id()))
+    parts = sorted(tuple(r) for r in ranged.groupBy("_part").agg(F.sum("_n")).collect())
+    total = sum(k for _, k in parts)
+    cut, before = int(total * share), 0
+    for part, k in parts:
+        if before + k > cut:
+            upto = F.sum("_n").over(Window.partitionBy("_part").orderBy("_v")) + before
+            inside = ranged.where(F.col("_part") == part).withColumn("_upto", upto)
+            return total, cut, inside.where(F.col("_upto") > cut).orderBy("_v").first()
+        before += k
+    return total, cut, None
+
+
 def _split_first(df: DataFrame, order_cols, share: float) -> DataFrame:
     """Add ``split``: 'train' for the first int(N * share) rows in the order, 'test'
     for the rest. Rows are counted per value of the first order column; whole
     values fall on one side, and only the rows of the value at the border are ordered."""
     first = F.col(order_cols[0])
-    counts = df.groupBy(first.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per value of the first order column (dates, stations)
-    upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_v")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    cut = int(total * share)
-    border = upto.where(F.col("_upto") > cut).orderBy("_v").first()
+    # one row per value of the first order column (dates, or all stations)
+    _, cut, border = _border(df.groupBy(first.alias("_v")).agg(F.count(F.lit(1)).alias("_n")), share)
     if border is None:  # no row, or all are on the first side
         return df.withColumn("split", F.lit("train"))
     value = F.lit(border["_v"]).cast(df.schema[order_cols[0]].dataType)

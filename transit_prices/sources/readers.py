@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import csv
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 # Source headers of the property-transaction feed -> internal names.
 SALES_HEADERS = {
     "Date mutation": "date_mutation",
@@ -113,22 +117,58 @@ def read_csv(
         raise
 
 
+#: A header line longer than this (bytes) is reported as unreadable.
+MAX_HEADER_BYTES = 1 << 20
+
+
+def _first_line(path: str) -> bytes:
+    """The first line of a file, read up to its end only."""
+    scheme, _, rest = path.partition(":")
+    if scheme in ("s3a", "s3n"):  # Hadoop's names of the scheme
+        path = f"s3:{rest}"
+    elif scheme == "file":
+        path = "file:///" + rest.lstrip("/")
+    elif "://" not in path:
+        path = f"file://{path}"
+    if path.startswith("file://"):
+        system, place = fs.LocalFileSystem(), path[len("file://"):]
+    else:
+        system, place = fs.FileSystem.from_uri(path)
+    head = b""
+    with system.open_input_stream(place) as f:
+        while b"\n" not in head and len(head) <= MAX_HEADER_BYTES:
+            more = f.read(1 << 14)
+            if not more:
+                break
+            head += more
+    line = head.split(b"\n", 1)[0]
+    if len(line) > MAX_HEADER_BYTES:
+        raise ValueError(f"no line end in the first {MAX_HEADER_BYTES} bytes")
+    return line
+
+
 def csv_files(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
     """Rows (path, header, status) of the ``*.csv`` files under a folder: header names
-    in order; status 'ok', 'empty' (no line) or 'unreadable' with the error's first line. Files
-    of no bytes are not listed.
-    One short read per file: register folders hold a file per department."""
+    in order; status 'ok', 'empty' (no name in the first line) or 'unreadable' with the error's first line.
+    Files of no bytes are not listed.
+    Lazy: tasks open the files and read their first lines only, many files a task, so the number
+    of jobs does not grow with the files, and no file is read whole."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(folder)
-    rows = []
-    for path in sorted(r["path"] for r in listed.select("path").collect()):
-        try:
-            line = spark.read.text(path).head()
-        except Exception as e:  # the file is reported, not lost
-            rows.append((path, None, "unreadable: " + str(e).strip().splitlines()[0][:200]))
-            continue
-        header = None if line is None else next(csv.reader([line[0].lstrip("\ufeff")], delimiter=sep), [])
-        rows.append((path, header, "ok" if header else "empty"))
-    return spark.createDataFrame(rows, "path string, header array<string>, status string")
+
+    @F.pandas_udf("header array<string>, status string")
+    def look(paths: pd.Series) -> pd.DataFrame:
+        rows = []
+        for path in paths:
+            try:
+                line = _first_line(path).decode("utf-8", "replace").lstrip("\ufeff").rstrip("\r")
+                header = next(csv.reader([line], delimiter=sep), [])
+                rows.append((header or None, "ok" if header else "empty"))
+            except Exception as e:  # the file is reported, not lost
+                rows.append((None, "unreadable: " + (str(e).strip().splitlines() or [type(e).__name__])[0][:200]))
+        return pd.DataFrame(rows, columns=["header", "status"])
+
+    ship_package(spark)
+    return listed.where("length > 0").select("path", look("path").alias("found")).select("path", "found.header", "found.status")
 
 
 def read_csv_folder(spark: SparkSession, folder: str, columns, sep: str = ";", files: DataFrame | None = None) -> DataFrame:
@@ -137,11 +177,11 @@ def read_csv_folder(spark: SparkSession, folder: str, columns, sep: str = ";", f
     with one header is one scan, and what a file lacks is null. Files without a line
     or that cannot be read are left out; ``csv_files`` lists them."""
     columns = list(columns)
-    groups: dict[tuple, list[str]] = {}
-    for r in (files if files is not None else csv_files(spark, folder, sep)).where("status = 'ok'").collect():
-        groups.setdefault(tuple(r["header"]), []).append(r["path"])
+    files = files if files is not None else csv_files(spark, folder, sep)
+    # one row per distinct header; the paths are the listing that each scan needs on the driver
+    groups = files.where("status = 'ok'").groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths")).collect()
     out = spark.createDataFrame([], string_schema(columns))
-    for header, paths in sorted(groups.items()):
+    for header, paths in sorted((list(r["header"]), list(r["paths"])) for r in groups):
         # positions name the columns, so repeated header names do no harm
         names = [f"_{i}" for i in range(len(header))]
         read = spark.read.option("header", True).option("sep", sep).option("enforceSchema", True).schema(string_schema(names)).csv(paths)
