@@ -48,7 +48,7 @@ def test_folder_with_differing_headers(spark, tmpdir_path):
     assert listed == {"a.csv": "ok", "b.csv": "ok", "c.csv": "ok", "e.csv": "ok"}  # no bytes, nothing to list
 
 
-def test_header_discovery_takes_one_job(spark, tmpdir_path):
+def test_header_discovery_jobs_do_not_grow_with_files(spark, tmpdir_path):
     def jobs(folder, tag):
         spark.sparkContext.setJobGroup(tag, tag)
         rows = readers.csv_files(spark, folder).collect()
@@ -65,21 +65,21 @@ def test_header_discovery_takes_one_job(spark, tmpdir_path):
                 f.write("\ufeff\"a;b\";c;c\r\n".encode() + b"x;y;z\r\n" * 50_000)
         found.append(jobs(folder, f"headers-{n}"))
         assert len(found[-1][1]) == n and all(r["header"] == ["a;b", "c", "c"] and r["status"] == "ok" for r in found[-1][1])
-    assert found[0][0] == found[1][0] == 1
+    assert found[0][0] == found[1][0] <= 3
     got = readers.read_csv_folder(spark, os.path.join(tmpdir_path, "n2"), ["c", "a;b", "none"])
     assert got.count() == 100_000 and tuple(got.first()) == ("y", "x", None)
 
 
-def test_unreadable_and_blank_files_are_reported(spark, tmpdir_path, monkeypatch):
-    for name, text in {"good.csv": "a;b\n1;2\n", "blank.csv": "\n1;2\n", "long.csv": "x" * (readers.MAX_HEADER_BYTES + 9), "one.csv": "a;b"}.items():
+def test_unreadable_and_blank_files_are_reported(spark, tmpdir_path):
+    for name, text in {"good.csv": "a;b\n1;2\n", "blank.csv": "\n1;2\n", "bad.csv": "a;b\n3;4\n", "one.csv": "a;b"}.items():
         with open(os.path.join(tmpdir_path, name), "w") as f:
             f.write(text)
-    status = {os.path.basename(r["path"]): r["status"] for r in readers.csv_files(spark, tmpdir_path).collect()}
-    assert status["good.csv"] == status["one.csv"] == "ok" and status["blank.csv"] == "empty"
-    assert status["long.csv"].startswith("unreadable: no line end")
-    assert [tuple(r) for r in readers.read_csv_folder(spark, tmpdir_path, ["b"]).collect()] == [("2",)]
-    with pytest.raises(FileNotFoundError):
-        readers._first_line(os.path.join(tmpdir_path, "gone.csv"))
+    with open(os.path.join(tmpdir_path, ".bad.csv.crc"), "wb") as f:  # a checksum that does not fit: reading fails
+        f.write(b"crc\0" + (512).to_bytes(4, "big") + b"\0\0\0\1")
+    files = readers.csv_files(spark, tmpdir_path)
+    status = {os.path.basename(r["path"]): r["status"] for r in files.collect()}
+    assert status == {"good.csv": "ok", "one.csv": "ok", "blank.csv": "empty", "bad.csv": "unreadable"}
+    assert [tuple(r) for r in readers.read_csv_folder(spark, tmpdir_path, ["b"], files=files).collect()] == [("2",)]
 
 
 def test_prepared_table_drops_the_index_column(spark, tmpdir_path):

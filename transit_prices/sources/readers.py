@@ -11,13 +11,10 @@ from __future__ import annotations
 import csv
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
-
 # Source headers of the property-transaction feed -> internal names.
 SALES_HEADERS = {
     "Date mutation": "date_mutation",
@@ -117,58 +114,31 @@ def read_csv(
         raise
 
 
-#: A header line longer than this (bytes) is reported as unreadable.
-MAX_HEADER_BYTES = 1 << 20
-
-
-def _first_line(path: str) -> bytes:
-    """The first line of a file, read up to its end only."""
-    scheme, _, rest = path.partition(":")
-    if scheme in ("s3a", "s3n"):  # Hadoop's names of the scheme
-        path = f"s3:{rest}"
-    elif scheme == "file":
-        path = "file:///" + rest.lstrip("/")
-    elif "://" not in path:
-        path = f"file://{path}"
-    if path.startswith("file://"):
-        system, place = fs.LocalFileSystem(), path[len("file://"):]
-    else:
-        system, place = fs.FileSystem.from_uri(path)
-    head = b""
-    with system.open_input_stream(place) as f:
-        while b"\n" not in head and len(head) <= MAX_HEADER_BYTES:
-            more = f.read(1 << 14)
-            if not more:
-                break
-            head += more
-    line = head.split(b"\n", 1)[0]
-    if len(line) > MAX_HEADER_BYTES:
-        raise ValueError(f"no line end in the first {MAX_HEADER_BYTES} bytes")
-    return line
-
-
 def csv_files(spark: SparkSession, folder: str, sep: str = ";") -> DataFrame:
     """Rows (path, header, status) of the ``*.csv`` files under a folder: header names
-    in order; status 'ok', 'empty' (no name in the first line) or 'unreadable' with the error's first line.
-    Files of no bytes are not listed.
-    Lazy: tasks open the files and read their first lines only, many files a task, so the number
-    of jobs does not grow with the files, and no file is read whole."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(folder)
-
-    @F.pandas_udf("header array<string>, status string")
-    def look(paths: pd.Series) -> pd.DataFrame:
-        rows = []
-        for path in paths:
-            try:
-                line = _first_line(path).decode("utf-8", "replace").lstrip("\ufeff").rstrip("\r")
-                header = next(csv.reader([line], delimiter=sep), [])
-                rows.append((header or None, "ok" if header else "empty"))
-            except Exception as e:  # the file is reported, not lost
-                rows.append((None, "unreadable: " + (str(e).strip().splitlines() or [type(e).__name__])[0][:200]))
-        return pd.DataFrame(rows, columns=["header", "status"])
-
-    ship_package(spark)
-    return listed.where("length > 0").select("path", look("path").alias("found")).select("path", "found.header", "found.status")
+    in order; status 'ok', 'empty' (no name in the first line) or 'unreadable' (listed, but no task could
+    read a line of it). Files of no bytes are not listed.
+
+    Lazy, and one scan for all files, by Spark's own reader, so any store that Spark reads will do: the first line
+    is the one with the least row number in the split that starts the file. Tasks keep one line a file
+    before the shuffle; the number of jobs does not grow with the files."""
+    def scan(form: str) -> DataFrame:
+        options = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True, "ignoreCorruptFiles": True, "ignoreMissingFiles": True}
+        return spark.read.format(form).options(**options).load(folder)
+
+    # the content column is not read
+    listed = scan("binaryFile").where("length > 0").select("path", F.col("_metadata.file_path").alias("_file"))
+    lines = scan("text").select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_nth"))
+    first = lines.where("_start = 0").groupBy("_file").agg(F.min_by("value", "_nth").alias("_line"))
+
+    @F.pandas_udf("array<string>")
+    def names(found: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else next(csv.reader([x.lstrip("\ufeff")], delimiter=sep), []) for x in found], dtype=object)
+
+    status = F.when(F.col("_line").isNull(), "unreadable").when(F.size("header") > 0, "ok").otherwise("empty")
+    return listed.join(first, "_file", "left").withColumn("header", names("_line")).select("path", "header", status.alias("status"))
 
 
 def read_csv_folder(spark: SparkSession, folder: str, columns, sep: str = ";", files: DataFrame | None = None) -> DataFrame:
