@@ -58,7 +58,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return order.select("doc_id", F.lit(0).cast("long").alias("n_tokens"))
     files = tokencount.flat_files(spark, folder).join(order.select("file").distinct(), "file", "left_semi")
     counts = tokencount.count_tokens(files, folder, separator)
-    return order.join(counts, ["file", "nth"]).select("doc_id", "n_tokens")
+    # both sides have a row for each document: never a broadcast
+    return order.join(counts.hint("merge"), ["file", "nth"]).select("doc_id", "n_tokens")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ A flat file holds token ids of fixed width, documents one after the other, each
 closed by the end-of-document id. Counting reads it in blocks: each block is one
 vectorised search for the separator; a prefix scan over the blocks (running number of
 separators, last separator before the block) stitches the documents that cross
-block borders. So blocks are read in any order by any task, and a very long
+block borders. The scan moves two numbers a block, never the separators' places. So blocks are read in any order by any task, and a very long
 document is no problem.
 
 Files are reached through pyarrow's file systems, by the URI of the folder (the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..session import ship_package
-from .common import pick, slices
+from .common import pick, slices, written
 
 #: Tokens of a block: one task holds one block at a time.
 BLOCK_TOKENS = 1 << 20
@@ -108,12 +108,14 @@ def count_tokens(files: DataFrame, folder: str, separator: int, width: int = 2,
                     names=["file", "total", "block", "at"],
                 )
 
-    found = blocks.mapInArrow(search, "file string, total long, block long, at array<long>")
+    # written down once: the scan reads two numbers of each block, the rest comes by a join
+    found = written(blocks.mapInArrow(search, "file string, total long, block long, at array<long>"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     last = F.when(F.size("at") > 0, F.element_at("at", -1))
-    stitched = found.withColumn("before", F.coalesce(F.sum(F.size("at")).over(earlier), F.lit(0))).withColumn(
-        "carry", F.coalesce(F.max(last).over(earlier), F.lit(-1))
+    scan = found.select("file", "block", F.size("at").alias("n"), last.alias("last")).select(
+        "file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.coalesce(F.max("last").over(earlier), F.lit(-1)).alias("carry")
     )
+    stitched = found.join(scan.hint("merge"), ["file", "block"])
     final = (F.col("block") + 1) * block_tokens >= F.col("total")
     # the file's end closes the last document, if its separator is missing
     end = F.coalesce(last, F.col("carry")) + 1
