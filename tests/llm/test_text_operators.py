@@ -163,6 +163,18 @@ def test_hmm_trains_six_states_by_default():
     assert inspect.signature(hmm.score).parameters["states"].default == 6
 
 
+def test_hmm_scores_do_not_depend_on_the_bounded_table(spark, odd_docs):
+    # words in the broadcast table and words of the joined table have the same emissions
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    found = []
+    for own_words in (20, 50, 100_000):
+        rows = hmm.score(odd_docs, held_out, own_words=own_words, start_words=12, states=3, rounds=3).collect()
+        found.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows))
+    for other in found[1:]:
+        assert [x[:4] for x in other] == [x[:4] for x in found[0]]
+        assert np.allclose([x[4:] for x in other], [x[4:] for x in found[0]], rtol=1e-4)
+
+
 def test_hmm_is_a_distribution(spark):
     # over all texts of up to two words, one of them unknown, the probabilities add up with those of longer ones
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "a", "b b a", "a b", ""])], "doc_id long, text string")

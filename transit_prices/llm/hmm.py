@@ -1,19 +1,21 @@
 """A hidden Markov language model over words, trained by Baum-Welch on Spark.
 
-Words: lower-case A-Z, runs without white space, one end token per document. The
-most frequent training words (``own_words``) have emission probabilities of their own in
-every state, and so has the end token. All other words share one symbol: within it, a
-word's share follows its smoothed corpus frequency, which does not depend on the
-state. So the recursion needs a bounded table only, and the exact frequencies of
-the rest come from an equi-join with the full counts.
+Words: lower-case A-Z, runs without white space, one end token per document. Every
+training word has emission probabilities of its own in every state. The most frequent
+(``own_words``) and the end token are kept in a bounded table that is broadcast; those of all
+others are a written table, aggregated and joined by word, which grows with the corpus.
 
-Base distribution: (c + 0.1) / (N + 0.1 (V + 1)) with all training counts; emissions are
-shrunk towards it, so every state's probabilities add up to one with one unknown word.
+Base distribution: (c + 0.1) / (N + 0.1 (V + 1)) with all training counts. A word's emission in
+a state is its base probability times (E + PRIOR P) / ((c + PRIOR) P), where E of its c tokens are
+expected in the state and P is the state's share of all tokens: rare words stay near their base
+probability, and an unseen word keeps it. Each state's probabilities are scaled to add up to one with
+one unknown word.
 
 Training: start classes come from the co-occurrence of the most frequent words, counted
 over all training documents (singular vectors, then k-means). Each Baum-Welch round
 reads all training tokens; tasks add up expected counts, an aggregate with a map-side part
-adds the tasks', and the driver sees one bounded table (own_words x states).
+adds the tasks', and the driver sees one bounded table (own_words x states); the counts of all
+other words stay on the executors.
 
 Long texts: sequences are cut into segments of ``SEGMENT`` tokens. Scaled transfer
 matrices of all segments are multiplied side by side and chained per document, which
@@ -48,8 +50,8 @@ ROUNDS = 2
 START_WORDS = 512
 SEGMENT = 64
 ADD = 0.1
-#: Weight of the base distribution in each state's emissions, in tokens.
-SHRINK = 200.0
+#: Tokens of each word that are spread over the states like all tokens.
+PRIOR = 0.3
 
 
 @dataclass
@@ -74,8 +76,13 @@ def segments(sizes: np.ndarray, length: int = SEGMENT) -> tuple[np.ndarray, np.n
 class Slice:
     """Token ids of several documents (every document has an end token), cut up."""
 
-    def __init__(self, ids: np.ndarray, sizes: np.ndarray, model: Model):
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, model: Model, own: np.ndarray | None = None):
+        """``own``: emissions of the tokens with the last symbol, one row for each of them
+        (without the silent state); by default the model's for that symbol."""
         self.ids, self.sizes, self.model = ids, sizes, model
+        self.emitted = model.emits[ids]
+        if own is not None:
+            self.emitted[ids == len(model.emits) - 1, 1:] = own
         self.doc, self.begin, self.length = segments(sizes)
         # longest segments first: those still running at a step are a leading part
         self.by = np.argsort(-self.length, kind="stable")
@@ -89,7 +96,7 @@ class Slice:
         scale = np.zeros(len(self.by))
         for t in range(self.longest):
             r = self.running[t]
-            b = m.emits[self.ids[self.begin[self.by[:r]] + t]]
+            b = self.emitted[self.begin[self.by[:r]] + t]
             x = (out[:r].reshape(-1, k) @ m.moves).reshape(r, k, k)
             x *= b[:, None, :]
             if t % 8 == 7 or t == self.longest - 1:
@@ -147,7 +154,8 @@ class Slice:
         return after
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, float]:
-        """Expected moves (K x K), expected emissions (symbols x K), log likelihood."""
+        """Expected moves (K x K), expected emissions (symbols x K), log likelihood; each
+        token's state probabilities are left in ``weights``."""
         m, k = self.model, len(self.model.start)
         transfers, scale = self.transfers()
         before, log = self.chain(transfers, scale)
@@ -158,27 +166,24 @@ class Slice:
         alpha[0] = before[by]
         for t in range(longest):
             r = self.running[t]
-            x = (alpha[t, :r] @ m.moves) * m.emits[self.ids[self.begin[by[:r]] + t]]
+            x = (alpha[t, :r] @ m.moves) * self.emitted[self.begin[by[:r]] + t]
             alpha[t + 1, :r] = x / x.sum(axis=1)[:, None]
         beta = after[by].copy()
         moves = np.zeros((k, k))
-        weights = np.empty((int(self.length.sum()), k))
-        symbols = np.empty(len(weights), dtype=np.int64)
-        filled = 0
+        self.weights = weights = np.empty((len(self.ids), k))
         for t in range(longest - 1, -1, -1):
             r = self.running[t]
-            ids = self.ids[self.begin[by[:r]] + t]
+            at = self.begin[by[:r]] + t
             gamma = alpha[t + 1, :r] * beta[:r]
             gamma /= gamma.sum(axis=1)[:, None]
-            weights[filled : filled + r], symbols[filled : filled + r] = gamma, ids
-            filled += r
-            right = m.emits[ids] * beta[:r]
+            weights[at] = gamma
+            right = self.emitted[at] * beta[:r]
             pull = right @ m.moves.T
             total = (alpha[t, :r] * pull).sum(axis=1)
             moves += alpha[t, :r].T @ (right / total[:, None])
             beta[:r] = pull / pull.max(axis=1)[:, None]
         moves *= m.moves
-        emits = np.stack([np.bincount(symbols, weights[:, j], minlength=len(m.emits)) for j in range(k)], axis=1)
+        emits = np.stack([np.bincount(self.ids, weights[:, j], minlength=len(m.emits)) for j in range(k)], axis=1)
         return moves, emits, float(log.sum())
 
 
@@ -193,9 +198,9 @@ def extended(model: Model) -> Model:
     return Model(np.append(1.0, np.zeros(k)), moves, emits)
 
 
-def log_likelihoods(ids: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
+def log_likelihoods(ids: np.ndarray, sizes: np.ndarray, model: Model, own: np.ndarray | None = None) -> np.ndarray:
     """Natural log probability of each document's symbols under ``model``."""
-    s = Slice(ids, sizes, extended(model))
+    s = Slice(ids, sizes, extended(model), own)
     return s.chain(*s.transfers())[1]
 
 
@@ -224,7 +229,7 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 def _numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     """Rows (row, doc_id, held_out, ids, others): symbols of each text, and the words
-    that share a symbol. ``row`` numbers the rows (fixed once written)."""
+    beyond the bounded table, in order. ``row`` numbers the rows (fixed once written)."""
     end, rest = len(vocabulary), len(vocabulary) + 1
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
     fields = _parse_datatype_string("row long, doc_id string, held_out boolean, ids array<int>, others array<binary>").fields
@@ -320,34 +325,100 @@ def _classes(counts: np.ndarray, k: int) -> np.ndarray:
     return label
 
 
-def baum_welch(train: DataFrame, model: Model, base: np.ndarray, shrink: float = SHRINK) -> tuple[Model, float]:
-    """One round over all rows of ``train`` (ids): the new model, and the log
-    likelihood (natural, of the symbols) under the old one."""
+@dataclass
+class Rest:
+    """The words beyond the bounded table: rows (word, n, t0, t1, ...) with their training
+    count and the tokens expected in each state; a state's share of all tokens, and its scale."""
+
+    table: DataFrame
+    share: np.ndarray
+    scale: np.ndarray
+
+    def emissions(self, prior: float) -> Column:
+        """Emissions in all states as parts of the base probability."""
+        each = ((F.col(f"t{j}") + prior * float(p)) / ((F.col("n") + prior) * float(p * z)) for j, (p, z) in enumerate(zip(self.share, self.scale)))
+        return F.array(*(e.cast("float") for e in each))
+
+
+def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep_words: bool) -> DataFrame:
+    """Rows (doc_id, held_out, ids, words, own, others, known): the emissions ``own`` of the
+    words beyond the bounded table, in order, their base log10 probability and how many are known.
+
+    Each such token is a row, joined by word with a merge join (it spills, and adaptive execution
+    splits a hot word) and put together again by row."""
+    unknown = F.array(*(F.lit(float(1 / s)).cast("float") for s in rest.scale))
+    known = rest.table.select("word", "n", rest.emissions(prior).alias("own"))
+    n = F.coalesce("n", F.lit(0))
+    token = F.struct("at", *(["word"] if keep_words else []), F.coalesce("own", unknown).alias("own"))
+    tokens = (
+        numbered.select("row", F.posexplode("others").alias("at", "word")).join(known.hint("merge"), "word", "left")
+        .groupBy("row").agg(
+            F.sort_array(F.collect_list(token)).alias("tokens"),
+            F.sum(F.log10((n + ADD) / F.lit(float(z)))).alias("others"), F.sum((n > 0).cast("long")).alias("known"),
+        )
+    )
+    words = F.transform("tokens", lambda x: x["word"]) if keep_words else F.lit(None).cast("array<binary>")
+    return numbered.select("row", "doc_id", "held_out", "ids").join(tokens.hint("merge"), "row", "left").select(
+        "doc_id", "held_out", "ids", words.alias("words"), F.flatten(F.transform("tokens", lambda x: x["own"])).alias("own"),
+        F.coalesce("others", F.lit(0.0)).alias("others"), F.coalesce("known", F.lit(0)).alias("known"),
+    )
+
+
+def _own(part: pa.RecordBatch, column: int, states: int) -> np.ndarray | None:
+    values = part.column(column).flatten().to_numpy(zero_copy_only=False)
+    return values.astype(np.float64).reshape(-1, states) if len(values) else None
+
+
+def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior: float = PRIOR) -> tuple[Model, Rest, float]:
+    """One round over all rows of ``train`` (ids, words, own): the new model, the other words'
+    table, and the log likelihood (natural, less the other words' base) under the old model. ``base``: the
+    bounded table's base probabilities, the end token last."""
     k, symbols = len(model.start), len(model.emits)
     shared = train.sparkSession.sparkContext.broadcast(extended(model))
-    columns = [f"e{j}" for j in range(k + 1)]
+    columns, parts = [f"e{j}" for j in range(k + 1)], [f"t{j}" for j in range(k)]
+    schema = ", ".join(["word binary", "n long", *(f"{c} float" for c in parts), "at int", *(f"{c} double" for c in columns)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves, emits, log = np.zeros((k + 1, k + 1)), np.zeros((symbols, k + 1)), 0.0
-        for _, ids, sizes in _id_slices(batches, 0, 200_000):
-            a, b, c = Slice(ids, sizes, shared.value).expected()
+        for part, ids, sizes in _id_slices(batches, 0, 200_000):
+            s = Slice(ids, sizes, shared.value, _own(part, 2, k))
+            a, b, c = s.expected()
             moves, emits, log = moves + a, emits + b, log + c
+            words = part.column(1).flatten()
+            if len(words):
+                weights = s.weights[ids == symbols - 1, 1:]
+                rows = pa.table([words, pa.array(np.ones(len(words), dtype=np.int64)), *(pa.array(np.ascontiguousarray(weights[:, j])) for j in range(k))], names=["word", "n", *parts])
+                rows = rows.group_by("word").aggregate([(c, "sum") for c in ("n", *parts)]).combine_chunks()
+                blank = pa.nulls(len(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c if c == "word" else f"{c}_sum").combine_chunks().cast(t) for c, t in [("word", pa.binary()), ("n", pa.int64()), *((c, pa.float32()) for c in parts)]),
+                     blank.cast(pa.int32()), *(blank.cast(pa.float64()) for _ in columns)], names=["word", "n", *parts, "at", *columns])
         # rows: symbols first, then one per state's moves, then the likelihood
         rows = np.concatenate([emits, moves, np.full((1, k + 1), log)])
         at = np.flatnonzero(rows.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(np.ascontiguousarray(rows[at, j])) for j in range(k + 1))], names=["at", *columns])
-
-    found = (
-        train.select("ids").mapInArrow(run, "at int, " + ", ".join(f"{c} double" for c in columns))
-        .groupBy("at").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()
-    )
+        blank = pa.nulls(len(at))
+        yield pa.RecordBatch.from_arrays(
+            [blank.cast(pa.binary()), blank.cast(pa.int64()), *(blank.cast(pa.float32()) for _ in parts), pa.array(at.astype(np.int32)),
+             *(pa.array(np.ascontiguousarray(rows[at, j])) for j in range(k + 1))], names=["word", "n", *parts, "at", *columns])
+
+    # both aggregates read what one pass over the texts wrote
+    counted = written(train.select("ids", "words", "own").mapInArrow(run, schema))
+    found = counted.where("at IS NOT NULL").groupBy("at").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()
+    table = written(counted.where("at IS NULL").groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in parts)))
     rows = np.zeros((symbols + k + 2, k + 1))
     rows[found["at"].to_numpy()] = found[columns].to_numpy()
     emits, moves, log = rows[:symbols, 1:], rows[symbols:-1, 1:], float(rows[-1, 0])
     start = (moves[0] + 1.0) / (moves[0] + 1.0).sum()
     moves = (moves[1:] + 1.0) / (moves[1:] + 1.0).sum(axis=1)[:, None]
-    emits = (emits + shrink * base[:, None]) / (emits.sum(axis=0) + shrink)
-    return Model(start, moves, emits), log
+    share = np.maximum(emits.sum(axis=0) / max(emits.sum(), 1.0), 1e-12)
+    own = emits[:-1]
+    part = (own + prior * share) / ((own.sum(axis=1)[:, None] + prior) * share)
+    rest = Rest(table, share, np.ones(k))
+    each = rest.emissions(prior)
+    mass = table.agg(*(F.coalesce(F.sum((F.col("n") + ADD) / F.lit(float(z)) * each[j]), F.lit(0.0)) for j in range(k))).first()
+    rest.scale = (base[:, None] * part).sum(axis=0) + np.array(mass) + ADD / z
+    emits = np.concatenate([base[:, None] * part, np.ones((1, k))]) / rest.scale
+    return Model(start, moves, emits), rest, log
 
 
 def score(
@@ -359,6 +430,7 @@ def score(
     states: int = STATES,
     rounds: int = ROUNDS,
     start_words: int = START_WORDS,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """Train on the rows where ``held_out`` is false and score all rows: (doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score), one per row."""
@@ -375,50 +447,40 @@ def score(
     n, v = total + ends, types + (ends > 0)
     z = n + ADD * (v + 1)
     own = top["c"].to_numpy().astype(np.float64) + ADD
-    rest = (total - own.sum() + ADD * len(own)) + ADD * (types - len(own)) + ADD
     # the end token, if no document was there to train on, is the unknown word
-    base = np.concatenate([own, [ends + ADD], [rest]]) / z
-    base /= base.sum()
-    model = start_model(train, len(base), base, states, start_words)
-    for _ in range(rounds if ends else 0):
-        model, _ = baum_welch(train, model, base)
-    shared = spark.sparkContext.broadcast((model, np.log10(np.append(own, ends + ADD) / z), float(np.log10(rest / z))))
-    kept = "row long, base_own double, hidden double, n_tokens long, n_own long"
-    schema = StructType([numbered.schema["doc_id"], numbered.schema["held_out"], *_parse_datatype_string(kept).fields])
+    base = np.append(own, ends + ADD) / z
+    beyond = (total - own.sum() + ADD * len(own)) + ADD * (types - len(own)) + ADD
+    all_base = np.append(base, beyond / z)
+    model = start_model(train, len(all_base), all_base / all_base.sum(), states, start_words)
+    # the last symbol's emissions are parts of its words' base probabilities
+    model.emits[-1] /= all_base[-1]
+    k = len(model.start)
+    none = spark.createDataFrame([], ", ".join(["word binary", "n long", *(f"t{j} double" for j in range(k))]))
+    rest = Rest(none, np.full(k, 1 / k), 1 / model.emits[-1])
+    for nth in range(rounds if ends else 0):
+        # before the first round no word of the rest differs from the others
+        first = train.select("ids", F.col("others").alias("words"), F.array().cast("array<float>").alias("own"))
+        seen = with_emissions(train, rest, z, prior, True) if nth else first
+        model, rest, _ = baum_welch(seen, model, base, z, prior)
+    if not (rounds and ends):  # their counts, with equal parts in all states
+        rest.table = counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k)))
+    shared = spark.sparkContext.broadcast((model, np.append(np.log10(base), 0.0)))
+    schema = StructType([numbered.schema["doc_id"], numbered.schema["held_out"], *_parse_datatype_string("n_tokens long, n_known long, base_score double, score double").fields])
+    end_known = 0 if ends else -1  # tokens of the bounded table count the end token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, base10, rest10 = shared.value
-        table = np.append(base10, 0.0)  # shared symbol: added word by word below
-        for part, ids, sizes in _id_slices(batches, 3, 200_000):
-            log = log_likelihoods(ids, sizes, model) / np.log(10)
+        model, table = shared.value
+        for part, ids, sizes in _id_slices(batches, 2, 200_000):
+            others = part.column(4).to_numpy(zero_copy_only=False)
+            log = log_likelihoods(ids, sizes, model, _own(part, 3, len(model.start))) / np.log(10)
             first = np.cumsum(sizes) - sizes
-            shared_symbols = np.add.reduceat((ids == len(table) - 1).astype(np.int64), first)
+            bounded = np.add.reduceat((ids < len(table) - 1).astype(np.int64), first)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(1), part.column(2), part.column(0), pa.array(np.add.reduceat(table[ids], first)),
-                    # within the shared symbol a word has its part of the symbol's base probability
-                    pa.array(log - shared_symbols * rest10), pa.array(sizes), pa.array(sizes - shared_symbols),
-                ],
-                names=["doc_id", "held_out", "row", "base_own", "hidden", "n_tokens", "n_own"],
+                [part.column(0), part.column(1), pa.array(sizes), pa.array(bounded + end_known + part.column(5).to_numpy(zero_copy_only=False)),
+                 pa.array(np.add.reduceat(table[ids], first) + others), pa.array(log + others)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    scored = numbered.select("row", "doc_id", "held_out", "ids").mapInArrow(run, schema)
-    # the words that share a symbol: a row for each, joined with its exact count. None is
-    # frequent, so no key is hot; a partition's counts fit a hash table and spare two sorts
-    spread = numbered.select("row", F.explode("others").alias("word"))
-    c = F.coalesce(F.col("c"), F.lit(0))
-    others = (
-        spread.join(counts.hint("shuffle_hash"), "word", "left")
-        .groupBy("row").agg(
-            F.sum(F.log10((c + ADD) / F.lit(float(z)))).alias("others"),
-            F.sum((c > 0).cast("long")).alias("known"),
-        )
-    )
-    both = scored.join(others, "row", "left")
-    others, known = F.coalesce("others", F.lit(0.0)), F.coalesce("known", F.lit(0))
-    end_known = F.lit(0 if ends else -1)  # n_own counts the end token
-    return both.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_own") + end_known + known).cast("long").alias("n_known"),
-        F.lit(int(n)).cast("long").alias("train_tokens"),
-        (F.col("base_own") + others).alias("base_score"), (F.col("hidden") + others).alias("score"),
-    )
+    rows = with_emissions(numbered, rest, z, prior, False).select("doc_id", "held_out", "ids", "own", "others", "known")
+    return rows.mapInArrow(run, schema).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
