@@ -46,7 +46,9 @@ from .common import most_frequent, named, slices, written
 
 OWN_WORDS = 1 << 16
 STATES = 6
-ROUNDS = 2
+#: Rounds end when one gains less than this log likelihood (natural) a token, from the third on, or at the limit.
+TOLERANCE = 0.05
+ROUNDS = 10
 START_WORDS = 512
 SEGMENT = 64
 ADD = 0.1
@@ -431,6 +433,7 @@ def score(
     rounds: int = ROUNDS,
     start_words: int = START_WORDS,
     prior: float = PRIOR,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """Train on the rows where ``held_out`` is false and score all rows: (doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score), one per row."""
@@ -461,7 +464,10 @@ def score(
         # before the first round no word of the rest differs from the others
         first = train.select("ids", F.col("others").alias("words"), F.array().cast("array<float>").alias("own"))
         seen = with_emissions(train, rest, z, prior, True) if nth else first
-        model, rest, _ = baum_welch(seen, model, base, z, prior)
+        model, rest, log = baum_welch(seen, model, base, z, prior)
+        if nth > 1 and log - before < tolerance * n:
+            break
+        before = log
     if not (rounds and ends):  # their counts, with equal parts in all states
         rest.table = counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k)))
     shared = spark.sparkContext.broadcast((model, np.append(np.log10(base), 0.0)))
