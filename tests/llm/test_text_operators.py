@@ -175,6 +175,29 @@ def test_hmm_scores_do_not_depend_on_the_bounded_table(spark, odd_docs):
         assert np.allclose([x[4:] for x in other], [x[4:] for x in found[0]], rtol=1e-4)
 
 
+def test_hmm_training_with_shared_emissions(spark, odd_docs):
+    # words beyond the table share emissions up to the last round; a table of all words leaves none to share
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    score = lambda **kw: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_known"], r["base_score"], r["score"]) for r in hmm.score(odd_docs, held_out, start_words=12, states=3, **kw).collect())
+    whole = score(own_words=100_000, rounds=3, tolerance=0.0)
+    assert np.allclose(whole, score(own_words=100_000, rounds=3, tolerance=0.0, part_each_round=False), rtol=1e-4)
+    one = score(own_words=20, rounds=1)
+    assert np.allclose(one, score(own_words=20, rounds=1, part_each_round=False), rtol=1e-6)
+    some = score(own_words=20, rounds=3, tolerance=0.0, part_each_round=False)
+    assert [x[:3] for x in some] == [x[:3] for x in whole] and np.allclose([x[3] for x in some], [x[3] for x in whole])
+    assert not np.allclose(some, one, rtol=1e-6)
+
+
+def test_hmm_with_shared_emissions_is_a_distribution(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "a", "b b a", "a b", "c d", ""])], "doc_id long, text string")
+    types = ["a", "b", "c", "d", "zz"]
+    probe = [""] + types + [f"{x} {y}" for x in types for y in types] + [f"{x} {y} {w}" for x in types for y in types for w in types]
+    every = docs.withColumn("h", F.lit(False)).union(spark.createDataFrame([(100 + i, t, True) for i, t in enumerate(probe)], "doc_id long, text string, h boolean"))
+    got = {r["doc_id"]: r["score"] for r in hmm.score(every, F.col("h"), own_words=1, states=2, part_each_round=False).collect()}
+    total = [sum(10 ** got[100 + i] for i, t in enumerate(probe) if len(t.split()) == n) for n in range(4)]
+    assert all(x > 0 for x in total) and 0.7 < sum(total) < 1.0
+
+
 def test_hmm_is_a_distribution(spark):
     # over all texts of up to two words, one of them unknown, the probabilities add up with those of longer ones
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "a", "b b a", "a b", ""])], "doc_id long, text string")

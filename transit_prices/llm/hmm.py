@@ -15,7 +15,10 @@ Training: start classes come from the co-occurrence of the most frequent words,
 over all training documents (singular vectors, then k-means). Each Baum-Welch round
 reads all training tokens; tasks add up expected counts, an aggregate with a map-side part
 adds the tasks', and the driver sees one bounded table (own_words x states); the counts of all
-other words stay on the executors.
+other words stay on the executors. With ``part_each_round`` every round joins the texts with the words' table, so
+the result doesn't depend on ``own_words``. Without it, the words beyond the bounded table share their
+emissions while rounds go on; once these gain little, a last one reads all training tokens again, adds up every
+word's expected counts and gives every word emissions of its own. Then texts are joined with the words' table once, for scoring.
 
 Long texts: sequences are cut into segments of ``SEGMENT`` tokens. Scaled transfer
 matrices of all segments are multiplied side by side and chained per document, which
@@ -46,7 +49,7 @@ from .common import most_frequent, named, slices, written
 
 OWN_WORDS = 1 << 16
 STATES = 6
-#: Rounds end when one gains less than this log likelihood (natural) a token, from the third on, or at the limit.
+#: Rounds end when one gains less than this log likelihood (natural) a token, or at the limit.
 TOLERANCE = 0.05
 ROUNDS = 10
 START_WORDS = 512
@@ -76,39 +79,50 @@ def segments(sizes: np.ndarray, length: int = SEGMENT) -> tuple[np.ndarray, np.n
 
 
 class Slice:
-    """Token ids of several documents (every document has an end token), cut up."""
+    """Token ids of several documents (every document has an end token), cut up.
+
+    The recursions keep states in rows and segments in columns: a step is one small matrix
+    product, and its element-wise work runs along the segments."""
 
     def __init__(self, ids: np.ndarray, sizes: np.ndarray, model: Model, own: np.ndarray | None = None):
         """``own``: emissions of the tokens with the last symbol, one row for each of them
         (without the silent state); by default the model's for that symbol."""
         self.ids, self.sizes, self.model = ids, sizes, model
-        self.emitted = model.emits[ids]
-        if own is not None:
-            self.emitted[ids == len(model.emits) - 1, 1:] = own
         self.doc, self.begin, self.length = segments(sizes)
         # longest segments first: those still running at a step are a leading part
         self.by = np.argsort(-self.length, kind="stable")
         self.longest = int(self.length.max()) if len(self.length) else 0
         self.running = np.searchsorted(-self.length[self.by], -np.arange(self.longest), "left")
+        # tokens step by step: the step's part of ``order`` and ``emitted`` starts at ``offset``
+        self.offset = np.append(0, np.cumsum(self.running))
+        starts = self.begin[self.by]
+        self.order = np.concatenate([starts[:r] + t for t, r in enumerate(self.running)]) if self.longest else np.zeros(0, np.int64)
+        emitted = model.emits[ids]
+        if own is not None:
+            emitted[ids == len(model.emits) - 1, 1:] = own
+        self.emitted = np.ascontiguousarray(emitted[self.order].T)
+
+    def step(self, t: int) -> tuple[int, np.ndarray]:
+        """Number of segments with a token at step ``t``, and the tokens' emissions."""
+        return self.running[t], self.emitted[:, self.offset[t] : self.offset[t + 1]]
 
     def transfers(self) -> tuple[np.ndarray, np.ndarray]:
         """Scaled product of moves and emissions over each segment, and its log scale."""
-        m, k = self.model, len(self.model.start)
-        out = np.repeat(np.eye(k)[None], len(self.by), axis=0)
-        scale = np.zeros(len(self.by))
+        forth, k, n = np.ascontiguousarray(self.model.moves.T), len(self.model.start), len(self.by)
+        out = np.repeat(np.eye(k)[:, :, None], n, axis=2)
+        scale = np.zeros(n)
         for t in range(self.longest):
-            r = self.running[t]
-            b = self.emitted[self.begin[self.by[:r]] + t]
-            x = (out[:r].reshape(-1, k) @ m.moves).reshape(r, k, k)
-            x *= b[:, None, :]
+            r, b = self.step(t)
+            x = np.matmul(forth, out[:, :, :r])
+            x *= b
             if t % 8 == 7 or t == self.longest - 1:
-                s = x.max(axis=(1, 2))
-                x /= s[:, None, None]
+                s = x.max(axis=(0, 1))
+                x /= s
                 scale[:r] += np.log(s)
-            out[:r] = x
+            out[:, :, :r] = x
         back = np.empty_like(self.by)
-        back[self.by] = np.arange(len(self.by))
-        return out[back], scale[back]
+        back[self.by] = np.arange(n)
+        return np.ascontiguousarray(out.transpose(2, 0, 1)[back]), scale[back]
 
     def chain(self, transfers: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Forward vector (sums to one) before each segment, and each document's
@@ -157,35 +171,40 @@ class Slice:
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, float]:
         """Expected moves (K x K), expected emissions (symbols x K), log likelihood; each
-        token's state probabilities are left in ``weights``."""
+        token's state probabilities (K x tokens) are left in ``weights``."""
         m, k = self.model, len(self.model.start)
         transfers, scale = self.transfers()
         before, log = self.chain(transfers, scale)
         after = self.back(transfers)
-        by, longest = self.by, self.longest
-        n = len(by)
-        alpha = np.zeros((longest + 1, n, k))
-        alpha[0] = before[by]
-        for t in range(longest):
-            r = self.running[t]
-            x = (alpha[t, :r] @ m.moves) * self.emitted[self.begin[by[:r]] + t]
-            alpha[t + 1, :r] = x / x.sum(axis=1)[:, None]
-        beta = after[by].copy()
-        moves = np.zeros((k, k))
-        self.weights = weights = np.empty((len(self.ids), k))
-        for t in range(longest - 1, -1, -1):
-            r = self.running[t]
-            at = self.begin[by[:r]] + t
-            gamma = alpha[t + 1, :r] * beta[:r]
-            gamma /= gamma.sum(axis=1)[:, None]
-            weights[at] = gamma
-            right = self.emitted[at] * beta[:r]
-            pull = right @ m.moves.T
-            total = (alpha[t, :r] * pull).sum(axis=1)
-            moves += alpha[t, :r].T @ (right / total[:, None])
-            beta[:r] = pull / pull.max(axis=1)[:, None]
+        forth, ends = np.ascontiguousarray(m.moves.T), self.offset
+        # forward vectors up to a factor: after each token, and before each segment
+        alpha = np.empty_like(self.emitted)
+        begin = last = np.ascontiguousarray(before[self.by].T)
+        for t in range(self.longest):
+            r, b = self.step(t)
+            x = forth @ last[:, :r]
+            x *= b
+            if t % 8 == 7:
+                x /= x.max(axis=0)
+            alpha[:, ends[t] : ends[t + 1]] = last = x
+        beta = np.ascontiguousarray(after[self.by].T)
+        moves, gamma = np.zeros((k, k)), np.empty_like(self.emitted)
+        for t in range(self.longest - 1, -1, -1):
+            r, b = self.step(t)
+            gamma[:, ends[t] : ends[t + 1]] = alpha[:, ends[t] : ends[t + 1]] * beta[:, :r]
+            right = b * beta[:, :r]
+            pull = m.moves @ right
+            earlier = alpha[:, ends[t - 1] : ends[t - 1] + r] if t else begin[:, :r]
+            right /= (earlier * pull).sum(axis=0)
+            moves += earlier @ right.T
+            if t % 8 == 0:
+                pull /= pull.max(axis=0)
+            beta[:, :r] = pull
         moves *= m.moves
-        emits = np.stack([np.bincount(self.ids, weights[:, j], minlength=len(m.emits)) for j in range(k)], axis=1)
+        gamma /= gamma.sum(axis=0)
+        self.weights = np.empty_like(gamma)
+        self.weights[:, self.order] = gamma
+        emits = np.stack([np.bincount(self.ids, w, minlength=len(m.emits)) for w in self.weights], axis=1)
         return moves, emits, float(log.sum())
 
 
@@ -342,7 +361,7 @@ class Rest:
         return F.array(*(e.cast("float") for e in each))
 
 
-def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep_words: bool) -> DataFrame:
+def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep_words: bool = False) -> DataFrame:
     """Rows (doc_id, held_out, ids, words, own, others, known): the emissions ``own`` of the
     words beyond the bounded table, in order, their base log10 probability and how many are known.
 
@@ -371,14 +390,14 @@ def _own(part: pa.RecordBatch, column: int, states: int) -> np.ndarray | None:
     return values.astype(np.float64).reshape(-1, states) if len(values) else None
 
 
-def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior: float = PRIOR) -> tuple[Model, Rest, float]:
-    """One round over all rows of ``train`` (ids, words, own): the new model, the other words'
-    table, and the log likelihood (natural, less the other words' base) under the old model. ``base``: the
-    bounded table's base probabilities, the end token last."""
+def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior: float = PRIOR, words: bool = False) -> tuple[Model, Rest | None, float]:
+    """One round over all rows of ``train`` (ids, words, own): the new model, with ``words`` the other words'
+    table (without, they go on sharing their emissions), and the log likelihood (natural, less the other words'
+    base) under the old model. ``base``: the bounded table's base probabilities, the end token last."""
     k, symbols = len(model.start), len(model.emits)
     shared = train.sparkSession.sparkContext.broadcast(extended(model))
-    columns, parts = [f"e{j}" for j in range(k + 1)], [f"t{j}" for j in range(k)]
-    schema = ", ".join(["word binary", "n long", *(f"{c} float" for c in parts), "at int", *(f"{c} double" for c in columns)])
+    parts = [f"t{j}" for j in range(k)]
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), *((c, pa.float64()) for c in parts)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves, emits, log = np.zeros((k + 1, k + 1)), np.zeros((symbols, k + 1)), 0.0
@@ -386,41 +405,42 @@ def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior
             s = Slice(ids, sizes, shared.value, _own(part, 2, k))
             a, b, c = s.expected()
             moves, emits, log = moves + a, emits + b, log + c
-            words = part.column(1).flatten()
-            if len(words):
-                weights = s.weights[ids == symbols - 1, 1:]
-                rows = pa.table([words, pa.array(np.ones(len(words), dtype=np.int64)), *(pa.array(np.ascontiguousarray(weights[:, j])) for j in range(k))], names=["word", "n", *parts])
-                rows = rows.group_by("word").aggregate([(c, "sum") for c in ("n", *parts)]).combine_chunks()
-                blank = pa.nulls(len(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(c if c == "word" else f"{c}_sum").combine_chunks().cast(t) for c, t in [("word", pa.binary()), ("n", pa.int64()), *((c, pa.float32()) for c in parts)]),
-                     blank.cast(pa.int32()), *(blank.cast(pa.float64()) for _ in columns)], names=["word", "n", *parts, "at", *columns])
-        # rows: symbols first, then one per state's moves, then the likelihood
-        rows = np.concatenate([emits, moves, np.full((1, k + 1), log)])
+            found = part.column(1).flatten() if words else ()
+            if len(found):
+                weights = s.weights[1:, ids == symbols - 1]
+                rows = pa.table([found, pa.array(np.ones(len(found), dtype=np.int64)), *map(pa.array, weights)], schema=schema)
+                yield from rows.group_by("word").aggregate([(c, "sum") for c in schema.names[1:]]).rename_columns(schema.names).cast(schema).to_batches()
+        # the bounded table under keys that no word can have (a space and a number): symbols first,
+        # then one row per state's moves, then the likelihood
+        rows = np.concatenate([emits, moves, np.full((1, k + 1), log)])[:, 1:]
         at = np.flatnonzero(rows.any(axis=1))
-        blank = pa.nulls(len(at))
-        yield pa.RecordBatch.from_arrays(
-            [blank.cast(pa.binary()), blank.cast(pa.int64()), *(blank.cast(pa.float32()) for _ in parts), pa.array(at.astype(np.int32)),
-             *(pa.array(np.ascontiguousarray(rows[at, j])) for j in range(k + 1))], names=["word", "n", *parts, "at", *columns])
-
-    # both aggregates read what one pass over the texts wrote
-    counted = written(train.select("ids", "words", "own").mapInArrow(run, schema))
-    found = counted.where("at IS NOT NULL").groupBy("at").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()
-    table = written(counted.where("at IS NULL").groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in parts)))
-    rows = np.zeros((symbols + k + 2, k + 1))
-    rows[found["at"].to_numpy()] = found[columns].to_numpy()
-    emits, moves, log = rows[:symbols, 1:], rows[symbols:-1, 1:], float(rows[-1, 0])
+        keys = pa.array([b" %d" % x for x in at], pa.binary())
+        yield pa.RecordBatch.from_arrays([keys, pa.array(np.zeros(len(at), dtype=np.int64)), *(pa.array(np.ascontiguousarray(rows[at, j])) for j in range(k))], schema=schema)
+
+    sums = (F.sum(c).alias(c) for c in ("n", *parts))
+    counted = train.select("ids", "words" if words else F.lit(None), "own").mapInArrow(run, "word binary, n long, " + ", ".join(f"{c} double" for c in parts))
+    counted = counted.groupBy("word").agg(*sums).select("word", "n", *(F.col(c).cast("float") for c in parts))
+    key = F.substring("word", 1, 1) == F.lit(b" ")
+    if words:  # the driver's part and the words' table come from one pass over the texts
+        counted = written(counted)
+    found = counted.where(key).select("word", *parts).toPandas()
+    rows = np.zeros((symbols + k + 2, k))
+    rows[[int(x) for x in found["word"]]] = found[parts].to_numpy()
+    emits, moves, log = rows[:symbols], rows[symbols:-1], float(rows[-1, 0])
     start = (moves[0] + 1.0) / (moves[0] + 1.0).sum()
     moves = (moves[1:] + 1.0) / (moves[1:] + 1.0).sum(axis=1)[:, None]
     share = np.maximum(emits.sum(axis=0) / max(emits.sum(), 1.0), 1e-12)
-    own = emits[:-1]
-    part = (own + prior * share) / ((own.sum(axis=1)[:, None] + prior) * share)
-    rest = Rest(table, share, np.ones(k))
+    # one row for each symbol, the last for the other words together
+    part = (emits + prior * share) / ((emits.sum(axis=1)[:, None] + prior) * share)
+    if not words:
+        unseen = np.maximum(1 - base.sum(), 0.0)
+        scale = (base[:, None] * part[:-1]).sum(axis=0) + unseen * part[-1]
+        return Model(start, moves, np.concatenate([base[:, None] * part[:-1], part[-1:]]) / scale), None, log
+    rest = Rest(counted.where(~key), share, np.ones(k))
     each = rest.emissions(prior)
-    mass = table.agg(*(F.coalesce(F.sum((F.col("n") + ADD) / F.lit(float(z)) * each[j]), F.lit(0.0)) for j in range(k))).first()
-    rest.scale = (base[:, None] * part).sum(axis=0) + np.array(mass) + ADD / z
-    emits = np.concatenate([base[:, None] * part, np.ones((1, k))]) / rest.scale
-    return Model(start, moves, emits), rest, log
+    mass = rest.table.agg(*(F.coalesce(F.sum((F.col("n") + ADD) / F.lit(float(z)) * each[j]), F.lit(0.0)) for j in range(k))).first()
+    rest.scale = (base[:, None] * part[:-1]).sum(axis=0) + np.array(mass) + ADD / z
+    return Model(start, moves, np.concatenate([base[:, None] * part[:-1], np.ones((1, k))]) / rest.scale), rest, log
 
 
 def score(
@@ -434,6 +454,7 @@ def score(
     start_words: int = START_WORDS,
     prior: float = PRIOR,
     tolerance: float = TOLERANCE,
+    part_each_round: bool = True,
 ) -> DataFrame:
     """Train on the rows where ``held_out`` is false and score all rows: (doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score), one per row."""
@@ -458,18 +479,19 @@ def score(
     # the last symbol's emissions are parts of its words' base probabilities
     model.emits[-1] /= all_base[-1]
     k = len(model.start)
-    none = spark.createDataFrame([], ", ".join(["word binary", "n long", *(f"t{j} double" for j in range(k))]))
-    rest = Rest(none, np.full(k, 1 / k), 1 / model.emits[-1])
-    for nth in range(rounds if ends else 0):
-        # before the first round no word of the rest differs from the others
-        first = train.select("ids", F.col("others").alias("words"), F.array().cast("array<float>").alias("own"))
-        seen = with_emissions(train, rest, z, prior, True) if nth else first
-        model, rest, log = baum_welch(seen, model, base, z, prior)
-        if nth > 1 and log - before < tolerance * n:
+    # counts with equal parts in all states; before the first round no word beyond the table differs from the others
+    rest = Rest(counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k))), np.full(k, 1 / k), 1 / model.emits[-1])
+    shared = train.select("ids", F.col("others").alias("words"), F.array().cast("array<float>").alias("own"))
+    before, most = -np.inf, rounds if ends else 0
+    for nth in range(most if part_each_round else most - 1):
+        seen = with_emissions(train, rest, z, prior, True) if nth and part_each_round else shared
+        model, found, log = baum_welch(seen, model, base, z, prior, part_each_round)
+        rest = found or rest
+        if nth > part_each_round and log - before < tolerance * n:
             break
         before = log
-    if not (rounds and ends):  # their counts, with equal parts in all states
-        rest.table = counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k)))
+    if most and not part_each_round:
+        model, rest, _ = baum_welch(shared, model, base, z, prior, True)
     shared = spark.sparkContext.broadcast((model, np.append(np.log10(base), 0.0)))
     schema = StructType([numbered.schema["doc_id"], numbered.schema["held_out"], *_parse_datatype_string("n_tokens long, n_known long, base_score double, score double").fields])
     end_known = 0 if ends else -1  # tokens of the bounded table count the end token
@@ -487,6 +509,6 @@ def score(
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    rows = with_emissions(numbered, rest, z, prior, False).select("doc_id", "held_out", "ids", "own", "others", "known")
+    rows = with_emissions(numbered, rest, z, prior).select("doc_id", "held_out", "ids", "own", "others", "known")
     return rows.mapInArrow(run, schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
