@@ -34,6 +34,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -57,6 +58,10 @@ SEGMENT = 64
 ADD = 0.1
 #: Tokens of each word that are spread over the states like all tokens.
 PRIOR = 0.3
+#: Emissions of words beyond the bounded table travel as parts of their base probability, in steps of an octave, in 21 bits.
+STEPS, OCTAVES, MOST = 1 << 15, 48, (1 << 21) - 1
+#: Mean state probabilities of a word's tokens travel as whole numbers up to this.
+WHOLE = (1 << 20) - 1
 
 
 @dataclass
@@ -109,7 +114,7 @@ class Slice:
     def transfers(self) -> tuple[np.ndarray, np.ndarray]:
         """Scaled product of moves and emissions over each segment, and its log scale."""
         forth, k, n = np.ascontiguousarray(self.model.moves.T), len(self.model.start), len(self.by)
-        out = np.repeat(np.eye(k)[:, :, None], n, axis=2)
+        out = np.repeat(np.eye(k, dtype=forth.dtype)[:, :, None], n, axis=2)
         scale = np.zeros(n)
         for t in range(self.longest):
             r, b = self.step(t)
@@ -179,7 +184,7 @@ class Slice:
         forth, ends = np.ascontiguousarray(m.moves.T), self.offset
         # forward vectors up to a factor: after each token, and before each segment
         alpha = np.empty_like(self.emitted)
-        begin = last = np.ascontiguousarray(before[self.by].T)
+        begin = last = np.ascontiguousarray(before[self.by].T, dtype=alpha.dtype)
         for t in range(self.longest):
             r, b = self.step(t)
             x = forth @ last[:, :r]
@@ -187,7 +192,7 @@ class Slice:
             if t % 8 == 7:
                 x /= x.max(axis=0)
             alpha[:, ends[t] : ends[t + 1]] = last = x
-        beta = np.ascontiguousarray(after[self.by].T)
+        beta = np.ascontiguousarray(after[self.by].T, dtype=alpha.dtype)
         moves, gamma = np.zeros((k, k)), np.empty_like(self.emitted)
         for t in range(self.longest - 1, -1, -1):
             r, b = self.step(t)
@@ -358,7 +363,23 @@ class Rest:
     def emissions(self, prior: float) -> Column:
         """Emissions in all states as parts of the base probability."""
         each = ((F.col(f"t{j}") + prior * float(p)) / ((F.col("n") + prior) * float(p * z)) for j, (p, z) in enumerate(zip(self.share, self.scale)))
-        return F.array(*(e.cast("float") for e in each))
+        return F.array(*each)
+
+    def packed(self, prior: float) -> Column:
+        """The same, rounded to 1/32768 of an octave, three states in a long."""
+        each = self.emissions(prior)
+        codes = [F.greatest(F.lit(0), F.least(F.lit(MOST), F.round((F.log2(each[j]) + OCTAVES) * STEPS))).cast("long") for j in range(len(self.share))]
+        return F.array(*(_sum(F.shiftleft(c, 21 * i) for i, c in enumerate(codes[g : g + 3])) for g in range(0, len(codes), 3)))
+
+
+def _sum(parts: Iterator[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
+
+
+def unpacked(packed: np.ndarray, states: int) -> np.ndarray:
+    """Emissions (rows x states) from their longs (rows x a third as many)."""
+    codes = (packed[:, :, None] >> np.array([0, 21, 42])) & MOST
+    return np.exp2(codes.reshape(len(packed), -1)[:, :states] / STEPS - OCTAVES)
 
 
 def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep_words: bool = False) -> DataFrame:
@@ -367,8 +388,9 @@ def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep
 
     Each such token is a row, joined by word with a merge join (it spills, and adaptive execution
     splits a hot word) and put together again by row."""
-    unknown = F.array(*(F.lit(float(1 / s)).cast("float") for s in rest.scale))
-    known = rest.table.select("word", "n", rest.emissions(prior).alias("own"))
+    codes = np.clip(np.rint((OCTAVES - np.log2(rest.scale)) * STEPS), 0, MOST).astype(np.int64)
+    unknown = F.array(*(F.lit(int(sum(int(c) << 21 * i for i, c in enumerate(codes[g : g + 3])))).cast("long") for g in range(0, len(codes), 3)))
+    known = rest.table.select("word", "n", rest.packed(prior).alias("own"))
     n = F.coalesce("n", F.lit(0))
     token = F.struct("at", *(["word"] if keep_words else []), F.coalesce("own", unknown).alias("own"))
     tokens = (
@@ -387,17 +409,20 @@ def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep
 
 def _own(part: pa.RecordBatch, column: int, states: int) -> np.ndarray | None:
     values = part.column(column).flatten().to_numpy(zero_copy_only=False)
-    return values.astype(np.float64).reshape(-1, states) if len(values) else None
+    return unpacked(values.reshape(-1, (states + 2) // 3), states) if len(values) else None
 
 
 def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior: float = PRIOR, words: bool = False) -> tuple[Model, Rest | None, float]:
     """One round over all rows of ``train`` (ids, words, own): the new model, with ``words`` the other words'
-    table (without, they go on sharing their emissions), and the log likelihood (natural, less the other words'
+    table (without, they go on sharing their emissions), and the log likelihood (natural, less the words'
     base) under the old model. ``base``: the bounded table's base probabilities, the end token last."""
     k, symbols = len(model.start), len(model.emits)
-    shared = train.sparkSession.sparkContext.broadcast(extended(model))
+    # emissions as parts of the base probability stay near one, so single precision will do
     parts = [f"t{j}" for j in range(k)]
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), *((c, pa.float64()) for c in parts)])
+    near = Model(model.start, model.moves, model.emits / np.append(base, 1.0)[:, None])
+    shared = train.sparkSession.sparkContext.broadcast(Model(*(x.astype(np.float32) for x in vars(extended(near)).values())))
+    packs = [f"p{g}" for g in range((k + 2) // 3)]
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), *((c, pa.int64()) for c in packs), ("e", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves, emits, log = np.zeros((k + 1, k + 1)), np.zeros((symbols, k + 1)), 0.0
@@ -407,19 +432,28 @@ def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior
             moves, emits, log = moves + a, emits + b, log + c
             found = part.column(1).flatten() if words else ()
             if len(found):
-                weights = s.weights[1:, ids == symbols - 1]
-                rows = pa.table([found, pa.array(np.ones(len(found), dtype=np.int64)), *map(pa.array, weights)], schema=schema)
-                yield from rows.group_by("word").aggregate([(c, "sum") for c in schema.names[1:]]).rename_columns(schema.names).cast(schema).to_batches()
+                coded = pa.compute.dictionary_encode(found)
+                at, weights = coded.indices.to_numpy(), s.weights[1:, ids == symbols - 1]
+                n = np.bincount(at)
+                mean = [np.rint(np.minimum(np.bincount(at, w) / n, 1.0) * WHOLE).astype(np.int64) for w in weights]
+                packed = [pa.array(sum(m << 20 * i for i, m in enumerate(mean[g : g + 3]))) for g in range(0, k, 3)]
+                yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), pa.array(n), *packed, pa.nulls(len(n), schema.field("e").type)], schema=schema)
         # the bounded table under keys that no word can have (a space and a number): symbols first,
         # then one row per state's moves, then the likelihood
         rows = np.concatenate([emits, moves, np.full((1, k + 1), log)])[:, 1:]
         at = np.flatnonzero(rows.any(axis=1))
         keys = pa.array([b" %d" % x for x in at], pa.binary())
-        yield pa.RecordBatch.from_arrays([keys, pa.array(np.zeros(len(at), dtype=np.int64)), *(pa.array(np.ascontiguousarray(rows[at, j])) for j in range(k))], schema=schema)
-
-    sums = (F.sum(c).alias(c) for c in ("n", *parts))
-    counted = train.select("ids", "words" if words else F.lit(None), "own").mapInArrow(run, "word binary, n long, " + ", ".join(f"{c} double" for c in parts))
-    counted = counted.groupBy("word").agg(*sums).select("word", "n", *(F.col(c).cast("float") for c in parts))
+        values = pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * k, rows[at].ravel())
+        none = pa.array(np.zeros(len(at), dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([keys, none, *(none for _ in packs), values], schema=schema)
+
+    counted = train.select("ids", "words" if words else F.lit(None), "own").mapInArrow(run, "word binary, n long, " + ", ".join(f"{c} long" for c in packs) + ", e array<double>")
+    # the rows are sums of slices already: they travel packed, and sums of whole numbers are the same in any order
+    sums = (
+        (F.coalesce(F.sum(F.col("e")[j]), F.lit(0.0)) + F.sum(F.col("n") * F.shiftright(packs[j // 3], 20 * (j % 3)).bitwiseAND(WHOLE)) / WHOLE).cast("float").alias(c)
+        for j, c in enumerate(parts)
+    )
+    counted = counted.repartition("word").groupBy("word").agg(F.sum("n").alias("n"), *sums)
     key = F.substring("word", 1, 1) == F.lit(b" ")
     if words:  # the driver's part and the words' table come from one pass over the texts
         counted = written(counted)
@@ -481,7 +515,7 @@ def score(
     k = len(model.start)
     # counts with equal parts in all states; before the first round no word beyond the table differs from the others
     rest = Rest(counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k))), np.full(k, 1 / k), 1 / model.emits[-1])
-    shared = train.select("ids", F.col("others").alias("words"), F.array().cast("array<float>").alias("own"))
+    shared = train.select("ids", F.col("others").alias("words"), F.array().cast("array<long>").alias("own"))
     before, most = -np.inf, rounds if ends else 0
     for nth in range(most if part_each_round else most - 1):
         seen = with_emissions(train, rest, z, prior, True) if nth and part_each_round else shared
