@@ -60,3 +60,23 @@ def test_planted_effects_are_found(spark):
 
 def test_stations_with_few_treated_rows_are_left_out(spark):
     assert dml_forest.run_dml_by_station_forest(frame(spark, 300), "y", "d", "station", X, fold_col="key", min_treated=10_000).collect() == []
+
+
+def test_leaf_shares_over_short_batches(spark, monkeypatch):
+    """Counts gathered over batches, and passed on in parts, give each leaf its shares."""
+    monkeypatch.setattr(dml_forest, "HELD", 20)
+    x = [[i % 4, i % 3] for i in range(400)]
+    rows = spark.createDataFrame([(v, "a" if i % 5 == 0 else "b" if i % 7 == 0 else None) for i, v in enumerate(x)], "x array<int>, station string").coalesce(1)
+    tree = trees.grow(np.array(x), np.array([float(a + 2 * b) for a, b in x]), np.ones(400), 3, range(2))
+    key, was = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "10")
+    try:
+        found = {(r["tree"], r["leaf"], r["station"]): r["share"] for r in dml_forest.leaf_vectors(rows, [tree, tree]).collect()}
+    finally:
+        spark.conf.set(key, was)
+    at = dml_forest.leaves([tree], np.array(x))[:, 0]
+    for leaf in np.unique(at):
+        for s in "ab":
+            own = np.array([r["station"] == s for r in rows.collect()])[at == leaf]
+            for t in (0, 1):
+                assert found.get((t, leaf, s), 0.0) == pytest.approx(own.mean())
