@@ -66,3 +66,15 @@ def test_early_stopping_beats_both_naive_forecasts(spark):
     mae = {r["forecaster"]: r["m"] for r in table.groupBy("forecaster").agg(F.avg("mae").alias("m")).collect()}
     assert pred.count() == 6 * 12
     assert mae["model"] < mae["last_value"] and mae["model"] < mae["year_ago"]
+
+
+def test_first_trees_are_the_shorter_fit(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = spark.range(200).selectExpr("cast(id % 17 as double) a", "cast(id % 5 as double) b", "cast((id * 7) % 17 + id % 3 as double) label")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).coalesce(1).cache()
+    make = lambda n: GBTRegressor(maxIter=n, maxDepth=2, seed=1)
+    cut = forecast.FirstTrees(make(7).fit(rows), 3)
+    order = lambda df: [r["prediction"] for r in df.orderBy("a", "b", "label").collect()]
+    assert cut.getNumTrees == 3 and order(cut.transform(rows)) == pytest.approx(order(make(3).fit(rows).transform(rows)))

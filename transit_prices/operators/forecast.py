@@ -11,10 +11,12 @@ saved and loaded with Spark ML's own writer, to any Hadoop URI.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, spread_rows
 from .regress import regression_metrics
 
 
@@ -83,13 +85,30 @@ def best_round(losses: list[float], patience: int) -> int:
     return best + 1
 
 
+@dataclass
+class FirstTrees:
+    """The first ``getNumTrees`` trees of a boosted model, as a model."""
+
+    model: object
+    getNumTrees: int  # as Spark ML names it
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the sum of the trees as ``prediction``."""
+        total, names = F.lit(0.0), [f"_tree{i}" for i in range(self.getNumTrees)]
+        for name, tree, weight in zip(names, self.model.trees, self.model.treeWeights):
+            rows = tree.setFeaturesCol("features").setPredictionCol(name).transform(rows)
+            total = total + F.lit(float(weight)) * F.col(name)
+        return rows.withColumn("prediction", total).drop(*names)
+
+
 def forecast_with_early_stopping(panel: DataFrame, station_col: str, date_col: str, target_col: str, test_start, n_lags: int = 12,
                                  validation_share: float = 0.2, patience: int = 30, max_rounds: int = 200, step: float = 0.1, depth: int = 5, seed: int = 42):
     """J9 with early stopping and the best round restored. Targets are min-max scaled per
     station by its rows before the validation months (I3), and the model learns the change from the
     last month, so a trend goes on. The last ``validation_share`` of the months before ``test_start``
     validate. Boosting is sequential and seeded: the fit with the best round's number of
-    rounds is the long fit cut there. Returns (predictions, facts: best round, losses, model)."""
+    rounds is the long fit cut there, so its first trees are the model. Returns (predictions, facts:
+    best round, losses, model)."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
@@ -106,13 +125,14 @@ def forecast_with_early_stopping(panel: DataFrame, station_col: str, date_col: s
     inputs = [f"_x{k}" for k in range(2, n_lags + 1)] + ["_last"]
     data = VectorAssembler(inputCols=inputs, outputCol="features").transform(data).select(
         station_col, date_col, "features", "_change", "_last", "_low", "_width", target_col)
-    data = cut_lineage(data)  # read by two fits and three scorings
+    data = spread_rows(cut_lineage(data)).persist()  # read by all rounds and two scorings
     train = data.where(F.col(date_col) < validate_from)
     valid = data.where((F.col(date_col) >= validate_from) & (F.col(date_col) < start))
     make = lambda rounds: GBTRegressor(labelCol="_change", maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
-    losses = list(make(max_rounds).fit(train).evaluateEachIteration(valid, "squared"))
+    long = make(max_rounds).fit(train)
+    losses = list(long.evaluateEachIteration(valid, "squared"))
     rounds = best_round(losses, patience)
-    model = make(rounds).fit(train)
+    model = FirstTrees(long, rounds)
     test = model.transform(data.where(F.col(date_col) >= start))
     pred = (F.col("_last") + F.col("prediction")) * F.col("_width") + F.col("_low")
     out = test.select(station_col, date_col, F.col(target_col).alias("y_true"), pred.alias("y_pred"), F.lit("gbt").alias("model"))
