@@ -22,9 +22,10 @@ def test_enriched_scans_are_pruned(spark):
     assert "l_tax" not in text and "l_comment" not in text
 
 
-def test_lineitem_moves_once_in_the_sales_join(spark):
+def test_lineitem_moves_once_in_the_sales_join(spark, monkeypatch):
     from transit_prices.sources import adapters
 
+    monkeypatch.setattr(adapters, "FEW_ORDERS", 0)
     key, limit = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set(key, "-1")
     try:
