@@ -288,3 +288,19 @@ def test_most_frequent_equals_a_full_sort(spark):
     for limit in (1, 10, 333, 800, 2000):
         assert [tuple(r) for r in most_frequent(counts, "word", "n", limit).collect()] == want[:limit]
     assert most_frequent(counts.where("n < 0"), "word", "n", 5).count() == 0
+
+
+def test_hmm_symbols_travel_in_two_bytes(spark):
+    """Also those of a bounded table that two bytes cannot number, and of words beyond it."""
+    vocabulary = {b"w%d" % i: i for i in range((1 << 16) + 10)}
+    end, rest = len(vocabulary), len(vocabulary) + 1
+    texts = [None, "", "w0 none w65534 w65535 w65545 none w65536 été", "w7", "none"]
+    rows = spark.createDataFrame([(i, i % 2 == 0, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string").coalesce(1)
+    numbered = hmm._numbered(rows, vocabulary)
+    found = numbered.orderBy("doc_id").select("ids", "exact", "others").toArrow().combine_chunks().to_batches()
+    parts = [(ids, sizes) for _, ids, sizes in hmm._id_slices(iter([b.slice(1) for b in found]), 0, rest + 1, 3)]
+    assert np.concatenate([s for _, s in parts]).tolist() == [1, 9, 2, 2]
+    assert np.concatenate([i for i, _ in parts]).tolist() == [end, 0, rest, 65534, 65535, 65545, rest, 65536, rest, end, 7, end, rest, end]
+    assert [len(x) for x in found[0].column(0).to_pylist()] == [2, 2, 18, 4, 4]  # bytes; before, a list of numbers
+    words = sorted((r["row"], r["at"], bytes(r["word"])) for r in hmm.other_words(numbered).collect())
+    assert [w for _, _, w in words] == [b"none", b"none", "été".encode(), b"none"] and [a for _, a, _ in words] == [0, 1, 2, 0]

@@ -35,7 +35,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -253,12 +253,33 @@ def count_words(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _blobs(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary value for each row: the bytes of its part of ``values``."""
+    offsets = np.append(0, np.cumsum(sizes * values.itemsize)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unblobbed(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_blobs`` packed: flat values, and their number in each row."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    values = np.frombuffer(column.buffers()[2], kind, (ends[-1] - ends[0]) // np.dtype(kind).itemsize, ends[0]) if ends[-1] > ends[0] else np.zeros(0, kind)
+    return values, np.diff(ends) // np.dtype(kind).itemsize
+
+
+#: Symbols travel in two bytes. Words' symbols from this on, and the words beyond the bounded table, have this
+#: code; the former are listed with their places. A text's last code stands for the end token.
+ESCAPE = (1 << 16) - 1
+
+
 def _numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """Rows (row, doc_id, held_out, ids, others): symbols of each text, and the words
-    beyond the bounded table, in order. ``row`` numbers the rows (fixed once written)."""
-    end, rest = len(vocabulary), len(vocabulary) + 1
+    """Rows (row, doc_id, held_out, ids, exact, others): symbols of each text (see ``ESCAPE``), and
+    the words beyond the bounded table, in order, joined by spaces. ``row`` numbers the rows (fixed once written)."""
+    rest = len(vocabulary) + 1
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    fields = _parse_datatype_string("row long, doc_id string, held_out boolean, ids array<int>, others array<binary>").fields
+    fields = _parse_datatype_string("row long, doc_id string, held_out boolean, ids binary, exact binary, others binary").fields
     fields[1] = rows.schema["doc_id"]
     schema = StructType(fields)
 
@@ -266,30 +287,48 @@ def _numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         known, number = shared.value, TaskContext.get().partitionId() << 40
         for part, texts in slices(batches, 2):
             words = [tokens_of(t) for t in texts]
-            found = [[known.get(w, rest) for w in ws] for ws in words]
-            others = [[w for w, i in zip(ws, ids) if i == rest] for ws, ids in zip(words, found)]
-            sizes = np.append(0, np.cumsum([len(x) + 1 for x in found])).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable((*x, end) for x in found), dtype=np.int32, count=int(sizes[-1]))
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+            ends, flat = np.cumsum(sizes), list(chain.from_iterable(words))
+            ids = np.fromiter(map(known.get, flat, repeat(rest)), np.int32, len(flat))
+            beyond = ids == rest
+            upto = np.append(0, np.cumsum(beyond))[np.append(0, ends)].tolist()
+            missed = list(compress(flat, beyond.tolist()))
+            others = [b" ".join(missed[a:b]) for a, b in zip(upto, upto[1:])]
+            codes = np.insert(np.minimum(ids, ESCAPE).astype(np.uint16), ends, ESCAPE)
+            at = np.flatnonzero((ids >= ESCAPE) & ~beyond)
+            of = np.searchsorted(ends, at, "right")
+            exact = np.stack([at - (ends - sizes)[of], ids[at]], axis=1).astype(np.int32)
             row = number + np.arange(len(texts))
             number += len(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)), pa.array(others, pa.list_(pa.binary()))],
-                names=["row", "doc_id", "held_out", "ids", "others"],
+                [
+                    pa.array(row), part.column(0), part.column(1), _blobs(codes, sizes + 1),
+                    _blobs(exact.ravel(), 2 * np.bincount(of, minlength=len(texts))), pa.array(others, pa.binary()),
+                ],
+                names=["row", "doc_id", "held_out", "ids", "exact", "others"],
             )
 
     return rows.mapInArrow(run, schema)
 
 
-def _id_slices(batches: Iterator[pa.RecordBatch], column: int, tokens: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Pieces of batches of about so many tokens: (rows, flat ids, sizes)."""
+def _id_slices(batches: Iterator[pa.RecordBatch], column: int, symbols: int, tokens: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of batches of about so many tokens: (rows, flat ids, sizes); the column after the ids' is ``exact``."""
     for batch in batches:
-        sizes = pa.compute.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64) // 2
         start, total = 0, 0
         for i, n in enumerate(sizes):
             total += int(n)
             if total >= tokens or i == len(sizes) - 1:
                 part = batch.slice(start, i + 1 - start)
-                yield part, part.column(column).flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes[start : i + 1]
+                ids = _unblobbed(part.column(column), np.uint16)[0].astype(np.int64)
+                ids[ids == ESCAPE] = symbols - 1
+                ends = np.cumsum(sizes[start : i + 1])
+                exact, listed = _unblobbed(part.column(column + 1), np.int32)
+                if len(exact):
+                    exact = exact.reshape(-1, 2)
+                    ids[np.repeat(ends - sizes[start : i + 1], listed // 2) + exact[:, 0]] = exact[:, 1]
+                ids[ends - 1] = symbols - 2
+                yield part, ids, sizes[start : i + 1]
                 start, total = i + 1, 0
 
 
@@ -300,7 +339,7 @@ def start_model(train: DataFrame, symbols: int, base: np.ndarray, states: int, w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(words * words, dtype=np.int64)
-        for _, ids, _ in _id_slices(batches, 0):
+        for _, ids, _ in _id_slices(batches, 0, symbols):
             # the next frequent word, skipping others, within documents (the end symbol parts them)
             kept = ids[(ids < words) | (ids == symbols - 2)]
             a, b = kept[:-1], kept[1:]
@@ -311,7 +350,7 @@ def start_model(train: DataFrame, symbols: int, base: np.ndarray, states: int, w
 
     counts = np.zeros((words, words))
     if words:
-        found = train.select("ids").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+        found = train.select("ids", "exact").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
         counts.ravel()[found["pair"].to_numpy()] = found["n"].to_numpy()
     classes = _classes(counts, states)
     member = np.zeros((words, states))
@@ -365,11 +404,11 @@ class Rest:
         each = ((F.col(f"t{j}") + prior * float(p)) / ((F.col("n") + prior) * float(p * z)) for j, (p, z) in enumerate(zip(self.share, self.scale)))
         return F.array(*each)
 
-    def packed(self, prior: float) -> Column:
-        """The same, rounded to 1/32768 of an octave, three states in a long."""
+    def packed(self, prior: float) -> list[Column]:
+        """The same, rounded to 1/32768 of an octave, three states in a long each."""
         each = self.emissions(prior)
         codes = [F.greatest(F.lit(0), F.least(F.lit(MOST), F.round((F.log2(each[j]) + OCTAVES) * STEPS))).cast("long") for j in range(len(self.share))]
-        return F.array(*(_sum(F.shiftleft(c, 21 * i) for i, c in enumerate(codes[g : g + 3])) for g in range(0, len(codes), 3)))
+        return [_sum(F.shiftleft(c, 21 * i) for i, c in enumerate(codes[g : g + 3])) for g in range(0, len(codes), 3)]
 
 
 def _sum(parts: Iterator[Column]) -> Column:
@@ -382,28 +421,47 @@ def unpacked(packed: np.ndarray, states: int) -> np.ndarray:
     return np.exp2(codes.reshape(len(packed), -1)[:, :states] / STEPS - OCTAVES)
 
 
+def other_words(numbered: DataFrame) -> DataFrame:
+    """Rows (row, at, word): the words beyond the bounded table, one by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2_000):
+                part = batch.slice(start, 2_000)
+                words = [(x or b"").split() for x in part.column(1).to_pylist()]
+                sizes = np.fromiter(map(len, words), np.int64, len(words))
+                at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                row = np.repeat(part.column(0).to_numpy(), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row), pa.array(at.astype(np.int32)), pa.array(list(chain.from_iterable(words)), pa.binary())], names=["row", "at", "word"])
+
+    return numbered.select("row", "others").mapInArrow(run, "row long, at int, word binary")
+
+
 def with_emissions(numbered: DataFrame, rest: Rest, z: float, prior: float, keep_words: bool = False) -> DataFrame:
-    """Rows (doc_id, held_out, ids, words, own, others, known): the emissions ``own`` of the
+    """Rows (doc_id, held_out, ids, exact, words, own, others, known): the emissions ``own`` of the
     words beyond the bounded table, in order, their base log10 probability and how many are known.
 
     Each such token is a row, joined by word with a merge join (it spills, and adaptive execution
     splits a hot word) and put together again by row."""
     codes = np.clip(np.rint((OCTAVES - np.log2(rest.scale)) * STEPS), 0, MOST).astype(np.int64)
-    unknown = F.array(*(F.lit(int(sum(int(c) << 21 * i for i, c in enumerate(codes[g : g + 3])))).cast("long") for g in range(0, len(codes), 3)))
-    known = rest.table.select("word", "n", rest.packed(prior).alias("own"))
+    unknown = [sum(int(c) << 21 * i for i, c in enumerate(codes[g : g + 3])) for g in range(0, len(codes), 3)]
+    packs = [f"own{g}" for g in range(len(unknown))]
+    known = rest.table.select("word", "n", *(c.alias(p) for p, c in zip(packs, rest.packed(prior))))
     n = F.coalesce("n", F.lit(0))
-    token = F.struct("at", *(["word"] if keep_words else []), F.coalesce("own", unknown).alias("own"))
+    # flat: a list in each of so many values would be half of what is shuffled
+    token = F.struct("at", *(F.coalesce(p, F.lit(u).cast("long")).alias(p) for p, u in zip(packs, unknown)))
     tokens = (
-        numbered.select("row", F.posexplode("others").alias("at", "word")).join(known.hint("merge"), "word", "left")
+        other_words(numbered).join(known.hint("merge"), "word", "left")
         .groupBy("row").agg(
             F.sort_array(F.collect_list(token)).alias("tokens"),
-            F.sum(F.log10((n + ADD) / F.lit(float(z)))).alias("others"), F.sum((n > 0).cast("long")).alias("known"),
+            F.sum(F.log10((n + ADD) / F.lit(float(z)))).alias("base"), F.sum((n > 0).cast("long")).alias("known"),
         )
     )
-    words = F.transform("tokens", lambda x: x["word"]) if keep_words else F.lit(None).cast("array<binary>")
-    return numbered.select("row", "doc_id", "held_out", "ids").join(tokens.hint("merge"), "row", "left").select(
-        "doc_id", "held_out", "ids", words.alias("words"), F.flatten(F.transform("tokens", lambda x: x["own"])).alias("own"),
-        F.coalesce("others", F.lit(0.0)).alias("others"), F.coalesce("known", F.lit(0)).alias("known"),
+    words = F.col("others") if keep_words else F.lit(None).cast("binary")
+    return numbered.select("row", "doc_id", "held_out", "ids", "exact", words.alias("words")).join(tokens.hint("merge"), "row", "left").select(
+        "doc_id", "held_out", "ids", "exact", "words", F.flatten(F.transform("tokens", lambda x: F.array(*(x[p] for p in packs)))).alias("own"),
+        F.coalesce("base", F.lit(0.0)).alias("others"), F.coalesce("known", F.lit(0)).alias("known"),
     )
 
 
@@ -413,7 +471,7 @@ def _own(part: pa.RecordBatch, column: int, states: int) -> np.ndarray | None:
 
 
 def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior: float = PRIOR, words: bool = False) -> tuple[Model, Rest | None, float]:
-    """One round over all rows of ``train`` (ids, words, own): the new model, with ``words`` the other words'
+    """One round over all rows of ``train`` (ids, exact, words, own): the new model, with ``words`` the other words'
     table (without, they go on sharing their emissions), and the log likelihood (natural, less the words'
     base) under the old model. ``base``: the bounded table's base probabilities, the end token last."""
     k, symbols = len(model.start), len(model.emits)
@@ -426,13 +484,13 @@ def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves, emits, log = np.zeros((k + 1, k + 1)), np.zeros((symbols, k + 1)), 0.0
-        for part, ids, sizes in _id_slices(batches, 0, 200_000):
-            s = Slice(ids, sizes, shared.value, _own(part, 2, k))
+        for part, ids, sizes in _id_slices(batches, 0, symbols, 200_000):
+            s = Slice(ids, sizes, shared.value, _own(part, 3, k))
             a, b, c = s.expected()
             moves, emits, log = moves + a, emits + b, log + c
-            found = part.column(1).flatten() if words else ()
+            found = b" ".join(filter(None, part.column(2).to_pylist())).split() if words else ()
             if len(found):
-                coded = pa.compute.dictionary_encode(found)
+                coded = pa.compute.dictionary_encode(pa.array(found, pa.binary()))
                 at, weights = coded.indices.to_numpy(), s.weights[1:, ids == symbols - 1]
                 n = np.bincount(at)
                 mean = [np.rint(np.minimum(np.bincount(at, w) / n, 1.0) * WHOLE).astype(np.int64) for w in weights]
@@ -447,7 +505,7 @@ def baum_welch(train: DataFrame, model: Model, base: np.ndarray, z: float, prior
         none = pa.array(np.zeros(len(at), dtype=np.int64))
         yield pa.RecordBatch.from_arrays([keys, none, *(none for _ in packs), values], schema=schema)
 
-    counted = train.select("ids", "words" if words else F.lit(None), "own").mapInArrow(run, "word binary, n long, " + ", ".join(f"{c} long" for c in packs) + ", e array<double>")
+    counted = train.select("ids", "exact", "words" if words else F.lit(None), "own").mapInArrow(run, "word binary, n long, " + ", ".join(f"{c} long" for c in packs) + ", e array<double>")
     # the rows are sums of slices already: they travel packed, and sums of whole numbers are the same in any order
     sums = (
         (F.coalesce(F.sum(F.col("e")[j]), F.lit(0.0)) + F.sum(F.col("n") * F.shiftright(packs[j // 3], 20 * (j % 3)).bitwiseAND(WHOLE)) / WHOLE).cast("float").alias(c)
@@ -515,7 +573,7 @@ def score(
     k = len(model.start)
     # counts with equal parts in all states; before the first round no word beyond the table differs from the others
     rest = Rest(counts.select("word", F.col("c").alias("n"), *((F.col("c") / k).alias(f"t{j}") for j in range(k))), np.full(k, 1 / k), 1 / model.emits[-1])
-    shared = train.select("ids", F.col("others").alias("words"), F.array().cast("array<long>").alias("own"))
+    shared = train.select("ids", "exact", F.col("others").alias("words"), F.array().cast("array<long>").alias("own"))
     before, most = -np.inf, rounds if ends else 0
     for nth in range(most if part_each_round else most - 1):
         seen = with_emissions(train, rest, z, prior, True) if nth and part_each_round else shared
@@ -532,17 +590,17 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = shared.value
-        for part, ids, sizes in _id_slices(batches, 2, 200_000):
-            others = part.column(4).to_numpy(zero_copy_only=False)
-            log = log_likelihoods(ids, sizes, model, _own(part, 3, len(model.start))) / np.log(10)
+        for part, ids, sizes in _id_slices(batches, 2, len(table), 200_000):
+            others = part.column(5).to_numpy(zero_copy_only=False)
+            log = log_likelihoods(ids, sizes, model, _own(part, 4, len(model.start))) / np.log(10)
             first = np.cumsum(sizes) - sizes
             bounded = np.add.reduceat((ids < len(table) - 1).astype(np.int64), first)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(sizes), pa.array(bounded + end_known + part.column(5).to_numpy(zero_copy_only=False)),
+                [part.column(0), part.column(1), pa.array(sizes), pa.array(bounded + end_known + part.column(6).to_numpy(zero_copy_only=False)),
                  pa.array(np.add.reduceat(table[ids], first) + others), pa.array(log + others)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    rows = with_emissions(numbered, rest, z, prior).select("doc_id", "held_out", "ids", "own", "others", "known")
+    rows = with_emissions(numbered, rest, z, prior).select("doc_id", "held_out", "ids", "exact", "own", "others", "known")
     return rows.mapInArrow(run, schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
