@@ -3,8 +3,8 @@
 The reference trains one recurrent network per station on a single machine.
 Here the same sliding windows (G1) become lag-feature vectors, and one
 distributed regressor (gradient-boosted trees by default) is trained over
-all stations at once with the station one-hot encoded; it is scored per
-station against two naive baselines (last value, same month last year).
+all stations at once with the station one-hot encoded (for boosted trees
+without a column of its own, see ``boosted``); it is scored per station against two naive baselines (last value, same month last year).
 Multi-step horizons use direct models (one per step). Fitted pipelines are
 saved and loaded with Spark ML's own writer, to any Hadoop URI.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, spread_rows
+from .boosted import fit_boosted
 from .regress import regression_metrics
 
 
@@ -47,26 +48,29 @@ def forecast_station_prices(
 ):
     """Fit on rows before ``test_start``, predict the rest. Returns
     (predictions: station, date, y_true, y_pred; fitted pipeline)."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
-    data = lag_features(panel, station_col, date_col, target_col, n_lags, extra_cols).persist()
+    data = lag_features(panel, station_col, date_col, target_col, n_lags, extra_cols)
+    # boosting reads it for the edges, the trees and the scores
+    data = cut_lineage(data) if model == "gbt" else data.persist()
     lag_cols = [c for c in data.columns if "_lag" in c]
     start = F.to_date(F.lit(str(test_start)))
     train = data.where(F.col(date_col) < start)
     test = data.where(F.col(date_col) >= start)
     idx = StringIndexer(inputCol=station_col, outputCol="_st_idx", handleInvalid="keep",
                         stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCol="_st_idx", outputCol="_st_oh", handleInvalid="keep")
-    asm = VectorAssembler(inputCols=lag_cols + ["_st_oh"], outputCol="features")
+    train = train.withColumn(station_col, F.col(station_col).cast("string"))
     if model == "gbt":
-        reg = GBTRegressor(labelCol="label", maxIter=max_iter, maxDepth=5, seed=seed)
-    elif model == "forest":
-        reg = RandomForestRegressor(labelCol="label", numTrees=100, maxDepth=8, seed=seed)
+        # a split on one station needs no column of its own
+        codes = idx.fit(train)
+        fitted = PipelineModel([codes, fit_boosted(codes.transform(train), lag_cols, "_st_idx", "label", max_iter, seed=seed)])
     else:
-        reg = LinearRegression(labelCol="label")
-    fitted = Pipeline(stages=[idx, ohe, asm, reg]).fit(train.withColumn(station_col, F.col(station_col).cast("string")))
+        ohe = OneHotEncoder(inputCol="_st_idx", outputCol="_st_oh", handleInvalid="keep")
+        asm = VectorAssembler(inputCols=lag_cols + ["_st_oh"], outputCol="features")
+        reg = RandomForestRegressor(labelCol="label", numTrees=100, maxDepth=8, seed=seed) if model == "forest" else LinearRegression(labelCol="label")
+        fitted = Pipeline(stages=[idx, ohe, asm, reg]).fit(train)
     pred = fitted.transform(test.withColumn(station_col, F.col(station_col).cast("string")))
     out = pred.select(F.col(station_col), F.col(date_col), F.col("label").alias("y_true"),
                       F.col("prediction").alias("y_pred"), F.lit(model).alias("model"))
