@@ -57,3 +57,18 @@ def test_edges_of_repeated_values(spark):
     values = [0.0] * 60 + [float(v) for v in range(1, 41)]
     many = spark.createDataFrame([(v,) for v in values], "v double")
     assert boosted.middle_edges(many, ["v"], 5)[0][:3] == [0.5, 1.5, 2.5]
+
+
+def test_ties_do_not_hang_on_rounding():
+    """Columns that part the rows alike: the first one, whatever the order of the sums."""
+    n = np.tile([3.0, 2.0] + [0.0] * 30, (1, 2, 1))
+    for noise in (1e-13, -1e-13):
+        s = np.array([[[6.0, 10.0] + [0.0] * 30, [6.0 + noise, 10.0 - 2 * noise] + [0.0] * 30]])
+        gain, column, cut, n_l, _ = boosted._best_cuts(n, s, None)
+        assert (column[0], cut[0], n_l[0]) == (0, 0, 3.0) and gain[0] > 0
+    none = boosted._best_keys(np.zeros((1, 2)), np.zeros((1, 2)), np.array([4.0]), np.array([1.0]), np.array([5, 6]))
+    assert none[0, 0] == -np.inf
+    a, b = [(np.zeros(1), np.array([[g], [k], [1.0], [1.0]])) for g, k in ((2.0, 9.0), (2.0 - 1e-12, 4.0))]
+    assert boosted._add_and_best(a, b)[1][1, 0] == boosted._add_and_best(b, a)[1][1, 0] == 4.0
+    empty = (np.zeros(1), np.full((4, 1), -np.inf))
+    assert boosted._add_and_best(a, empty)[1][1, 0] == boosted._add_and_best(empty, a)[1][1, 0] == 9.0

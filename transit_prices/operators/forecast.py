@@ -4,7 +4,8 @@ The reference trains one recurrent network per station on a single machine.
 Here the same sliding windows (G1) become lag-feature vectors, and one
 distributed regressor (gradient-boosted trees by default) is trained over
 all stations at once with the station one-hot encoded (for boosted trees
-without a column of its own, see ``boosted``); it is scored per station against two naive baselines (last value, same month last year).
+without a column of its own, see ``boosted``); it is scored per station
+against two naive baselines (last value, same month last year).
 Multi-step horizons use direct models (one per step). Fitted pipelines are
 saved and loaded with Spark ML's own writer, to any Hadoop URI.
 """
